@@ -1,3 +1,3 @@
 """Import every catalog module so that all queries are registered."""
 
-from tessera.plans import catalog_lexical  # noqa: F401
+from tessera.plans import catalog_corpus, catalog_lexical  # noqa: F401
