@@ -86,3 +86,25 @@ def dense_index(df: DataFrame, order_cols: list[str], name: str = "idx",
     out = tagged.join(F.broadcast(offsets), "_pid")
     return out.withColumn(name, (F.col("_off") + F.col("_loc")).cast("long")).drop(
         "_mid", "_pid", "_loc", "_off")
+
+
+def prefix_sum(df: DataFrame, order_cols: list[str], size_col: str, group_cols: list[str] | None = None,
+               name: str = "start", partitions: int | None = None) -> DataFrame:
+    """Exclusive running sum of ``size_col`` within ``group_cols`` in the total
+    order ``order_cols``, without a window over a whole group: rows are range
+    partitioned, each partition sums locally, and only one row per
+    (partition, group) is combined in order."""
+    spark = df.sparkSession
+    groups = group_cols or []
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *groups, *order_cols).sortWithinPartitions(*groups, *order_cols)
+    tagged = materialize(ranged.withColumn("_pid", F.spark_partition_id()))
+    local_w = (Window.partitionBy("_pid", *groups).orderBy(*order_cols)
+               .rowsBetween(Window.unboundedPreceding, -1))
+    local = tagged.withColumn("_loc", F.coalesce(F.sum(size_col).over(local_w), F.lit(0)))
+    totals = tagged.groupBy("_pid", *groups).agg(F.sum(size_col).alias("_tot"))
+    # one row per (partition, group): bounded by partitions x groups present
+    off_w = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_pid", *groups, F.coalesce(F.sum("_tot").over(off_w), F.lit(0)).alias("_off"))
+    out = local.join(offsets, ["_pid", *groups])
+    return out.withColumn(name, (F.col("_off") + F.col("_loc")).cast("long")).drop("_pid", "_loc", "_off")
