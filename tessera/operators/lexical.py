@@ -23,6 +23,7 @@ from pyspark.sql.window import Window
 from tessera.functions.text import vectorizer_tokens, word_tokens
 from tessera.operators import stats
 from tessera.operators.joins import broadcast_checked, dense_index, skew_safe_lookup
+from tessera.session import materialize
 
 # Scores are compared at this precision when ordering, so that sums taken in
 # a different order (other partitioning, other engine) give the same ranks.
@@ -72,11 +73,17 @@ def bm25_weight(cnt: Column, dl: Column, idf: Column, avgdl: Column, k: float, b
 
 def bm25_postings(tok: DataFrame, keys: DataFrame, k: float = 2.0, b: float = 0.75,
                   n_qi: str = "document", tf: str = "relative", dup: str = "sum") -> DataFrame:
-    """BM25 postings for every document (all copies keep their row)."""
-    counts = stats.term_counts(tok)
-    idf = bm25_idf(counts, stats.collection_size(tok), n_qi)
+    """BM25 postings for every document (all copies keep their row).
+
+    The term counts are computed once and checkpointed; N counts every
+    document (empty ones too) and avgdl = total tokens / N (S11), so no
+    statistic re-reads the text."""
+    counts = materialize(stats.term_counts(tok))
+    n_docs = tok.select(F.count(F.lit(1))).scalar()
+    avgdl = counts.select(F.sum("cnt").cast("double")).scalar() / n_docs
+    idf = bm25_idf(counts, n_docs, n_qi)
     joined = skew_safe_lookup(counts, idf, "term", "df")
-    weight = bm25_weight(F.col("cnt"), F.col("dl"), F.col("idf"), stats.avg_doc_length(tok), k, b, tf, dup)
+    weight = bm25_weight(F.col("cnt"), F.col("dl"), F.col("idf"), avgdl, k, b, tf, dup)
     post = joined.select("term", "doc_id", "cnt", "dl", "idf", weight.alias("weight"))
     return post.join(keys, "doc_id")
 
@@ -86,8 +93,8 @@ def tfidf_postings(tok: DataFrame, keys: DataFrame) -> DataFrame:
     """vectoriser tokens (C4), smooth idf = ln((1+N)/(1+df)) + 1,
     w = count * idf divided by the L2 norm of the document's row."""
     vtok = tok.select("doc_id", vectorizer_tokens(F.col("tokens")).alias("tokens"))
-    counts = stats.term_counts(vtok)
-    n_docs = stats.collection_size(vtok)
+    counts = materialize(stats.term_counts(vtok))
+    n_docs = tok.select(F.count(F.lit(1))).scalar()
     st = stats.term_stats(counts)
     idf = st.select("term", "df", (F.ln((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)).alias("idf"))
     joined = skew_safe_lookup(counts, idf, "term", "df")
@@ -158,7 +165,9 @@ def search(index: LexicalIndex, queries: DataFrame, k: int = 10, fill_zero: bool
 
     Documents are deduplicated by text (S1, representative = smallest doc_id);
     ties are broken by collection order (S2); documents without any query term
-    take score 0 and fill the top-k (S3) unless ``fill_zero=False``."""
+    take score 0 and fill the top-k (S3) unless ``fill_zero=False``.  Zero
+    candidates are only computed for queries with fewer than k positive
+    scores; the others cannot have a zero in their top-k."""
     qt = query_terms(queries, qid, text, tokenizer)
     post = index.postings.filter(F.col("doc_id") == F.col("text_key"))
     hits = post.join(broadcast_checked(qt), "term")
@@ -166,13 +175,16 @@ def search(index: LexicalIndex, queries: DataFrame, k: int = 10, fill_zero: bool
     # A term without idf contributes nothing
     scored = scored.withColumn("score", F.coalesce(F.col("score"), F.lit(0.0)))
     cands = scored.select("query_id", "text_idx", F.col("text_key").alias("doc_id"), "score")
+    order = [F.round(F.col("score"), SCORE_DIGITS).desc(), F.col("text_idx").asc()]
     if fill_zero:
         qids = queries.select(F.col(qid).alias("query_id")).distinct()
-        zero = _zero_candidates(scored, qids, index.n_texts, k)
+        positive = (scored.filter(F.round("score", SCORE_DIGITS) > 0).groupBy("query_id")
+                    .agg(F.count(F.lit(1)).alias("n_pos")).filter(F.col("n_pos") >= k))
+        needy = qids.join(positive, "query_id", "left_anti")
+        zero = _zero_candidates(scored.join(needy, "query_id", "left_semi"), needy, index.n_texts, k)
         zero = zero.join(index.doc_keys.filter(F.col("doc_id") == F.col("text_key"))
                          .select("text_idx", "doc_id"), "text_idx")
         cands = cands.unionByName(zero.withColumn("score", F.lit(0.0)))
-    order = [F.round(F.col("score"), SCORE_DIGITS).desc(), F.col("text_idx").asc()]
     return _top_k(cands, k, order).select("query_id", "rank", "doc_id", "score")
 
 
@@ -186,3 +198,15 @@ def dedupe_by_text(scored: DataFrame, keys: DataFrame) -> DataFrame:
     j = scored.join(keys.select("doc_id", "text_key"), "doc_id")
     return j.groupBy("query_id", "text_key").agg(
         F.min("doc_id").alias("doc_id"), F.max_by("score", "doc_id").alias("score"))
+
+
+def save_lexical(index: LexicalIndex, path: str) -> None:
+    """Persist postings (each file sorted by term, so row-group statistics
+    prune term lookups without a global range shuffle) and doc keys."""
+    (index.postings.sortWithinPartitions("term")
+     .write.mode("overwrite").parquet(f"{path}/postings"))
+    index.doc_keys.write.mode("overwrite").parquet(f"{path}/doc_keys")
+
+
+def load_lexical(spark, path: str, model: str) -> LexicalIndex:
+    return LexicalIndex(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/doc_keys"), model)

@@ -21,6 +21,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # keep at least one post-shuffle task per core on small inputs
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
@@ -68,11 +70,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage by writing a Parquet table into the shared checkpoint
+    folder and reading it back.
 
-    Survives executor loss (unlike a local checkpoint) and freezes
-    non-deterministic columns such as ``monotonically_increasing_id``.
-    """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    Survives executor loss (unlike a local checkpoint), freezes
+    non-deterministic columns such as ``monotonically_increasing_id``, and is
+    columnar and compressed (an RDD checkpoint serialises whole rows)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def spread(df: DataFrame, keys: list[str] | None = None, min_partitions: int | None = None) -> DataFrame:
+    """Give row-local heavy work (tokenising, encoding) enough tasks.
+
+    A scan of one big file / row group yields a single task; only then is
+    the input redistributed, hash-partitioned on ``keys`` (round-robin would
+    sort the long text rows first).  On a cluster reading many files the scan
+    already has enough splits and this is a no-op (no shuffle)."""
+    sc = df.sparkSession.sparkContext
+    want = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, *keys) if keys else df.repartition(want)
