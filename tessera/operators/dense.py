@@ -22,6 +22,7 @@ from pyspark.sql.window import Window
 
 from tessera.operators import stats
 from tessera.operators.joins import broadcast_checked, dense_index, measured_size, skew_safe_lookup
+from tessera.session import materialize
 
 # Bound on the query matrix shipped to every task (floats).
 MAX_QUERY_FLOATS = 8 * 1024 * 1024
@@ -70,7 +71,12 @@ def mean_word_vectors(counts: DataFrame, lengths: DataFrame, word_vectors: DataF
 def text_vectors(texts: DataFrame, word_vectors: DataFrame, dim: Column, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     tok = stats.tokenize(texts, id_col, text_col)
-    return mean_word_vectors(stats.term_counts(tok), stats.doc_lengths(tok), word_vectors, dim)
+    # counts feed the df table, the join and the sums: compute them once
+    counts = materialize(stats.term_counts(tok), "vec-counts")
+    per_doc = counts.select("doc_id", "dl").distinct()
+    lengths = (texts.select(F.col(id_col).alias("doc_id")).join(per_doc, "doc_id", "left")
+               .select("doc_id", F.coalesce(F.col("dl"), F.lit(0)).alias("dl")))
+    return mean_word_vectors(counts, lengths, word_vectors, dim)
 
 
 # ------------------------------------------------------------- brute force

@@ -22,7 +22,8 @@ from pyspark.sql.window import Window
 
 from tessera.functions.text import vectorizer_tokens, word_tokens
 from tessera.operators import stats
-from tessera.operators.joins import broadcast_checked, dense_index, skew_safe_lookup
+from tessera.operators.joins import (MAX_BROADCAST_BYTES, broadcast_checked, dense_index, measured_size,
+                                     skew_safe_lookup)
 from tessera.session import materialize
 
 # Scores are compared at this precision when ordering, so that sums taken in
@@ -41,7 +42,8 @@ def doc_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     groups = hashed.groupBy("h").agg(F.min("doc_id").alias("text_key"), F.count(F.lit(1)).alias("mult"))
     groups = dense_index(groups, ["text_key"], "text_idx")
     keyed = skew_safe_lookup(hashed, groups, "h", "mult")
-    return keyed.select("doc_id", "text_key", "text_idx")
+    # three longs per document, reused by every model, N and the search
+    return materialize(keyed.select("doc_id", "text_key", "text_idx"), "doc-keys")
 
 
 # ---------------------------------------------------------------- BM25
@@ -78,8 +80,8 @@ def bm25_postings(tok: DataFrame, keys: DataFrame, k: float = 2.0, b: float = 0.
     The term counts are computed once and checkpointed; N counts every
     document (empty ones too) and avgdl = total tokens / N (S11), so no
     statistic re-reads the text."""
-    counts = materialize(stats.term_counts(tok))
-    n_docs = tok.select(F.count(F.lit(1))).scalar()
+    counts = materialize(stats.term_counts(tok), "bm25-counts")
+    n_docs = keys.select(F.count(F.lit(1))).scalar()
     avgdl = counts.select(F.sum("cnt").cast("double")).scalar() / n_docs
     idf = bm25_idf(counts, n_docs, n_qi)
     joined = skew_safe_lookup(counts, idf, "term", "df")
@@ -93,8 +95,8 @@ def tfidf_postings(tok: DataFrame, keys: DataFrame) -> DataFrame:
     """vectoriser tokens (C4), smooth idf = ln((1+N)/(1+df)) + 1,
     w = count * idf divided by the L2 norm of the document's row."""
     vtok = tok.select("doc_id", vectorizer_tokens(F.col("tokens")).alias("tokens"))
-    counts = materialize(stats.term_counts(vtok))
-    n_docs = tok.select(F.count(F.lit(1))).scalar()
+    counts = materialize(stats.term_counts(vtok), "tfidf-counts")
+    n_docs = keys.select(F.count(F.lit(1))).scalar()
     st = stats.term_stats(counts)
     idf = st.select("term", "df", (F.ln((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)).alias("idf"))
     joined = skew_safe_lookup(counts, idf, "term", "df")
@@ -170,7 +172,15 @@ def search(index: LexicalIndex, queries: DataFrame, k: int = 10, fill_zero: bool
     scores; the others cannot have a zero in their top-k."""
     qt = query_terms(queries, qid, text, tokenizer)
     post = index.postings.filter(F.col("doc_id") == F.col("text_key"))
-    hits = post.join(broadcast_checked(qt), "term")
+    n_terms, n_bytes = measured_size(qt)
+    if "term_bucket" in index.postings.columns and n_terms <= MAX_PRUNE_TERMS:
+        # few distinct terms (bounded): literal filters prune bucket folders
+        # and row groups of the persisted postings
+        terms = sorted({r["term"] for r in qt.select("term").distinct().collect()})
+        buckets = sorted({r["b"] for r in qt.select(term_bucket("term").alias("b")).distinct().collect()})
+        post = post.filter(F.col("term_bucket").isin(buckets) & F.col("term").isin(terms))
+    qside = F.broadcast(qt) if n_bytes <= MAX_BROADCAST_BYTES else qt
+    hits = post.join(qside, "term")
     scored = hits.groupBy("query_id", "text_idx", "text_key").agg(F.sum("weight").alias("score"))
     # A term without idf contributes nothing
     scored = scored.withColumn("score", F.coalesce(F.col("score"), F.lit(0.0)))
@@ -200,11 +210,24 @@ def dedupe_by_text(scored: DataFrame, keys: DataFrame) -> DataFrame:
         F.min("doc_id").alias("doc_id"), F.max_by("score", "doc_id").alias("score"))
 
 
-def save_lexical(index: LexicalIndex, path: str) -> None:
-    """Persist postings (each file sorted by term, so row-group statistics
-    prune term lookups without a global range shuffle) and doc keys."""
-    (index.postings.sortWithinPartitions("term")
-     .write.mode("overwrite").parquet(f"{path}/postings"))
+# Persisted postings are partitioned by a hash bucket of the term; a query
+# batch with few distinct terms reads only their buckets.
+TERM_BUCKETS = 32
+MAX_PRUNE_TERMS = 1000
+
+
+def term_bucket(term) -> Column:
+    t = F.col(term) if isinstance(term, str) else term
+    return F.pmod(F.xxhash64(t), F.lit(TERM_BUCKETS)).cast("int")
+
+
+def save_lexical(index: LexicalIndex, path: str, buckets: int = TERM_BUCKETS) -> None:
+    """Persist postings partitioned by term bucket (one shuffle, so each bucket
+    folder gets few files) and sorted by term inside each file, so row-group
+    statistics also prune; and the doc keys."""
+    post = index.postings.withColumn("term_bucket", term_bucket("term"))
+    (post.repartition(buckets, "term_bucket").sortWithinPartitions("term")
+     .write.mode("overwrite").partitionBy("term_bucket").parquet(f"{path}/postings"))
     index.doc_keys.write.mode("overwrite").parquet(f"{path}/doc_keys")
 
 

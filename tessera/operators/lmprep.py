@@ -17,6 +17,7 @@ from pyspark.sql.window import Window
 
 from tessera.functions.text import BOS, EOS, UNK, VOCAB_SENTINEL, ws_tokens
 from tessera.operators.joins import broadcast_checked, dense_index, prefix_sum
+from tessera.session import materialize
 
 SPECIALS = [BOS, EOS, UNK]
 
@@ -25,8 +26,9 @@ def sentences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """Documents split on newline -> (sent_id, doc_id, line_no, line, tokens)."""
     lines = docs.select(F.col(id_col).alias("doc_id"),
                         F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("line_no", "line"))
-    lines = lines.withColumn("tokens", ws_tokens("line"))
-    return dense_index(lines, ["doc_id", "line_no"], "sent_id")
+    # number the lines first (only the line travels through the range
+    # shuffle), tokenise afterwards, row-locally
+    return dense_index(lines, ["doc_id", "line_no"], "sent_id").withColumn("tokens", ws_tokens("line"))
 
 
 def build_vocab(sents: DataFrame, size: int) -> DataFrame:
@@ -58,14 +60,15 @@ def encode(sents: DataFrame, vocab: DataFrame, reverse: bool = False) -> DataFra
     ``reverse`` the tokens are reversed and BOS/EOS swap (C8)."""
     sp = special_ids(vocab)
     toks = F.reverse("tokens") if reverse else F.col("tokens")
-    ex = sents.select("sent_id", F.posexplode(toks).alias("pos", "token"))
+    # posexplode_outer keeps sentences without tokens (one row, pos NULL),
+    # so no join back to the sentence table is needed
+    ex = sents.select("sent_id", F.posexplode_outer(toks).alias("pos", "token"))
     j = ex.join(broadcast_checked(vocab.select("token", "id")), "token", "left")
-    j = j.withColumn("id", F.coalesce(F.col("id"), sp[UNK]))
-    grouped = j.groupBy("sent_id").agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("_p"))
-    body = sents.select("sent_id").join(grouped, "sent_id", "left")
-    ids = F.coalesce(F.transform("_p", lambda s: s["id"]), F.array().cast("array<int>"))
+    item = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce(F.col("id"), sp[UNK]).alias("id")))
+    grouped = j.groupBy("sent_id").agg(F.sort_array(F.collect_list(item)).alias("_p"))
+    ids = F.transform("_p", lambda s: s["id"])
     first, last = (sp[EOS], sp[BOS]) if reverse else (sp[BOS], sp[EOS])
-    return body.select("sent_id", F.concat(F.array(first), ids, F.array(last)).alias("ids"))
+    return grouped.select("sent_id", F.concat(F.array(first), ids, F.array(last)).alias("ids"))
 
 
 def decode(encoded: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -76,12 +79,14 @@ def decode(encoded: DataFrame, vocab: DataFrame) -> DataFrame:
     return g.select("sent_id", F.array_join(F.transform("_p", lambda s: s["token"]), " ").alias("text"))
 
 
-def next_token_pairs(encoded: DataFrame) -> DataFrame:
-    """(sent_id, pos, token_id, next_token_id) within each sentence."""
+def next_token_pairs(encoded: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(sent_id, pos, token_id, next_token_id) within each sentence,
+    row-local from the id array (no window over the sentence)."""
     n = F.size("ids") - 1
     z = F.arrays_zip(F.slice("ids", 1, n).alias("token_id"), F.slice("ids", 2, n).alias("next_token_id"))
-    return encoded.select("sent_id", F.posexplode(z).alias("pos", "p")).select(
-        "sent_id", "pos", F.col("p.token_id").alias("token_id"), F.col("p.next_token_id").alias("next_token_id"))
+    return encoded.select("sent_id", *keep, F.posexplode(z).alias("pos", "p")).select(
+        "sent_id", *keep, "pos", F.col("p.token_id").alias("token_id"),
+        F.col("p.next_token_id").alias("next_token_id"))
 
 
 def lm_batches(encoded: DataFrame, batch_size: int, num_steps: int) -> DataFrame:
@@ -90,13 +95,16 @@ def lm_batches(encoded: DataFrame, batch_size: int, num_steps: int) -> DataFrame
     A sentence goes to lane ``sent_id % batch_size`` and its pairs follow
     the previous sentence of that lane without gaps; the incomplete last
     batch is dropped.  For ``batch_size=1`` this is the sequential definition."""
+    encoded = materialize(encoded.select("sent_id", "ids"), "lm-encoded")
     sizes = encoded.select("sent_id", (F.col("sent_id") % batch_size).cast("int").alias("lane"),
                            (F.size("ids") - 1).cast("long").alias("n_pairs"))
     starts = prefix_sum(sizes, ["sent_id"], "n_pairs", ["lane"], "start")
     totals = sizes.groupBy("lane").agg(F.sum("n_pairs").alias("tot"))
     n_full = totals.select(F.min(F.floor(F.col("tot") / num_steps))).scalar()
     lanes_used = totals.select(F.count(F.lit(1))).scalar()
-    pairs = next_token_pairs(encoded).join(starts.select("sent_id", "lane", "start"), "sent_id")
+    # join per sentence, then explode the pairs (fewer rows through the join)
+    with_start = encoded.join(starts.select("sent_id", "lane", "start"), "sent_id")
+    pairs = next_token_pairs(with_start, ("lane", "start"))
     lane_pos = F.col("start") + F.col("pos")
     out = pairs.select((lane_pos / num_steps).cast("long").alias("batch_no"), "lane",
                        (lane_pos % num_steps).cast("int").alias("step"), "token_id", "next_token_id")

@@ -174,3 +174,16 @@ def q_build_all_models(spark, sf):
     for r in rows[1:]:
         out = out.unionByName(r)
     return out
+
+
+@register("stream_term_stats", f"WITH {TOK}, cnt AS (SELECT doc_id, term, count(*) AS cnt FROM (SELECT doc_id, unnest(toks) AS term FROM tok) GROUP BY ALL) "
+          "SELECT term, count(*)::BIGINT AS df, sum(cnt)::BIGINT AS cf FROM cnt GROUP BY term")
+def q_stream_term_stats(spark, sf):
+    """Structured Streaming: documents arrive as files, each micro-batch
+    appends term counts; term statistics are the re-aggregation."""
+    from tessera.streaming import incremental
+
+    sink = scratch_path(spark, "stream-sink")
+    q = incremental.start_term_counts(spark, sf, sink, scratch_path(spark, "stream-ckpt"), glob="documents.parquet")
+    q.awaitTermination()
+    return incremental.term_stats(spark, sink)

@@ -24,6 +24,8 @@ DEFAULT_CONF = {
     # keep at least one post-shuffle task per core on small inputs
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.session.timeZone": "UTC",
+    # a literal term list of a small query batch prunes row groups by min/max
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
 }

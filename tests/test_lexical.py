@@ -145,3 +145,16 @@ def test_engine_dispatch_and_unknown_model(spark):
     assert eng.search("BM25", queries_df(spark, ["fish"]), top=2).count() == 2
     with pytest.raises(KeyError):
         eng.search("nope", queries_df(spark, ["fish"]))
+
+
+def test_persisted_index_with_bucket_pruning_equals_in_memory(spark, tmp_path):
+    texts = ["w%d common x%d" % (i % 7, i % 3) for i in range(30)] + ["", "only zeros here"]
+    idx = lexical.build_lexical(docs_df(spark, texts), "bm25")
+    lexical.save_lexical(idx, str(tmp_path / "bm25"))
+    back = lexical.load_lexical(spark, str(tmp_path / "bm25"), "bm25")
+    qs = queries_df(spark, ["w3 x1", "nothing", "common"])
+    a = sorted(tuple(r) for r in lexical.search(idx, qs, 6).collect())
+    b = sorted(tuple(r) for r in lexical.search(back, qs, 6).collect())
+    assert a == b
+    plan = lexical.search(back, qs, 6)._jdf.queryExecution().executedPlan().toString()
+    assert "term_bucket" in plan
