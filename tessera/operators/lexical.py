@@ -176,8 +176,8 @@ def search(index: LexicalIndex, queries: DataFrame, k: int = 10, fill_zero: bool
     if "term_bucket" in index.postings.columns and n_terms <= MAX_PRUNE_TERMS:
         # few distinct terms (bounded): literal filters prune bucket folders
         # and row groups of the persisted postings
-        terms = sorted({r["term"] for r in qt.select("term").distinct().collect()})
-        buckets = sorted({r["b"] for r in qt.select(term_bucket("term").alias("b")).distinct().collect()})
+        pairs = qt.select("term", term_bucket("term").alias("b")).distinct().collect()
+        terms, buckets = sorted({r["term"] for r in pairs}), sorted({r["b"] for r in pairs})
         post = post.filter(F.col("term_bucket").isin(buckets) & F.col("term").isin(terms))
     qside = F.broadcast(qt) if n_bytes <= MAX_BROADCAST_BYTES else qt
     hits = post.join(qside, "term")
@@ -186,16 +186,23 @@ def search(index: LexicalIndex, queries: DataFrame, k: int = 10, fill_zero: bool
     scored = scored.withColumn("score", F.coalesce(F.col("score"), F.lit(0.0)))
     cands = scored.select("query_id", "text_idx", F.col("text_key").alias("doc_id"), "score")
     order = [F.round(F.col("score"), SCORE_DIGITS).desc(), F.col("text_idx").asc()]
-    if fill_zero:
-        qids = queries.select(F.col(qid).alias("query_id")).distinct()
-        positive = (scored.filter(F.round("score", SCORE_DIGITS) > 0).groupBy("query_id")
-                    .agg(F.count(F.lit(1)).alias("n_pos")).filter(F.col("n_pos") >= k))
-        needy = qids.join(positive, "query_id", "left_anti")
-        zero = _zero_candidates(scored.join(needy, "query_id", "left_semi"), needy, index.n_texts, k)
-        zero = zero.join(index.doc_keys.filter(F.col("doc_id") == F.col("text_key"))
-                         .select("text_idx", "doc_id"), "text_idx")
-        cands = cands.unionByName(zero.withColumn("score", F.lit(0.0)))
-    return _top_k(cands, k, order).select("query_id", "rank", "doc_id", "score")
+    ranked = _top_k(cands, k, order)
+    if not fill_zero:
+        return ranked.select("query_id", "rank", "doc_id", "score")
+    # at most k rows per query: the candidates the zero fill competes with
+    top = materialize(ranked.select("query_id", "text_idx", "doc_id", "score"), "search-topk")
+    qids = queries.select(F.col(qid).alias("query_id")).distinct()
+    full = (top.filter(F.round("score", SCORE_DIGITS) > 0).groupBy("query_id")
+            .agg(F.count(F.lit(1)).alias("n_pos")).filter(F.col("n_pos") >= k))
+    needy = qids.join(full, "query_id", "left_anti")
+    if needy.isEmpty():
+        # every query has k positive scores: no zero can enter a top-k
+        return _top_k(top, k, order).select("query_id", "rank", "doc_id", "score")
+    zero = _zero_candidates(scored.join(needy, "query_id", "left_semi"), needy, index.n_texts, k)
+    zero = zero.join(index.doc_keys.filter(F.col("doc_id") == F.col("text_key"))
+                     .select("text_idx", "doc_id"), "text_idx")
+    both = top.unionByName(zero.withColumn("score", F.lit(0.0)))
+    return _top_k(both, k, order).select("query_id", "rank", "doc_id", "score")
 
 
 def attach_text(results: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
