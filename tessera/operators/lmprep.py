@@ -34,9 +34,11 @@ def sentences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 def build_vocab(sents: DataFrame, size: int) -> DataFrame:
     """Three special tokens (ids 0-2), then the ``size`` most frequent
     tokens; ties in order of first occurrence.  Result is bounded by size+3."""
-    ex = sents.select("sent_id", F.posexplode("tokens").alias("pos", "token"))
-    counts = ex.groupBy("token").agg(F.count(F.lit(1)).alias("cnt"),
-                                     F.min(F.struct("sent_id", "pos")).alias("first"))
+    # first occurrence packed into one long (sentence ids below 2^43, positions
+    # below 2^20) so the aggregation stays a hash aggregate
+    ex = sents.select("sent_id", F.posexplode("tokens").alias("pos", "token")).select(
+        "token", (F.shiftleft(F.col("sent_id"), 20) + F.col("pos")).alias("at"))
+    counts = ex.groupBy("token").agg(F.count(F.lit(1)).alias("cnt"), F.min("at").alias("first"))
     top = counts.orderBy(F.col("cnt").desc(), F.col("first")).limit(size)
     w = Window.orderBy(F.col("cnt").desc(), F.col("first"))  # over at most `size` rows
     ranked = top.select("token", (F.row_number().over(w) + len(SPECIALS) - 1).cast("int").alias("id"))
