@@ -187,3 +187,34 @@ def q_stream_term_stats(spark, sf):
     q = incremental.start_term_counts(spark, sf, sink, scratch_path(spark, "stream-ckpt"), glob="documents.parquet")
     q.awaitTermination()
     return incremental.term_stats(spark, sink)
+
+
+def _encoder_sentence_vectors(spark, sents):
+    """L1 -> M6 -> E13: token encoder layers, softmax layer mix, mean pool."""
+    from tessera.plans.catalog_dense import weights_table
+
+    tv = encoders.token_layer_vectors(sents)
+    return dense.mean_pool(dense.layer_mix(tv, weights_table(spark)))
+
+
+@register("contextual_encoder_index")
+def q_contextual_encoder_index(spark, sf):
+    """F9 with a pluggable token encoder over conversation turns."""
+    conv = table(spark, sf, "conversations")
+    sents = conv.select((F.col("conv_id") * 1000 + F.col("turn")).alias("sent_id"),
+                        tx.word_tokens("text").alias("tokens"))
+    vec = _encoder_sentence_vectors(spark, sents)
+    return rounded(vec.select("sent_id", F.size("vec").alias("dim"), norm("vec").alias("norm")))
+
+
+@register("contextual_encoder_search")
+def q_contextual_encoder_search(spark, sf):
+    """benchmark texts encoded by the same token encoder, searched
+    against the conversation-turn vectors by cosine distance."""
+    conv = table(spark, sf, "conversations")
+    items = _encoder_sentence_vectors(spark, conv.select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("sent_id"), tx.word_tokens("text").alias("tokens")))
+    qs = _encoder_sentence_vectors(spark, table(spark, sf, "benchmark").select(
+        F.col("item_id").alias("sent_id"), tx.word_tokens("text").alias("tokens"))).withColumnRenamed("sent_id", "query_id")
+    res = dense.cosine_topk(items.withColumnRenamed("sent_id", "doc_id"), qs, 10)
+    return rounded(res.select("query_id", F.col("rank").cast("long").alias("rank"), F.col("doc_id").alias("sent_id"), "score"))

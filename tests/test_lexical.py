@@ -158,3 +158,10 @@ def test_persisted_index_with_bucket_pruning_equals_in_memory(spark, tmp_path):
     assert a == b
     plan = lexical.search(back, qs, 6)._jdf.queryExecution().executedPlan().toString()
     assert "term_bucket" in plan
+
+
+def test_c6_query_coercion(spark):
+    from tessera.plans.engine import as_queries
+
+    assert [r.text for r in as_queries(spark, "one query").collect()] == ["one query"]
+    assert [r.text for r in as_queries(spark, ["a b", ["c", "d"], 7]).orderBy("query_id").collect()] == ["a b", "c d", "7"]
