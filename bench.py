@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from tessera.functions.text import word_tokens  # noqa: E402
-from tessera.operators import corpus, dense, lexical, lmprep, stats  # noqa: E402
+from tessera.operators import corpus, dense, encoders, lexical, lmprep, stats  # noqa: E402
 from tessera.plans import catalog_dense  # noqa: E402
 from tessera.session import get_spark, scratch_path  # noqa: E402
 from tessera.sources.tables import benchmark_queries, documents, table  # noqa: E402
@@ -60,6 +60,10 @@ def main():
             dv.write.parquet(f"{root}/ft")
 
         timed("fasttext_index", ft_index)
+        timed("sentence_index", lambda: encoders.sentence_vectors(docs).write.parquet(f"{root}/bert"))
+        timed("contextual_index", lambda: dense.mean_pool(dense.layer_mix(
+            dense.token_vectors_from_embeddings(table(spark, sf_dir, "embeddings")),
+            catalog_dense.weights_table(spark))).write.parquet(f"{root}/elmo"))
         timed("level_counts", lambda: corpus.level_counts(
             corpus.group_counts(table(spark, sf_dir, "documents"), "lang", "source", word_tokens("text")))
             .write.parquet(f"{root}/levels"))

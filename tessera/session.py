@@ -53,11 +53,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``; we only fall back to a
     folder of our own when it is unset (local tests).
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext
+        return configured or tempfile.mkdtemp(prefix="tessera-ckpt-")
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
@@ -92,8 +96,11 @@ def spread(df: DataFrame, keys: list[str] | None = None, min_partitions: int | N
     the input redistributed, hash-partitioned on ``keys`` (round-robin would
     sort the long text rows first).  On a cluster reading many files the scan
     already has enough splits and this is a no-op (no shuffle)."""
-    sc = df.sparkSession.sparkContext
-    want = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        sc = df.sparkSession.sparkContext
+        want = min_partitions or sc.defaultParallelism
+        if df.rdd.getNumPartitions() >= want:
+            return df
+    except Exception:  # noqa: BLE001 - sessions without the RDD API: leave as is
         return df
     return df.repartition(want, *keys) if keys else df.repartition(want)
