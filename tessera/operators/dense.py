@@ -53,11 +53,13 @@ def derived_word_vectors(vocab: DataFrame, embeddings: DataFrame) -> DataFrame:
         F.col("term").alias("word"), F.col("embedding").alias("vec"))
 
 
-def mean_word_vectors(counts: DataFrame, lengths: DataFrame, word_vectors: DataFrame, dim: Column) -> DataFrame:
+def mean_word_vectors(counts: DataFrame, lengths: DataFrame, word_vectors: DataFrame, dim: Column,
+                      term_freq: DataFrame | None = None) -> DataFrame:
     """(doc_id, vec) = sum of word vectors over all tokens divided by
     the token count (S14); words without a vector add zero (S15); a document
     with no token or no vector gets a zero vector."""
-    df_per_term = counts.groupBy("term").agg(F.count(F.lit(1)).alias("freq"))
+    df_per_term = (term_freq.select("term", F.col("df").alias("freq")) if term_freq is not None
+                   else counts.groupBy("term").agg(F.count(F.lit(1)).alias("freq")))
     wv = word_vectors.withColumnRenamed("word", "term").join(df_per_term, "term")
     hits = skew_safe_lookup(counts.select("doc_id", "term", "cnt"), wv, "term", "freq")
     sums = vector_sum(hits, ["doc_id"], scaled("vec", "cnt"))
@@ -76,12 +78,12 @@ def fasttext_model(coll, embeddings: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     coll = coll if isinstance(coll, Collection) else Collection(coll)
     counts = coll.counts
-    wv = materialize(derived_word_vectors(counts.select("term"), embeddings), "word-vectors")
+    wv = materialize(derived_word_vectors(coll.term_stats.select("term"), embeddings), "word-vectors")
     dim = embeddings.select(F.max(F.size("embedding"))).scalar()
     per_doc = counts.select("doc_id", "dl").distinct()
     lengths = (coll.docs.select("doc_id").join(per_doc, "doc_id", "left")
                .select("doc_id", F.coalesce(F.col("dl"), F.lit(0)).alias("dl")))
-    return wv, mean_word_vectors(counts, lengths, wv, dim)
+    return wv, mean_word_vectors(counts, lengths, wv, dim, coll.term_stats)
 
 
 def text_vectors(texts: DataFrame, word_vectors: DataFrame, dim: Column, id_col: str = "doc_id",

@@ -47,13 +47,13 @@ def doc_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 # ---------------------------------------------------------------- BM25
-def bm25_idf(counts: DataFrame, n_docs: Column, n_qi: str = "document") -> DataFrame:
+def bm25_idf(counts: DataFrame, n_docs: Column, n_qi: str = "document", st: DataFrame | None = None) -> DataFrame:
     """(term, n_qi, idf, df).  idf = ln((N - n + 0.5) / (n + 0.5)), no
     floor (S10).  ``n_qi='collection'`` counts occurrences (S8); a term
     occurring at least N + 0.5 times then has no idf (NULL, S9)."""
     if n_qi not in ("document", "collection"):
         raise ValueError("n_qi must be 'document' or 'collection'")
-    st = stats.term_stats(counts)
+    st = st if st is not None else stats.term_stats(counts)
     n = F.col("df") if n_qi == "document" else F.col("cf")
     ratio = (n_docs - n + F.lit(0.5)) / (n + F.lit(0.5))
     idf = F.when(ratio > 0, F.ln(ratio))
@@ -82,7 +82,7 @@ def bm25_postings(coll: "Collection", k: float = 2.0, b: float = 0.75,
     counts, keys = coll.counts, coll.keys
     n_docs = coll.n_docs
     avgdl = counts.select(F.sum("cnt").cast("double")).scalar() / n_docs
-    idf = bm25_idf(counts, n_docs, n_qi)
+    idf = bm25_idf(counts, n_docs, n_qi, coll.term_stats)
     joined = skew_safe_lookup(counts, idf, "term", "df")
     weight = bm25_weight(F.col("cnt"), F.col("dl"), F.col("idf"), avgdl, k, b, tf, dup)
     post = joined.select("term", "doc_id", "cnt", "dl", "idf", weight.alias("weight"))
@@ -128,7 +128,7 @@ class Collection:
     def __init__(self, docs: DataFrame, tokenizer=word_tokens, id_col: str = "doc_id", text_col: str = "text"):
         self.docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
         self.tokenizer = tokenizer
-        self._counts = self._keys = None
+        self._counts = self._keys = self._stats = None
 
     @property
     def tokens(self) -> DataFrame:
@@ -141,6 +141,13 @@ class Collection:
             self._counts = materialize(stats.term_counts(self.tokens), "term-counts")
         return self._counts
 
+    @property
+    def term_stats(self) -> DataFrame:
+        """(term, df, cf), shared by the idf tables and the vector joins."""
+        if self._stats is None:
+            self._stats = materialize(stats.term_stats(self.counts), "term-stats")
+        return self._stats
+
     @property
     def keys(self) -> DataFrame:
         if self._keys is None:
@@ -273,12 +280,18 @@ def term_bucket(term) -> Column:
     return F.pmod(F.xxhash64(t), F.lit(TERM_BUCKETS)).cast("int")
 
 
-def save_lexical(index: LexicalIndex, path: str, buckets: int = TERM_BUCKETS) -> None:
-    """Persist postings partitioned by term bucket (one shuffle, so each bucket
-    folder gets few files) and sorted by term inside each file, so row-group
-    statistics also prune; and the doc keys."""
+def save_lexical(index: LexicalIndex, path: str, partitions: int | None = None) -> None:
+    """Persist postings partitioned by term bucket and sorted by term inside
+    each file (row-group statistics prune too), and the doc keys.
+
+    The write is range partitioned on (bucket, term) over ``partitions``
+    tasks (default: the shuffle partition count): every task writes a
+    contiguous slice, so a bucket folder gets few files and the write scales
+    with the cluster rather than with the bucket count."""
+    spark = index.postings.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     post = index.postings.withColumn("term_bucket", term_bucket("term"))
-    (post.repartition(buckets, "term_bucket").sortWithinPartitions("term")
+    (post.repartitionByRange(n, "term_bucket", "term").sortWithinPartitions("term_bucket", "term")
      .write.mode("overwrite").partitionBy("term_bucket").parquet(f"{path}/postings"))
     index.doc_keys.write.mode("overwrite").parquet(f"{path}/doc_keys")
 

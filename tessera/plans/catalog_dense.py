@@ -21,20 +21,23 @@ def _dim(spark, sf):
     return table(spark, sf, "embeddings").select(F.max(F.size("embedding"))).scalar()
 
 
+def fasttext(spark, sf):
+    """(word_vectors, doc_vectors) from one shared collection."""
+    return dense.fasttext_model(lexical.Collection(documents(spark, sf)), table(spark, sf, "embeddings"))
+
+
 def word_vectors(spark, sf):
-    tok = stats.tokenize(documents(spark, sf))
-    vocab = tok.select(F.explode("tokens").alias("term"))
-    return dense.derived_word_vectors(vocab, table(spark, sf, "embeddings"))
+    return fasttext(spark, sf)[0]
 
 
 def doc_vectors(spark, sf):
-    return dense.text_vectors(documents(spark, sf), word_vectors(spark, sf), _dim(spark, sf))
+    return fasttext(spark, sf)[1]
 
 
-def query_vectors(spark, sf):
+def query_vectors(spark, sf, wv=None):
     q = benchmark_queries(spark, sf)
-    return dense.text_vectors(q, word_vectors(spark, sf), _dim(spark, sf), "query_id").withColumnRenamed(
-        "doc_id", "query_id")
+    wv = wv if wv is not None else word_vectors(spark, sf)
+    return dense.text_vectors(q, wv, _dim(spark, sf), "query_id").withColumnRenamed("doc_id", "query_id")
 
 
 def token_vectors(spark, sf):
@@ -89,9 +92,10 @@ rv AS (SELECT dv.* FROM dv JOIN keys k ON k.doc_id = dv.doc_id AND k.doc_id = k.
 {_cosine_sql('rv', 'doc_id')}""")
 def q_fasttext_search(spark, sf):
     """F8 over distinct texts (S1): representatives only."""
-    keys = lexical.doc_keys(documents(spark, sf)).filter("doc_id = text_key").select("doc_id")
-    items = doc_vectors(spark, sf).join(keys, "doc_id")
-    return _search_out(dense.cosine_topk(items, query_vectors(spark, sf), 10))
+    coll = lexical.Collection(documents(spark, sf))
+    wv, dv = dense.fasttext_model(coll, table(spark, sf, "embeddings"))
+    items = dv.join(coll.keys.filter("doc_id = text_key").select("doc_id"), "doc_id")
+    return _search_out(dense.cosine_topk(items, query_vectors(spark, sf, wv), 10))
 
 
 EMB = """el AS (SELECT vec_id, unnest(range(len(embedding))) AS dim, unnest(embedding)::DOUBLE AS val FROM embeddings)"""
