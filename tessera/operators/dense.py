@@ -179,7 +179,8 @@ def token_vectors_from_embeddings(emb: DataFrame, n_layers: int = 3, per_sentenc
 
 def layer_softmax(weights: DataFrame) -> DataFrame:
     """M5: softmax over the (small) layer weight table; adding 1/n cancels."""
-    return weights.select("layer", "w", (F.exp("w") / F.sum(F.exp("w")).over(Window.partitionBy())).alias("sw"))
+    total = weights.select(F.sum(F.exp("w"))).scalar()
+    return weights.select("layer", "w", (F.exp("w") / total).alias("sw"))
 
 
 def layer_norm(tv: DataFrame, batch: Column, eps: float = 1e-12) -> DataFrame:

@@ -79,10 +79,15 @@ def dense_index(df: DataFrame, order_cols: list[str], name: str = "idx",
     tagged = materialize(ranged.withColumn("_mid", F.monotonically_increasing_id()))
     tagged = (tagged.withColumn("_pid", F.shiftright(F.col("_mid"), 33))
                     .withColumn("_loc", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))))
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
-    # one row per partition: bounded by the partition count
+    # one count per partition (bounded by the partition count), combined in
+    # order on the driver - the same bookkeeping RDD.zipWithIndex does
+    counts = sorted((r["_pid"], r["_cnt"]) for r in
+                    tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt")).collect())
+    rows, acc = [], 0
+    for pid, cnt in counts:
+        rows.append((pid, acc))
+        acc += cnt
+    offsets = spark.createDataFrame(rows, "_pid long, _off long")
     out = tagged.join(F.broadcast(offsets), "_pid")
     return out.withColumn(name, (F.col("_off") + F.col("_loc")).cast("long")).drop(
         "_mid", "_pid", "_loc", "_off")
