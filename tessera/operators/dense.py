@@ -113,13 +113,18 @@ def _topk_batches(qids: np.ndarray, qmat: np.ndarray, k: int, id_col: str):
                 dist = 1.0 - (x @ qmat.T) / den
             dist[den == 0] = np.nan  # S13: zero vector -> no distance
             key = np.round(dist, DIST_DIGITS)
+            key = np.where(np.isnan(key), np.inf, key)
+            # k-th smallest key per query in one vectorised pass; only rows at
+            # or below it (k plus ties) need the exact (key, id) order
+            kk = min(k, key.shape[0])
+            kth = np.partition(key, kk - 1, axis=0)[kk - 1]
+            cand = key <= kth[None, :]
             out_q, out_i, out_d = [], [], []
             for j in range(len(qids)):
-                col = key[:, j]
-                ok = np.flatnonzero(~np.isnan(col))
-                if ok.size == 0:
+                rows = np.flatnonzero(cand[:, j] & np.isfinite(key[:, j]))
+                if rows.size == 0:
                     continue
-                order = ok[np.lexsort((ids[ok], col[ok]))][:k]
+                order = rows[np.lexsort((ids[rows], key[rows, j]))][:k]
                 out_q.append(np.full(order.size, qids[j]))
                 out_i.append(ids[order])
                 out_d.append(dist[order, j])
