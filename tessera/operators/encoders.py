@@ -92,14 +92,18 @@ def token_layer_vectors(sents: DataFrame, encoder: str = "hashing") -> DataFrame
         for pdf in batches:
             toks = [list(t) if t is not None else [] for t in pdf["tokens"]]
             outs = fn(toks)
-            rows_s, rows_l, rows_p, rows_v = [], [], [], []
+            parts = []
             for sid, arr in zip(pdf["sent_id"].tolist(), outs):
-                for layer in range(arr.shape[0]):
-                    for pos in range(arr.shape[1]):
-                        rows_s.append(sid)
-                        rows_l.append(layer)
-                        rows_p.append(pos)
-                        rows_v.append(arr[layer, pos].astype(np.float32))
-            yield pd.DataFrame({"sent_id": rows_s, "layer": rows_l, "pos": rows_p, "vec": rows_v})
+                n_layers, n_tok = arr.shape[0], arr.shape[1]
+                if n_tok == 0:
+                    continue
+                flat = arr.reshape(n_layers * n_tok, -1).astype(np.float32)
+                parts.append(pd.DataFrame({
+                    "sent_id": np.full(n_layers * n_tok, sid, dtype=np.int64),
+                    "layer": np.repeat(np.arange(n_layers, dtype=np.int32), n_tok),
+                    "pos": np.tile(np.arange(n_tok, dtype=np.int32), n_layers),
+                    "vec": list(flat)}))
+            if parts:
+                yield pd.concat(parts, ignore_index=True)
 
     return sents.select("sent_id", "tokens").mapInPandas(run, schema)
