@@ -57,12 +57,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - sessions without a SparkContext
-        return configured or tempfile.mkdtemp(prefix="tessera-ckpt-")
+        if not configured:
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+        # local runs (tests) only: a folder of our own
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
