@@ -231,7 +231,7 @@ def q_token_embed_lookup(spark, sf):
     n_emb = emb.select(F.count(F.lit(1))).scalar()
     t = _padded(spark, sf).select("sent_id", F.posexplode("padded").alias("pos", "padded_id"))
     t = t.withColumn("vec_id", F.when(F.col("padded_id") > 0, F.pmod(F.col("padded_id") - 1, n_emb)))
-    # the table grows with the vocabulary (bounded by VOCAB_SIZE + 3 rows)
+    # one norm per embedding row; ids reach at most VOCAB_SIZE + 3 of them
     table_ = emb.select("vec_id", norm("embedding").alias("n"))
     j = t.join(table_, "vec_id", "left")
     return rounded(j.select("sent_id", "pos", "padded_id",
