@@ -29,7 +29,7 @@ from tessera.sources.tables import benchmark_queries, documents, table  # noqa:
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     os.environ.setdefault("BENCH_CPUS", str(cpus))
     parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
     spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=parts)
