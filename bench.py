@@ -76,7 +76,7 @@ def main():
         timed("tfidf_search", lambda: lexical.search(tf, queries, 10).collect())
         ft, wv = spark.read.parquet(f"{root}/ft"), spark.read.parquet(f"{root}/wv")
         timed("fasttext_search", lambda: dense.cosine_topk(
-            ft, dense.text_vectors(queries, wv, wv.select(F.max(F.size("vec"))).scalar(), "query_id").withColumnRenamed("doc_id", "query_id"),
+            ft, dense.text_vectors(queries, wv, wv.select(F.max(F.size("vec"))).first()[0], "query_id").withColumnRenamed("doc_id", "query_id"),
             10).collect())
 
     med = {k: sorted(v)[len(v) // 2] for k, v in times.items()}

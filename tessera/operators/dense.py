@@ -35,10 +35,23 @@ def scaled(vec, w) -> Column:
     return F.transform(vc, lambda x: x.cast("double") * wc.cast("double"))
 
 
-def vector_sum(df: DataFrame, keys: list[str], vec: Column, extra: dict | None = None) -> DataFrame:
-    """M4: element-wise sum of ARRAY vectors per key (double accumulation)."""
-    aggs = [vector_to_array(Summarizer.sum(array_to_vector(vec))).alias("vec")]
-    aggs += [c.alias(n) for n, c in (extra or {}).items()]
+# Up to this many dimensions a vector sum is one codegen'd hash aggregate with
+# a double buffer per dimension; wider vectors use MLlib's Summarizer.
+MAX_UNROLLED_DIM = 256
+
+
+def vector_sum(df: DataFrame, keys: list[str], vec: Column, extra: dict | None = None,
+               dim: int | None = None) -> DataFrame:
+    """M4: element-wise sum of ARRAY vectors per key (double accumulation),
+    with map-side partial aggregation either way."""
+    extra_aggs = [c.alias(n) for n, c in (extra or {}).items()]
+    if dim is not None and 0 < dim <= MAX_UNROLLED_DIM:
+        tmp = df.withColumn("_v", vec)
+        sums = [F.sum(F.col("_v")[i].cast("double")).alias(f"_s{i}") for i in range(dim)]
+        out = tmp.groupBy(*keys).agg(*sums, *extra_aggs)
+        return out.select(*keys, F.array(*[F.col(f"_s{i}") for i in range(dim)]).alias("vec"),
+                          *[n for n in (extra or {})])
+    aggs = [vector_to_array(Summarizer.sum(array_to_vector(vec))).alias("vec")] + extra_aggs
     return df.groupBy(*keys).agg(*aggs)
 
 
@@ -62,9 +75,9 @@ def mean_word_vectors(counts: DataFrame, lengths: DataFrame, word_vectors: DataF
                    else counts.groupBy("term").agg(F.count(F.lit(1)).alias("freq")))
     wv = word_vectors.withColumnRenamed("word", "term").join(df_per_term, "term")
     hits = skew_safe_lookup(counts.select("doc_id", "term", "cnt"), wv, "term", "freq")
-    sums = vector_sum(hits, ["doc_id"], scaled("vec", "cnt"))
+    sums = vector_sum(hits, ["doc_id"], scaled("vec", "cnt"), dim=dim if isinstance(dim, int) else None)
     out = lengths.join(sums, "doc_id", "left")
-    zero = F.array_repeat(F.lit(0.0), dim)
+    zero = F.array_repeat(F.lit(0.0), F.lit(dim) if isinstance(dim, int) else dim)
     vec = F.when((F.col("dl") > 0) & F.col("vec").isNotNull(),
                  F.transform("vec", lambda x: x / F.col("dl").cast("double"))).otherwise(zero)
     return out.select("doc_id", vec.alias("vec"))
@@ -79,7 +92,7 @@ def fasttext_model(coll, embeddings: DataFrame) -> tuple[DataFrame, DataFrame]:
     coll = coll if isinstance(coll, Collection) else Collection(coll)
     counts = coll.counts
     wv = materialize(derived_word_vectors(coll.term_stats.select("term"), embeddings), "word-vectors")
-    dim = embeddings.select(F.max(F.size("embedding"))).scalar()
+    dim = embeddings.select(F.max(F.size("embedding"))).first()[0] or 0
     per_doc = counts.select("doc_id", "dl").distinct()
     lengths = (coll.docs.select("doc_id").join(per_doc, "doc_id", "left")
                .select("doc_id", F.coalesce(F.col("dl"), F.lit(0)).alias("dl")))

@@ -17,8 +17,8 @@ from tessera.sources.tables import benchmark_queries, documents, table
 LAYER_WEIGHTS = [0.0, 0.5, 1.0]
 
 
-def _dim(spark, sf):
-    return table(spark, sf, "embeddings").select(F.max(F.size("embedding"))).scalar()
+def _dim(spark, sf) -> int:
+    return table(spark, sf, "embeddings").select(F.max(F.size("embedding"))).first()[0] or 0
 
 
 def fasttext(spark, sf):

@@ -59,3 +59,10 @@ def test_s25_token_similarity_last_occurrence(spark):
     toks = spark.createDataFrame([(0, 0, "q"), (1, 0, "a"), (1, 1, "b"), (1, 2, "a")], "sent_id long, pos int, word string")
     rows = {(r.word, r.pos, r.rank) for r in dense.token_similarity(toks, wv).collect()}
     assert rows == {("a", 2, 1), ("b", 1, 2)}
+
+
+def test_vector_sum_unrolled_equals_summarizer(spark):
+    df = spark.createDataFrame([(k % 3, [float(k), float(-k), 0.5]) for k in range(20)], "g long, v array<double>")
+    a = {r.g: r.vec for r in dense.vector_sum(df, ["g"], F.col("v"), dim=3).collect()}
+    b = {r.g: r.vec for r in dense.vector_sum(df, ["g"], F.col("v")).collect()}
+    assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k]) for k in a)
