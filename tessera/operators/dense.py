@@ -212,20 +212,21 @@ def layer_norm(tv: DataFrame, batch: Column, eps: float = 1e-12) -> DataFrame:
     return j.select("sent_id", "layer", "pos", "batch", vec.alias("vec"))
 
 
-def layer_mix(tv: DataFrame, weights: DataFrame, gamma: float = 1.0, top_only: bool = False) -> DataFrame:
+def layer_mix(tv: DataFrame, weights: DataFrame, gamma: float = 1.0, top_only: bool = False,
+              dim: int | None = None) -> DataFrame:
     """M6: sum_l softmax(w)_l * vec_l per token, times gamma; or the top layer."""
     if top_only:
         top = tv.select(F.max("layer")).scalar()
         return tv.filter(F.col("layer") == top).select("sent_id", "pos", scaled("vec", F.lit(gamma)).alias("vec"))
     sw = broadcast_checked(layer_softmax(weights).select("layer", "sw"))
     j = tv.join(sw, "layer")
-    mixed = vector_sum(j, ["sent_id", "pos"], scaled("vec", "sw"))
+    mixed = vector_sum(j, ["sent_id", "pos"], scaled("vec", "sw"), dim=dim)
     return mixed.select("sent_id", "pos", scaled("vec", F.lit(gamma)).alias("vec"))
 
 
-def mean_pool(tv: DataFrame, key: str = "sent_id") -> DataFrame:
+def mean_pool(tv: DataFrame, key: str = "sent_id", dim: int | None = None) -> DataFrame:
     """Mean of token vectors per sentence."""
-    s = vector_sum(tv, [key], F.col("vec"), {"n": F.count(F.lit(1))})
+    s = vector_sum(tv, [key], F.col("vec"), {"n": F.count(F.lit(1))}, dim=dim)
     return s.select(key, F.transform("vec", lambda x: x / F.col("n").cast("double")).alias("vec"))
 
 
