@@ -61,9 +61,10 @@ def main():
 
         timed("fasttext_index", ft_index)
         timed("sentence_index", lambda: encoders.sentence_vectors(docs).write.parquet(f"{root}/bert"))
+        dim = catalog_dense._dim(spark, sf_dir)
         timed("contextual_index", lambda: dense.mean_pool(dense.layer_mix(
             dense.token_vectors_from_embeddings(table(spark, sf_dir, "embeddings")),
-            catalog_dense.weights_table(spark))).write.parquet(f"{root}/elmo"))
+            catalog_dense.weights_table(spark), dim=dim), dim=dim).write.parquet(f"{root}/elmo"))
         timed("level_counts", lambda: corpus.level_counts(
             corpus.group_counts(table(spark, sf_dir, "documents"), "lang", "source", word_tokens("text")))
             .write.parquet(f"{root}/levels"))
