@@ -165,3 +165,13 @@ def test_c6_query_coercion(spark):
 
     assert [r.text for r in as_queries(spark, "one query").collect()] == ["one query"]
     assert [r.text for r in as_queries(spark, ["a b", ["c", "d"], 7]).orderBy("query_id").collect()] == ["a b", "c d", "7"]
+
+
+def test_engine_build_all_shares_one_collection(spark):
+    from tessera.plans.engine import Engine, as_queries
+
+    eng = Engine(docs_df(spark, M_ZERO))
+    assert eng.build_all(["BM25", "Tf-idf"]) == ["bm25", "tfidf"]
+    assert eng.index("bm25").doc_keys is eng.index("tf-idf").doc_keys  # keys computed once
+    q = as_queries(spark, queries_df(spark, ["fish"]).withColumnRenamed("text", "q"), text="q")
+    assert eng.search("tf-idf", q, top=2).count() == 2
