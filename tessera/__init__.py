@@ -9,3 +9,11 @@ preparation.  No driver-side collection of data; results are deterministic.
 from tessera.session import get_spark, checkpoint_dir, materialize
 
 __all__ = ["get_spark", "checkpoint_dir", "materialize"]
+
+import sys
+
+from pyspark import cloudpickle
+
+# Python functions of the package travel to the workers by value: executors
+# need NumPy, pandas and Arrow, but no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
