@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import sys
+import types
+from collections.abc import Callable, Hashable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,3 +50,12 @@ def spare_name(df: DataFrame, base: str) -> str:
 def crc_mod(doc_id: Column, n: int) -> Column:
     """crc32 of the id's text, modulo `n`; a null id counts as an empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
+
+
+def worker_cache(key: Hashable, make: Callable[[], Any]) -> Any:
+    """`make()`, once per Python worker.  Functions reach a worker by value and
+    anew for each task, so their globals can't hold what should outlast one."""
+    held = sys.modules.setdefault("tessera_worker_cache", types.ModuleType("tessera_worker_cache")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]
