@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import linededup, mixing, quality, sentencepieces, sharding, topk, toxicity
+from tessera.llm import linededup, mixing, ngramjoin, quality, sentencepieces, sharding, topk, toxicity
 from tessera.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,8 @@ SQL["op5_exact_topk"] = topk.ORACLE
 @query
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.link_components(table(spark, sf_dir, "documents"))

@@ -7,7 +7,9 @@ broadcast is the list of non-zero weights, at most one per hash bucket.
 
 The model is fitted on a bounded sample: the MAX_TRAINING labelled documents
 with the lowest seeded hash of their id.  Their features are computed where the
-texts lie, and one task runs the sequential updates over these rows of integers.
+texts lie, and one task runs the sequential updates over these rows of integers.  A part
+of the sample that takes no part in them sets the intercept, so that 0.5 is the
+score that separates best.
 Every whole text is then scored, batch by batch.
 
 Defined results: null and empty texts score as a text without features (the
@@ -38,11 +40,12 @@ SEED = 7
 
 @dataclass(frozen=True)
 class Settings:
-    alpha: float = 0.3
+    alpha: float = 2.0
     beta: float = 1.0
-    l1: float = 1.0
-    l2: float = 1.0
-    epochs: int = 4
+    l1: float = 3.0
+    l2: float = 0.0
+    epochs: int = 6
+    calibrated_on: int = 5  # every so many-th document of the sample sets the intercept
 
 
 class _Hashes(dict):
@@ -99,6 +102,22 @@ class Ftrl:
         self.n[at] = n + g * g
 
 
+def best_cut(scores: np.ndarray, labels: np.ndarray) -> float:
+    """The cut between two scores with the highest F1 of what lies above it; of
+    equal ones the widest gap.  0 without both labels."""
+    if labels.min() == labels.max():
+        return 0.0
+    order = np.argsort(-scores, kind="stable")
+    s, y = scores[order], labels[order]
+    f1 = 2 * np.cumsum(y)[:-1] / (np.arange(1, len(y)) + y.sum())
+    gap = s[:-1] - s[1:]
+    best = np.flatnonzero((gap > 0) & (f1 >= f1[gap > 0].max(initial=0) - 1e-12))
+    if not len(best):
+        return 0.0
+    k = best[gap[best].argmax()]
+    return float((s[k] + s[k + 1]) / 2)
+
+
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id",
         text_col: str = "text", max_training: int = MAX_TRAINING) -> tuple[np.ndarray, np.ndarray]:
     """Indexes and values of the non-zero weights; the intercept's index is
@@ -115,11 +134,17 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_
         examples = [(y, np.append(np.frombuffer(x, np.int32).astype(np.int64), 1 << HASH_BITS))
                     for b in batches for y, x in zip(b.column("label").to_pylist(), b.column("features").to_pylist())]
         model = Ftrl(settings)
+        fitted = [x for k, x in enumerate(examples) if k % settings.calibrated_on]
         for _ in range(settings.epochs):
-            for y, at in examples:
+            for y, at in fitted or examples:
                 model.learn(at, y)
         at = np.flatnonzero(model.z) if examples else np.zeros(0, np.int64)
         w = model.weights(at)
+        others = examples[::settings.calibrated_on]
+        if fitted and others:
+            cut = best_cut(np.array([model.weights(x).sum() for _, x in others]), np.array([y for y, _ in others]))
+            bias = at == 1 << HASH_BITS
+            w[bias] -= cut
         yield pa.RecordBatch.from_arrays([pa.array(at[w != 0]), pa.array(w[w != 0])], names=["at", "w"])
 
     got = (rows.mapInArrow(_feature_batches, "place long, label int, features binary")
