@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import linededup, mixing, ngramjoin, ppm, quality, sentencepieces, sharding, topk, toxicity
+from tessera.llm import linededup, mixing, ngramjoin, ppm, quality, sentencepieces, sharding, substrings, topk, toxicity
 from tessera.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,8 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digest(table(spark, sf_dir, "documents"))

@@ -35,7 +35,7 @@ not matter; `keep_one` keeps them, whatever their names.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from math import ceil
 
 import numpy as np
@@ -234,7 +234,7 @@ class _Meeting:
             names=["kind", "a", "b", "sig"])
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     meeting, carry = _Meeting(), None
     for batch in batches:
         rows = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(3)]
@@ -253,7 +253,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from meeting.runs(*carry, more=False)
 
 
-def _short(s: np.ndarray) -> np.ndarray:
+def short_set(s: np.ndarray) -> np.ndarray:
     """A set as 32-bit hashes, led by its size: half the bytes, and never fewer
     common shingles than may_link allows for."""
     return np.concatenate([[len(s)], np.unique(s >> np.uint64(32))]).astype(np.uint32)
@@ -267,6 +267,10 @@ def may_link(x: np.ndarray, y: np.ndarray, same: int | np.ndarray) -> bool | np.
     return 100 * most >= PERCENT * (nx + ny - most)
 
 
+#: Looks up (id, set) of the members in a table of ids, as short sets or whole ones.
+SetsOf = Callable[[DataFrame, bool], DataFrame]
+
+
 def _needed_sets(docs: DataFrame, ids: DataFrame, short: bool) -> DataFrame:
     """(id, set) of the documents in `ids`."""
     ids = materialize(ids.distinct(), "needed")
@@ -274,7 +278,7 @@ def _needed_sets(docs: DataFrame, ids: DataFrame, short: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for got, sets in _sets(batches):
-            rows = [(_short(s) if short else s).tobytes() for s in sets]
+            rows = [(short_set(s) if short else s).tobytes() for s in sets]
             yield pa.RecordBatch.from_arrays([pa.array(got, pa.int64()), pa.array(rows, pa.binary())], names=["id", "set"])
 
     return docs.join(ids, "id").select("id", "text").mapInArrow(run, "id long, set binary")
@@ -284,7 +288,7 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
     return len(np.intersect1d(x, y, assume_unique=True))
 
 
-def _filtered(pairs: DataFrame, docs: DataFrame, short: bool) -> DataFrame:
+def filter_pairs(pairs: DataFrame, sets_of: SetsOf, short: bool) -> DataFrame:
     """The pairs (a, b) that link, or may link by their short sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -299,16 +303,16 @@ def _filtered(pairs: DataFrame, docs: DataFrame, short: bool) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
-    sets = materialize(_needed_sets(docs, ids, short), "sets")
+    sets = materialize(sets_of(ids, short), "sets")
     x = sets.select(F.col("id").alias("a"), F.col("set").alias("x"))
     y = sets.select(F.col("id").alias("b"), F.col("set").alias("y"))
     found = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
     return materialize(found, "links")
 
 
-def _links(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def links_of(pairs: DataFrame, sets_of: SetsOf) -> DataFrame:
     """The pairs (a, b) that link: short sets first, whole ones for the rest."""
-    return _filtered(_filtered(pairs, docs, True), docs, False)
+    return filter_pairs(filter_pairs(pairs, sets_of, True), sets_of, False)
 
 
 def _in_cell(frame: pd.DataFrame) -> pd.DataFrame:
@@ -355,23 +359,27 @@ def _in_cell(frame: pd.DataFrame) -> pd.DataFrame:
                          "b": np.concatenate([y for _, y in out] or [np.zeros(0, np.int64)])})
 
 
-def _open_links(open_runs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links between members of long runs that are in different components yet.
-    A run is cut into blocks of bounded bytes, and each two blocks meet in a cell
-    that compares their members in place: no row is made for a pair that does not
-    link."""
-    sets = materialize(_needed_sets(docs, open_runs.select(F.col("node").alias("id")), True), "sets")
+def compare_long_runs(members: DataFrame, sets_of: SetsOf) -> DataFrame | None:
+    """Links between members (sig, node, part) of long runs that are in different
+    components (part) yet, or None if every run lies in one.  A run is cut into
+    blocks of bounded bytes, and each two blocks meet in a cell that compares their
+    members in place: no row is made for a pair that does not link."""
+    split = members.groupBy("sig").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("sig")
+    open_runs = materialize(members.join(split, "sig"), "open-runs")
+    if not open_runs.head(1):
+        return None
+    sets = materialize(sets_of(open_runs.select(F.col("node").alias("id")), True), "sets")
     lists = open_runs.groupBy("node").agg(F.collect_set("sig").alias("sigs"))
-    members = open_runs.join(lists, "node").join(sets.withColumnRenamed("id", "node"), "node")
+    whole = open_runs.join(lists, "node").join(sets.withColumnRenamed("id", "node"), "node")
     weight = F.length("set") + 8 * F.size("sigs") + 64
-    blocks = (members.groupBy("sig").agg(F.sum(weight).alias("bytes"))
+    blocks = (whole.groupBy("sig").agg(F.sum(weight).alias("bytes"))
               .select("sig", F.ceil(F.col("bytes") / CELL_BYTES).cast("int").alias("blocks")))
-    placed = members.join(blocks, "sig").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    placed = whole.join(blocks, "sig").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "sig", F.least("block", "other").alias("ci"), F.greatest("block", "other").alias("cj"), "block", "node", "part",
         "sigs", "set")
     found = dealt.groupBy("sig", "ci", "cj").applyInPandas(_in_cell, "a long, b long").distinct()
-    return _filtered(materialize(found, "near"), docs, False)
+    return filter_pairs(materialize(found, "near"), sets_of, False)
 
 
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -418,7 +426,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = (docs.where(F.col("id").isNotNull()).mapInArrow(emit, "packed long, key long")
             .select(sig.alias("sig"), "key", role.alias("role")).repartition(F.col("sig"))
             .sortWithinPartitions("sig", "key"))
-    met = materialize(rows.mapInArrow(_meet, "kind int, a long, b long, sig long"), "met")
+    met = materialize(rows.mapInArrow(meet, "kind int, a long, b long, sig long"), "met")
 
     keyed = nodes.select(F.col("k1").alias("key"), "node")
 
@@ -427,16 +435,16 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             keyed.select(F.col("key").alias("b"), F.col("node").alias("nb")), "b")
         return at.where(F.col("na") != F.col("nb")).select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).distinct()
 
-    links = _links(materialize(as_nodes(met.where("kind = 0").select("a", "b").distinct()), "pairs"), docs)
+    def sets_of(ids: DataFrame, short: bool) -> DataFrame:
+        return _needed_sets(docs, ids, short)
+
+    links = links_of(materialize(as_nodes(met.where("kind = 0").select("a", "b").distinct()), "pairs"), sets_of)
     parts = components(links)
     members = met.where("kind = 1").select("sig", F.col("a").alias("key")).join(keyed, "key")
-    members = members.join(parts, "node", "left").select(
-        "sig", "node", F.coalesce("component", "node").alias("part"))
-    split = members.groupBy("sig").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("sig")
-    open_runs = materialize(members.join(split, "sig"), "open-runs")
-    if open_runs.head(1):
-        links = links.unionByName(_open_links(open_runs, docs))
-        parts = components(links)
+    more = compare_long_runs(members.join(parts, "node", "left").select(
+        "sig", "node", F.coalesce("component", "node").alias("part")), sets_of)
+    if more is not None:
+        parts = components(links.unionByName(more))
 
     keys = ["k1", "k2", "n"]
     by_set = nodes.join(parts.withColumnRenamed("component", "part"), "node", "left").select(

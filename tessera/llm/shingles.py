@@ -38,17 +38,20 @@ def word_hashes(text: str | None, seen: WordHashes) -> np.ndarray:
     return np.fromiter(map(seen.__getitem__, found), np.uint64, len(found))
 
 
-def shingle_set(words: np.ndarray) -> np.ndarray:
-    """Sorted distinct shingle hashes; fewer words than a shingle count as one."""
-    if not len(words):
-        return words
-    if len(words) < WORDS:
-        return mixed((words * _PLACE[:len(words)]).sum(keepdims=True), len(words))
-    n = len(words) - WORDS + 1
+def shingle_hashes(words: np.ndarray) -> np.ndarray:
+    """The hash of the shingle at each place of a text."""
+    n = max(0, len(words) - WORDS + 1)
     total = words[:n] * _PLACE[0]
     for k in range(1, WORDS):
         total += words[k:n + k] * _PLACE[k]
-    return np.unique(mixed(total))
+    return mixed(total)
+
+
+def shingle_set(words: np.ndarray) -> np.ndarray:
+    """Sorted distinct shingle hashes; fewer words than a shingle count as one."""
+    if 0 < len(words) < WORDS:
+        return mixed((words * _PLACE[:len(words)]).sum(keepdims=True), len(words))
+    return np.unique(shingle_hashes(words))
 
 
 def set_keys(s: np.ndarray) -> tuple[int, int]:
