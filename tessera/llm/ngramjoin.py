@@ -44,8 +44,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import spare_name
 from tessera.llm.components import components
-from tessera.llm.shingles import WordHashes, mixed, set_keys, shingle_set, word_hashes
+from tessera.llm.shingles import WordHasher, mixed, set_keys, shingle_set
 from tessera.session import materialize
 
 #: Links hold when SIMILAR * intersection size >= ... in percent of the union.
@@ -92,17 +93,29 @@ def most_differences(size: int, band: int) -> int:
     return (smaller + size) // 9 if 100 * smaller >= PERCENT * size else -1
 
 
-def _counts(s: np.ndarray, band: int, m: int) -> tuple[np.ndarray, np.ndarray]:
-    """Segment of each shingle, shingles per segment."""
-    seg = (mixed(s, 3 + band) % np.uint64(m)).astype(np.int64)
+def _counts(s: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
+    """Segment of each shingle, shingles per segment.  The hashes are mixed well
+    enough to be dealt out by their high bits."""
+    seg = ((s >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.int64)
     return seg, np.bincount(seg, minlength=m)
 
 
+def _sums(seg: np.ndarray, s: np.ndarray, m: int) -> np.ndarray:
+    """Sum of the hashes in each segment, modulo 2**64.  Sums of 32-bit halves
+    are exact as floats for sets of up to 2**21 shingles."""
+    if len(s) > 1 << 21:
+        out = np.zeros(m, np.uint64)
+        np.add.at(out, seg, s)
+        return out
+    low, high = (np.bincount(seg, x.astype(np.float64), m).astype(np.uint64) for x in (s & np.uint64(0xFFFFFFFF), s >> np.uint64(32)))
+    return (high << np.uint64(32)) + low
+
+
 def step_needed(s: np.ndarray, band: int) -> int:
     """Place on the ladder from which the set has an allocation in the band."""
     need = most_differences(len(s), band) + 1
     for k, step in enumerate(LADDER):
-        _, count = _counts(s, band, segments(band, step))
+        _, count = _counts(s, segments(band, step))
         weight = (count > 0).sum() + ((count > 1).sum() if _BORDERS[band] <= SMALL else 0)
         if weight >= need:
             return k
@@ -138,13 +151,11 @@ def signatures(s: np.ndarray, steps: dict[int, int], sizes: dict[int, int]) -> I
         if band < 0 or band not in steps or (band != own and most_differences(len(s), band) < 0):
             continue
         m = segments(band, LADDER[steps[band]])
-        seg, count = _counts(s, band, m)
+        seg, count = _counts(s, m)
         small = _BORDERS[band] <= SMALL
         need = most_differences(len(s), band) + 1
         exact, more = allocation(count, need, small, sizes.get(band, 1))
-        item = mixed(s, 1000 + band)
-        total = np.zeros(m, np.uint64)
-        np.add.at(total, seg, item)
+        total = _sums(seg, s, m)
         place = mixed(np.arange(m, dtype=np.uint64), 5000 + band)
         filled = count > 0
         take = filled if band == own else filled & exact
@@ -153,16 +164,16 @@ def signatures(s: np.ndarray, steps: dict[int, int], sizes: dict[int, int]) -> I
             at = count[seg] > 1
             if band != own:
                 at &= more[seg]
-            left = mixed((total[seg[at]] - item[at]) ^ place[seg[at]])
+            left = mixed((total[seg[at]] - s[at]) ^ place[seg[at]])
             yield left, np.where(more[seg[at]], BOTH if band == own else PROBE, INDEX)
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.ndarray]]]:
-    seen = WordHashes()
+    hasher = WordHasher()
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
             part = batch.slice(at, 512)
-            yield part.column(0).to_pylist(), [shingle_set(word_hashes(t.as_py(), seen)) for t in part.column(1)]
+            yield part.column(0).to_pylist(), [shingle_set(w) for w in hasher.texts(part.column(1).to_pylist())]
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,19 +208,23 @@ class _Meeting:
     def runs(self, sig: np.ndarray, key: np.ndarray, role: np.ndarray, more: bool) -> Iterator[pa.RecordBatch]:
         """Candidate pairs (kind 0: a, b) and members of long runs (kind 1: key
         a, sig).  `more`: the last run goes on in later rows."""
+        # copies in several tasks give equal rows: one entry for each member
+        first = np.flatnonzero(np.r_[True, (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])])
+        is_probe = np.logical_or.reduceat(role >= BOTH, first)
+        is_index = np.logical_or.reduceat(role <= BOTH, first)
+        sig, key, role = sig[first], key[first], np.where(is_probe & is_index, BOTH, np.where(is_probe, PROBE, INDEX))
         starts = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
         lengths = np.diff(np.r_[starts, len(sig)])
         probes = np.add.reduceat((role >= BOTH).astype(np.int64), starts)
         going_on = np.zeros(len(starts), bool)
         going_on[0] = self.open is not None and self.open[0] == sig[0]
         going_on[-1] |= more
-        a, b = [], []
-        for k in np.flatnonzero((lengths > 1) & (probes > 0) | going_on):
+        two = starts[(lengths == 2) & (probes > 0) & ~going_on]
+        two = two[(role[two] <= BOTH) & (role[two + 1] >= BOTH) | (role[two] >= BOTH) & (role[two + 1] <= BOTH)]
+        a, b = [key[two]], [key[two + 1]]
+        for k in np.flatnonzero((lengths > 2) & (probes > 0) | going_on):
             at = slice(starts[k], starts[k] + lengths[k])
-            keys, first = np.unique(key[at], return_index=True)
-            is_probe = np.logical_or.reduceat(role[at] >= BOTH, first)
-            is_index = np.logical_or.reduceat(role[at] <= BOTH, first)
-            roles = np.where(is_probe & is_index, BOTH, np.where(is_probe, PROBE, INDEX))
+            keys, roles = key[at], role[at]
             if len(keys) <= RUN and not going_on[k]:
                 x, y = _pairs_of(keys, roles)
             else:
@@ -221,7 +236,7 @@ class _Meeting:
                 yield self._rows(1, keys, keys, np.full(len(keys), this))
             a.append(x)
             b.append(y)
-        if a:
+        if len(two) or len(a) > 1:
             pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0)
             pairs = pairs[pairs[:, 0] != pairs[:, 1]]
             yield self._rows(0, pairs[:, 0], pairs[:, 1], np.zeros(len(pairs)))
@@ -370,7 +385,7 @@ def compare_long_runs(members: DataFrame, sets_of: SetsOf) -> DataFrame | None:
         return None
     sets = materialize(sets_of(open_runs.select(F.col("node").alias("id")), True), "sets")
     lists = open_runs.groupBy("node").agg(F.collect_set("sig").alias("sigs"))
-    whole = open_runs.join(lists, "node").join(sets.withColumnRenamed("id", "node"), "node")
+    whole = open_runs.join(lists.join(sets.withColumnRenamed("id", "node"), "node"), "node")
     weight = F.length("set") + 8 * F.size("sigs") + 64
     blocks = (whole.groupBy("sig").agg(F.sum(weight).alias("bytes"))
               .select("sig", F.ceil(F.col("bytes") / CELL_BYTES).cast("int").alias("blocks")))
@@ -458,5 +473,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """`docs` with one document of each component: the one whose id names it.
     Rows without an id stay."""
     found = link_components(docs, id_col, text_col)
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    name = spare_name(docs, "gone")
+    gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias(name)).distinct()
+    return docs.join(gone, F.col(f"`{id_col}`") == F.col(name), "left_anti")
