@@ -66,8 +66,9 @@ def reverse_tokens(text) -> Column:
 
 
 def blank_guard(text) -> Column:
-    """An empty text is encoded as '.' (its vector is masked to zero later)."""
-    return F.when(_c(text) == F.lit(""), F.lit(".")).otherwise(_c(text))
+    """An empty (or null) text is encoded as '.' (its vector is masked to
+    zero later)."""
+    return F.when(F.coalesce(_c(text), F.lit("")) == F.lit(""), F.lit(".")).otherwise(_c(text))
 
 
 def char_ids(word, max_word_length: int = MAX_WORD_LENGTH) -> Column:

@@ -46,52 +46,65 @@ def general(gc: DataFrame) -> DataFrame:
     return gc.groupBy("term").agg(F.sum("cnt").cast("long").alias("cnt"))
 
 
+def checked_words(words) -> list[str]:
+    """A string is one word; otherwise a list or tuple of strings."""
+    if isinstance(words, str):
+        return [words]
+    if not isinstance(words, (list, tuple)) or not all(isinstance(w, str) for w in words):
+        raise TypeError("words must be a string or a list of strings")
+    return list(words)
+
+
+def document_groups(rows: DataFrame, season, episode) -> DataFrame:
+    """(season, episode) of every document, also of those without a token."""
+    s = F.col(season) if isinstance(season, str) else season
+    e = F.col(episode) if isinstance(episode, str) else episode
+    return rows.select(s.alias("season"), e.alias("episode")).distinct()
+
+
 def words_frame(words: list[str]) -> list[Column]:
     """Fixed word list as (pos, word) columns, lower-cased like the query."""
     return [F.posexplode(F.array(*[F.lit(w.lower()) for w in words])).alias("pos", "word")]
 
 
-def _groups(gc: DataFrame, level: str) -> DataFrame:
-    if level == "general":
-        return gc.select().limit(1)
-    cols = ["season"] if level == "seasons" else ["season", "episode"]
-    return gc.select(*cols).distinct()
-
-
-def word_lookup(gc: DataFrame, words: list[str], level: str = "general") -> DataFrame:
+def word_lookup(gc: DataFrame, words: str | list[str], level: str = "general", groups: DataFrame | None = None) -> DataFrame:
     """Counts of the given words at a level, 0 when missing.
 
-    The word list is a literal array exploded on each group row (no join to
-    produce the product); counts are joined on (group, term)."""
+    ``groups`` (``document_groups``) names the documents; without it only those
+    that have a token are known.  The words filter the counts before they are
+    summed; the list itself is a literal array exploded on each group row (no
+    join to produce the product), joined on (group, term)."""
     check_level(level)
+    words = checked_words(words)
     keys = [] if level == "general" else (["season"] if level == "seasons" else ["season", "episode"])
-    counts = gc.groupBy(*keys, "term").agg(F.sum("cnt").alias("cnt"))
+    counts = gc.filter(F.col("term").isin([w.lower() for w in words])).groupBy(*keys, "term").agg(F.sum("cnt").alias("cnt"))
     if level == "general":
         base = gc.sparkSession.range(1).select(*words_frame(words))
     else:
-        base = _groups(gc, level).select(*keys, *words_frame(words))
+        base = (gc if groups is None else groups).select(*keys).distinct().select(*keys, *words_frame(words))
     out = base.join(counts.withColumnRenamed("term", "word"), [*keys, "word"], "left")
     return out.select(*keys, "pos", "word", F.coalesce(F.col("cnt"), F.lit(0)).cast("long").alias("cnt"))
 
 
-def dense_counts(gc: DataFrame, words: list[str]) -> DataFrame:
+def dense_counts(gc: DataFrame, words: list[str], groups: DataFrame | None = None) -> DataFrame:
     """E7 (long form): zero-filled word x document table for a word list."""
-    return word_lookup(gc, words, "series")
+    return word_lookup(gc, words, "series", groups)
 
 
-def pivot_counts(gc: DataFrame, words: list[str]) -> DataFrame:
+def pivot_counts(gc: DataFrame, words: list[str], groups: DataFrame | None = None) -> DataFrame:
     """E7 (wide form): one column per word, explicit value list, zeros filled."""
     ws = [w.lower() for w in words]
     wide = (gc.filter(F.col("term").isin(ws)).groupBy("season", "episode")
             .pivot("term", ws).agg(F.sum("cnt")))
-    allg = gc.select("season", "episode").distinct()
+    allg = (gc if groups is None else groups).select("season", "episode").distinct()
     out = allg.join(wide, ["season", "episode"], "left")
     return out.select("season", "episode", *[F.coalesce(F.col(f"`{w}`"), F.lit(0)).cast("long").alias(w) for w in ws])
 
 
-def words_in_all_docs(gc: DataFrame) -> DataFrame:
-    """Relational division - terms present in every document group."""
-    n_docs = gc.select(F.count_distinct("season", "episode")).scalar()
+def words_in_all_docs(gc: DataFrame, groups: DataFrame) -> DataFrame:
+    """Relational division - terms present in every document group; a
+    document without a token (it is in ``groups``) leaves none."""
+    n_docs = groups.select("season", "episode").distinct().select(F.count(F.lit(1))).scalar()
     per_term = gc.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     return per_term.filter(F.col("n") == n_docs).select("term")
 
@@ -109,13 +122,13 @@ def rarest_words(gc: DataFrame) -> DataFrame:
 
 def rarest_sample(gc: DataFrame, n: int = 10, seed: int = 42) -> DataFrame:
     """N distinct terms of G6 in a seeded hash order; fewer if fewer exist."""
-    return rarest_words(gc).orderBy(F.xxhash64(F.col("term"), F.lit(seed)), F.col("term")).limit(n)
+    return rarest_words(gc).orderBy(F.md5(F.concat("term", F.lit(f"#{seed}"))), F.col("term")).limit(n)
 
 
-def best_season(gc: DataFrame, words: list[str]) -> DataFrame:
+def best_season(gc: DataFrame, words: list[str], groups: DataFrame | None = None) -> DataFrame:
     """Per word, the season with most hits; strict '>' so the first
     season in order wins ties, and all-zero words get the first season."""
-    t = word_lookup(gc, words, "seasons")
+    t = word_lookup(gc, words, "seasons", groups)
     w = Window.partitionBy("word").orderBy(F.col("cnt").desc(), F.col("season"))
     return (t.withColumn("_r", F.row_number().over(w)).filter("_r = 1")
             .select("pos", "word", "season", F.col("cnt").alias("hits")))

@@ -90,13 +90,18 @@ def fasttext_model(coll, embeddings: DataFrame) -> tuple[DataFrame, DataFrame]:
     from tessera.operators.lexical import Collection
 
     coll = coll if isinstance(coll, Collection) else Collection(coll)
-    counts = coll.counts
     wv = materialize(derived_word_vectors(coll.term_stats.select("term"), embeddings), "word-vectors")
-    dim = embeddings.select(F.max(F.size("embedding"))).first()[0] or 0
+    return wv, collection_vectors(coll, wv)
+
+
+def collection_vectors(coll, word_vectors: DataFrame) -> DataFrame:
+    """F7 with word vectors (word, vec) of your own: (doc_id, vec)."""
+    counts = coll.counts
+    dim = word_vectors.select(F.max(F.size("vec"))).first()[0] or 0
     per_doc = counts.select("doc_id", "dl").distinct()
     lengths = (coll.docs.select("doc_id").join(per_doc, "doc_id", "left")
                .select("doc_id", F.coalesce(F.col("dl"), F.lit(0)).alias("dl")))
-    return wv, mean_word_vectors(counts, lengths, wv, dim, coll.term_stats)
+    return mean_word_vectors(counts, lengths, word_vectors, dim, coll.term_stats)
 
 
 def text_vectors(texts: DataFrame, word_vectors: DataFrame, dim: Column, id_col: str = "doc_id",
@@ -110,6 +115,13 @@ def text_vectors(texts: DataFrame, word_vectors: DataFrame, dim: Column, id_col:
     return mean_word_vectors(counts, lengths, word_vectors, dim)
 
 
+def first_of_text(texts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Of the rows that share a text the one with the smallest id; a null
+    text counts as an empty one."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return texts.groupBy(text.alias(text_col)).agg(F.min(id_col).alias(id_col))
+
+
 # ------------------------------------------------------------- brute force
 def _topk_batches(qids: np.ndarray, qmat: np.ndarray, k: int, id_col: str):
     qnorm = np.sqrt((qmat * qmat).sum(axis=1))
@@ -196,9 +208,12 @@ def token_vectors_from_embeddings(emb: DataFrame, n_layers: int = 3, per_sentenc
 
 
 def layer_softmax(weights: DataFrame) -> DataFrame:
-    """M5: softmax over the (small) layer weight table; adding 1/n cancels."""
-    total = weights.select(F.sum(F.exp("w"))).scalar()
-    return weights.select("layer", "w", (F.exp("w") / total).alias("sw"))
+    """M5: softmax over the (small) layer weight table; adding 1/n cancels, and
+    so does the maximum, whose removal keeps the exponentials finite."""
+    top = weights.select(F.max("w")).scalar()
+    e = F.exp(F.col("w") - top)
+    total = weights.select(F.sum(e)).scalar()
+    return weights.select("layer", "w", (e / total).alias("sw"))
 
 
 def layer_norm(tv: DataFrame, batch: Column, eps: float = 1e-12) -> DataFrame:

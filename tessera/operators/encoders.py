@@ -77,7 +77,7 @@ def sentence_vectors(docs: DataFrame, encoder: str = "hashing", id_col: str = "d
     guarded = docs.select(F.col(id_col).alias(id_col), F.col(text_col).alias("_t"), blank_guard(text_col).alias("_g"))
     vec = enc(F.col("_g"))
     zero = F.array_repeat(F.lit(0.0).cast("float"), F.size(vec))
-    return guarded.select(id_col, F.when(F.col("_t") == "", zero).otherwise(vec).alias("vec"))
+    return guarded.select(id_col, F.when(F.coalesce(F.col("_t"), F.lit("")) == "", zero).otherwise(vec).alias("vec"))
 
 
 def token_layer_vectors(sents: DataFrame, encoder: str = "hashing") -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.functions.text import VEC_TOKEN_RE, word_tokens
+from tessera.functions.text import VEC_TOKEN_RE, word_tokens, ws_tokens
 from tessera.operators import stats
 from tessera.operators.joins import (MAX_BROADCAST_BYTES, broadcast_checked, dense_index, measured_size,
                                      skew_safe_lookup)
@@ -159,11 +159,17 @@ class Collection:
         return self.keys.select(F.count(F.lit(1))).scalar()
 
 
+# Tokenisers by the name that an index records.
+TOKENIZERS = {"word": word_tokens, "whitespace": ws_tokens}
+
+
 @dataclass
 class LexicalIndex:
     postings: DataFrame
     doc_keys: DataFrame
     model: str
+    tokenizer: str = "word"  # queries are cut like the documents were
+    buckets: int = 0  # of a persisted index
 
     @property
     def n_texts(self) -> Column:
@@ -179,7 +185,8 @@ def build_lexical(docs, model: str = "bm25", tokenizer=word_tokens, **opts) -> L
         post = tfidf_postings(coll)
     else:
         raise ValueError(f"unknown lexical model {model!r}")
-    return LexicalIndex(post, coll.keys, model)
+    name = next((k for k, f in TOKENIZERS.items() if f is coll.tokenizer), "custom")
+    return LexicalIndex(post, coll.keys, model, name)
 
 
 # ---------------------------------------------------------------- search
@@ -214,7 +221,7 @@ def _zero_candidates(matched: DataFrame, query_ids: DataFrame, n_texts: Column,
 
 
 def search(index: LexicalIndex, queries: DataFrame, k: int = 10, fill_zero: bool = True,
-           qid: str = "query_id", text: str = "text", tokenizer=word_tokens) -> DataFrame:
+           qid: str = "query_id", text: str = "text", tokenizer=None) -> DataFrame:
     """(query_id, rank, doc_id, score) for many queries at once.
 
     Documents are deduplicated by text (S1, representative = smallest doc_id);
@@ -222,17 +229,17 @@ def search(index: LexicalIndex, queries: DataFrame, k: int = 10, fill_zero: bool
     take score 0 and fill the top-k (S3) unless ``fill_zero=False``.  Zero
     candidates are only computed for queries with fewer than k positive
     scores; the others cannot have a zero in their top-k."""
-    qt = query_terms(queries, qid, text, tokenizer)
+    if tokenizer is None and index.tokenizer not in TOKENIZERS:
+        raise ValueError("the index was built with a tokenizer of your own: pass it to the search too")
+    qt = query_terms(queries, qid, text, tokenizer or TOKENIZERS[index.tokenizer])
     post = index.postings.filter(F.col("doc_id") == F.col("text_key"))
-    n_terms, n_bytes = measured_size(qt)
-    if "term_bucket" in index.postings.columns and n_terms <= MAX_PRUNE_TERMS:
-        # few distinct terms (bounded): literal filters prune bucket folders
-        # and row groups of the persisted postings
-        pairs = qt.select("term", term_bucket("term").alias("b")).distinct().collect()
-        terms, buckets = sorted({r["term"] for r in pairs}), sorted({r["b"] for r in pairs})
-        post = post.filter(F.col("term_bucket").isin(buckets) & F.col("term").isin(terms))
-    qside = F.broadcast(qt) if n_bytes <= MAX_BROADCAST_BYTES else qt
-    hits = post.join(qside, "term")
+    on = ["term"]
+    if index.buckets:
+        # the bucket is a partition column: dynamic partition pruning reads
+        # only the buckets of the batch's terms, whatever the batch's size
+        qt, on = qt.withColumn("term_bucket", term_bucket("term", index.buckets)), ["term_bucket", "term"]
+    _, n_bytes = measured_size(qt)
+    hits = post.join(F.broadcast(qt) if n_bytes <= MAX_BROADCAST_BYTES else qt, on)
     scored = hits.groupBy("query_id", "text_idx", "text_key").agg(F.sum("weight").alias("score"))
     # A term without idf contributes nothing
     scored = scored.withColumn("score", F.coalesce(F.col("score"), F.lit(0.0)))
@@ -258,7 +265,9 @@ def search(index: LexicalIndex, queries: DataFrame, k: int = 10, fill_zero: bool
 
 
 def attach_text(results: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Original text for the (at most k per query) result rows."""
+    """Original text for the (at most k per query) result rows; the texts
+    stay where they are if the rows are few enough to broadcast."""
+    results = broadcast_checked(materialize(results, "search-results"))
     return results.join(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id")
 
 
@@ -269,32 +278,39 @@ def dedupe_by_text(scored: DataFrame, keys: DataFrame) -> DataFrame:
         F.min("doc_id").alias("doc_id"), F.max_by("score", "doc_id").alias("score"))
 
 
-# Persisted postings are partitioned by a hash bucket of the term; a query
-# batch with few distinct terms reads only their buckets.
+# Default number of hash buckets that a persisted index's postings are
+# partitioned by; an index records its own number.
 TERM_BUCKETS = 32
-MAX_PRUNE_TERMS = 1000
 
 
-def term_bucket(term) -> Column:
+def term_bucket(term, buckets: int) -> Column:
     t = F.col(term) if isinstance(term, str) else term
-    return F.pmod(F.xxhash64(t), F.lit(TERM_BUCKETS)).cast("int")
+    return F.pmod(F.xxhash64(t), F.lit(buckets)).cast("int")
 
 
-def save_lexical(index: LexicalIndex, path: str, partitions: int | None = None) -> None:
+def save_lexical(index: LexicalIndex, path: str, partitions: int | None = None, buckets: int = TERM_BUCKETS) -> None:
     """Persist postings partitioned by term bucket and sorted by term inside
-    each file (row-group statistics prune too), and the doc keys.
+    each file (row-group statistics prune too), the doc keys, and what a
+    reader must know of the layout: bucket count, model and tokeniser.
 
-    The write is range partitioned on (bucket, term) over ``partitions``
-    tasks (default: the shuffle partition count): every task writes a
-    contiguous slice, so a bucket folder gets few files and the write scales
-    with the cluster rather than with the bucket count."""
+    The write is range partitioned on (bucket, term, document) over
+    ``partitions`` tasks (default: the shuffle partition count): every task
+    writes a contiguous slice, a bucket folder gets few files, and a term that
+    most documents hold is cut over several tasks and files."""
     spark = index.postings.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    post = index.postings.withColumn("term_bucket", term_bucket("term"))
-    (post.repartitionByRange(n, "term_bucket", "term").sortWithinPartitions("term_bucket", "term")
+    order = ["term_bucket", "term", "doc_id"]
+    post = index.postings.withColumn("term_bucket", term_bucket("term", buckets))
+    (post.repartitionByRange(n, *order).sortWithinPartitions(*order)
      .write.mode("overwrite").partitionBy("term_bucket").parquet(f"{path}/postings"))
     index.doc_keys.write.mode("overwrite").parquet(f"{path}/doc_keys")
+    (spark.createDataFrame([(index.model, index.tokenizer, buckets)], "model string, tokenizer string, buckets int")
+     .write.mode("overwrite").parquet(f"{path}/layout"))
 
 
-def load_lexical(spark, path: str, model: str) -> LexicalIndex:
-    return LexicalIndex(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/doc_keys"), model)
+def load_lexical(spark, path: str, model: str | None = None) -> LexicalIndex:
+    layout = spark.read.parquet(f"{path}/layout").first()
+    if model is not None and model != layout["model"]:
+        raise ValueError(f"{path} holds {layout['model']!r}, not {model!r}")
+    return LexicalIndex(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/doc_keys"),
+                        layout["model"], layout["tokenizer"], layout["buckets"])

@@ -34,11 +34,11 @@ def sentences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 def build_vocab(sents: DataFrame, size: int) -> DataFrame:
     """Three special tokens (ids 0-2), then the ``size`` most frequent
     tokens; ties in order of first occurrence.  Result is bounded by size+3."""
-    # first occurrence packed into one long (sentence ids below 2^43, positions
-    # below 2^20) so the aggregation stays a hash aggregate
-    ex = sents.select("sent_id", F.posexplode("tokens").alias("pos", "token")).select(
-        "token", (F.shiftleft(F.col("sent_id"), 20) + F.col("pos")).alias("at"))
-    counts = ex.groupBy("token").agg(F.count(F.lit(1)).alias("cnt"), F.min("at").alias("first"))
+    ex = sents.select("sent_id", F.posexplode("tokens").alias("pos", "token"))
+    # per sentence first: a hash aggregate, so the struct minimum below sees
+    # each token once per sentence, however long the sentence is
+    per_sent = ex.groupBy("token", "sent_id").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("pos"))
+    counts = per_sent.groupBy("token").agg(F.sum("n").alias("cnt"), F.min(F.struct("sent_id", "pos")).alias("first"))
     top = counts.orderBy(F.col("cnt").desc(), F.col("first")).limit(size)
     w = Window.orderBy(F.col("cnt").desc(), F.col("first"))  # over at most `size` rows
     ranked = top.select("token", (F.row_number().over(w) + len(SPECIALS) - 1).cast("int").alias("id"))
@@ -137,13 +137,14 @@ def pad_batches(encoded: DataFrame, batch_col: Column) -> DataFrame:
 def shard_order(shards: DataFrame, epochs: int, seed: int = 7) -> DataFrame:
     """Every epoch visits every shard once, in a seeded hash order."""
     e = shards.select("shard", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch"))
-    w = Window.partitionBy("epoch").orderBy(F.xxhash64("shard", "epoch", F.lit(seed)), "shard")
+    key = F.md5(F.concat_ws("#", F.col("shard"), F.col("epoch").cast("string"), F.lit(str(seed))))
+    w = Window.partitionBy("epoch").orderBy(key, "shard")
     return e.withColumn("position", F.row_number().over(w) - 1)
 
 
 def shuffle_sentences(sents: DataFrame, seed: int = 7) -> DataFrame:
     """Deterministic permutation of sentences by a seeded hash."""
-    h = sents.select("sent_id", F.xxhash64("sent_id", F.lit(seed)).alias("h"))
+    h = sents.select("sent_id", F.md5(F.concat_ws("#", F.col("sent_id").cast("string"), F.lit(str(seed)))).alias("h"))
     return dense_index(h, ["h", "sent_id"], "new_position").select("sent_id", "new_position")
 
 

@@ -23,6 +23,10 @@ def _gc(spark, sf):
     return corpus.group_counts(docs, "lang", "source", word_tokens("text"))
 
 
+def _groups(spark, sf):
+    return corpus.document_groups(table(spark, sf, "documents"), "lang", "source")
+
+
 GC = rf"""gc AS (SELECT lang AS season, source AS episode, term, count(*)::BIGINT AS cnt FROM
    (SELECT lang, source, unnest(regexp_extract_all(lower(text), '{WORD}')) AS term FROM documents) GROUP BY ALL),
 gen AS (SELECT term, sum(cnt)::BIGINT AS cnt FROM gc GROUP BY term)"""
@@ -48,42 +52,43 @@ def q_word_lookup_general(spark, sf):
 
 @register("word_lookup_seasons", f"""WITH {GC}, s AS (SELECT season, term, sum(cnt) AS cnt FROM gc GROUP BY ALL)
 SELECT g.season, wl.pos::INT AS pos, wl.word, coalesce(s.cnt, 0)::BIGINT AS cnt
-FROM (SELECT DISTINCT season FROM gc) g CROSS JOIN {_words_sql(SIX_WORDS)}
+FROM (SELECT DISTINCT lang AS season FROM documents) g CROSS JOIN {_words_sql(SIX_WORDS)}
 LEFT JOIN s ON s.season = g.season AND s.term = wl.word""")
 def q_word_lookup_seasons(spark, sf):
-    return corpus.word_lookup(_gc(spark, sf), SIX_WORDS, "seasons")
+    return corpus.word_lookup(_gc(spark, sf), SIX_WORDS, "seasons", _groups(spark, sf))
 
 
 _SERIES_SQL = f"""WITH {GC}
 SELECT g.season, g.episode, wl.pos::INT AS pos, wl.word, coalesce(c.cnt, 0)::BIGINT AS cnt
-FROM (SELECT DISTINCT season, episode FROM gc) g CROSS JOIN {_words_sql(SIX_WORDS)}
+FROM (SELECT DISTINCT lang AS season, source AS episode FROM documents) g CROSS JOIN {_words_sql(SIX_WORDS)}
 LEFT JOIN gc c ON c.season = g.season AND c.episode = g.episode AND c.term = wl.word"""
 
 
 @register("word_lookup_series", _SERIES_SQL)
 def q_word_lookup_series(spark, sf):
-    return corpus.word_lookup(_gc(spark, sf), SIX_WORDS, "series")
+    return corpus.word_lookup(_gc(spark, sf), SIX_WORDS, "series", _groups(spark, sf))
 
 
 @register("dense_counts", _SERIES_SQL)
 def q_dense_counts(spark, sf):
-    return corpus.dense_counts(_gc(spark, sf), SIX_WORDS)
+    return corpus.dense_counts(_gc(spark, sf), SIX_WORDS, _groups(spark, sf))
 
 
 @register("pivot_counts", f"""WITH {GC}
 SELECT season, episode, {", ".join(f"coalesce(sum(cnt) FILTER (WHERE term = '{w}'), 0)::BIGINT AS {w}" for w in SIX_WORDS)}
-FROM gc GROUP BY season, episode""")
+FROM (SELECT DISTINCT lang AS season, source AS episode FROM documents) LEFT JOIN gc USING (season, episode) GROUP BY season, episode""")
 def q_pivot_counts(spark, sf):
-    return corpus.pivot_counts(_gc(spark, sf), SIX_WORDS)
+    return corpus.pivot_counts(_gc(spark, sf), SIX_WORDS, _groups(spark, sf))
 
 
 @register("words_in_all_docs", rf"""WITH gc AS (SELECT source, term, count(*) AS cnt FROM
    (SELECT source, unnest(regexp_extract_all(lower(text), '{WORD}')) AS term FROM documents) GROUP BY ALL)
-SELECT term FROM gc GROUP BY term HAVING count(*) = (SELECT count(DISTINCT source) FROM gc)""")
+SELECT term FROM gc GROUP BY term HAVING count(*) = (SELECT count(DISTINCT source) FROM documents)""")
 def q_words_in_all_docs(spark, sf):
     """E9/H3 with ``source`` as the document (20 sources)."""
     docs = table(spark, sf, "documents")
-    return corpus.words_in_all_docs(corpus.group_counts(docs, F.lit(""), "source", word_tokens("text")))
+    return corpus.words_in_all_docs(corpus.group_counts(docs, F.lit(""), "source", word_tokens("text")),
+                                    corpus.document_groups(docs, F.lit(""), "source"))
 
 
 @register("most_frequent_word", f"WITH {GC} SELECT term, cnt FROM gen ORDER BY cnt DESC, term LIMIT 1")
@@ -96,17 +101,18 @@ def q_rarest_words(spark, sf):
     return corpus.rarest_words(_gc(spark, sf))
 
 
-@register("rarest_sample")
+@register("rarest_sample", f"""WITH {GC} SELECT term, cnt FROM gen WHERE cnt = (SELECT min(cnt) FROM gen)
+ORDER BY md5(term || '#42'), term LIMIT 10""")
 def q_rarest_sample(spark, sf):
     return corpus.rarest_sample(_gc(spark, sf), 10, seed=42)
 
 
 @register("best_season", f"""WITH {GC}, s AS (SELECT season, term, sum(cnt) AS cnt FROM gc GROUP BY ALL),
 t AS (SELECT wl.pos, wl.word, g.season, coalesce(s.cnt, 0)::BIGINT AS hits
-   FROM (SELECT DISTINCT season FROM gc) g CROSS JOIN {_words_sql(TWO_WORDS)} LEFT JOIN s ON s.season = g.season AND s.term = wl.word)
+   FROM (SELECT DISTINCT lang AS season FROM documents) g CROSS JOIN {_words_sql(TWO_WORDS)} LEFT JOIN s ON s.season = g.season AND s.term = wl.word)
 SELECT pos::INT AS pos, word, season, hits FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY hits DESC, season) AS r FROM t) WHERE r = 1""")
 def q_best_season(spark, sf):
-    return corpus.best_season(_gc(spark, sf), TWO_WORDS)
+    return corpus.best_season(_gc(spark, sf), TWO_WORDS, _groups(spark, sf))
 
 
 @register("most_mentioned", f"""WITH {GC}

@@ -11,7 +11,7 @@ from tessera.functions import vectors as vx
 from tessera.operators import dense, lexical, stats
 from tessera.plans.registry import register, rounded
 from tessera.plans.sqlparts import CNT, KEYS, TOK, WORD
-from tessera.sources.tables import benchmark_queries, documents, table
+from tessera.sources.tables import benchmark_queries, documents, table, turn_id
 
 # Fixed parameters of the layer mix (model weights, not data).
 LAYER_WEIGHTS = [0.0, 0.5, 1.0]
@@ -231,7 +231,7 @@ def q_blank_guard(spark, sf):
 
 
 @register("token_similarity", rf"""WITH {WV},
-ct AS (SELECT conv_id * 1000 + turn AS sent_id, unnest(range(len(t)))::INT AS pos, unnest(t) AS word
+ct AS (SELECT conv_id * (SELECT max(turn) + 1 FROM conversations) + turn AS sent_id, unnest(range(len(t)))::INT AS pos, unnest(t) AS word
    FROM (SELECT conv_id, turn, regexp_extract_all(lower(text), '{WORD}') AS t FROM conversations)),
 tv AS (SELECT ct.*, wv.vec FROM ct JOIN wv USING (word)),
 q AS (SELECT sent_id AS qs, vec AS qv FROM tv ORDER BY sent_id, pos LIMIT 1),
@@ -240,7 +240,7 @@ last AS (SELECT sent_id, word, arg_max(sim, pos) AS sim, max(pos) AS pos FROM si
 SELECT sent_id, word, round(sim, 6) AS sim, pos, row_number() OVER (PARTITION BY sent_id ORDER BY round(sim, 9) DESC, word) AS rank FROM last""")
 def q_token_similarity(spark, sf):
     conv = table(spark, sf, "conversations")
-    toks = conv.select((F.col("conv_id") * 1000 + F.col("turn")).alias("sent_id"),
+    toks = conv.select(turn_id(conv).alias("sent_id"),
                        F.posexplode(tx.word_tokens("text")).alias("pos", "word"))
     res = dense.token_similarity(toks, word_vectors(spark, sf))
     return rounded(res.select("sent_id", "word", "sim", "pos", F.col("rank").cast("long").alias("rank")))

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text as tx
 from tessera.operators import lexical, stats
+from tessera.operators.joins import broadcast_checked
 from tessera.plans.registry import register, rounded
 from tessera.plans.sqlparts import CNT, KEYS, TFIDF_CTES, TOK, WORD, bm25_ctes, search_sql
-from tessera.sources.tables import benchmark_queries, documents, table
+from tessera.sources.tables import benchmark_queries, documents, table, turn_id
 
 
 def _tok(spark, sf):
@@ -153,17 +154,17 @@ def q_tfidf_search(spark, sf):
     return _search_out(lexical.search(idx, benchmark_queries(spark, sf), k=10))
 
 
-_SYSTEM_Q = "SELECT conv_id * 1000 + turn AS query_id, text FROM conversations WHERE role = 'system'"
+_TURN_Q = "SELECT conv_id * (SELECT max(turn) + 1 FROM conversations) + turn AS query_id, text FROM conversations"
 
 
-@register("bm25_zero_fill", f"""WITH {bm25_ctes('collection')}, {KEYS}, {search_sql(_SYSTEM_Q)}
+@register("bm25_zero_fill", f"""WITH {bm25_ctes('collection')}, {KEYS}, {search_sql(_TURN_Q)}
 SELECT query_id, rank, doc_id, round(score, 6) AS score FROM ranked WHERE rank <= 10""")
 def q_bm25_zero_fill(spark, sf):
     """S3 + S8/S9: collection-frequency BM25 where common terms have negative
     or no idf, so zero-score documents fill the top-k."""
     idx = lexical.build_lexical(documents(spark, sf), "bm25", n_qi="collection")
-    qs = (table(spark, sf, "conversations").filter(F.col("role") == "system")
-          .select((F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"), "text"))
+    conv = table(spark, sf, "conversations")
+    qs = conv.select(turn_id(conv).alias("query_id"), "text")
     return _search_out(lexical.search(idx, qs, k=10))
 
 
@@ -186,7 +187,7 @@ def q_distinct_results(spark, sf):
     """G4 on undeduplicated scores: first position, score of the last copy."""
     idx = lexical.build_lexical(documents(spark, sf), "bm25")
     qt = lexical.query_terms(benchmark_queries(spark, sf))
-    scored = (idx.postings.join(F.broadcast(qt), "term")
+    scored = (idx.postings.join(broadcast_checked(qt), "term")
               .groupBy("query_id", "doc_id").agg(F.sum("weight").alias("score")))
     return rounded(lexical.dedupe_by_text(scored, idx.doc_keys))
 

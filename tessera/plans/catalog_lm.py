@@ -33,7 +33,7 @@ sents AS (SELECT (row_number() OVER (ORDER BY doc_id, line_no) - 1)::BIGINT AS s
 ex AS (SELECT sent_id, unnest(range(len(tokens))) AS pos, unnest(tokens) AS token FROM sents)"""
 
 VOCAB = f"""{SENTS},
-cnts AS (SELECT token, count(*) AS cnt, min(sent_id * 1000000 + pos) AS first FROM ex GROUP BY token),
+cnts AS (SELECT token, count(*) AS cnt, min({{'s': sent_id, 'p': pos}}) AS first FROM ex GROUP BY token),
 vocab AS (SELECT token, id::INT AS id FROM (VALUES ('<S>', 0), ('</S>', 1), ('<UNK>', 2)) v(token, id)
    UNION ALL SELECT token, (row_number() OVER (ORDER BY cnt DESC, first) + 2)::INT
    FROM (SELECT * FROM cnts ORDER BY cnt DESC, first LIMIT {VOCAB_SIZE}))"""
@@ -238,14 +238,17 @@ def q_token_embed_lookup(spark, sf):
                             F.when(F.col("padded_id") == 0, F.lit(0.0)).otherwise(F.col("n")).alias("norm")))
 
 
-@register("shard_order")
+@register("shard_order", """SELECT shard, epoch::INT AS epoch,
+ (row_number() OVER (PARTITION BY epoch ORDER BY md5(shard || '#' || epoch || '#7'), shard) - 1)::INT AS position
+FROM (SELECT DISTINCT source AS shard FROM documents), (SELECT unnest(range(3)) AS epoch)""")
 def q_shard_order(spark, sf):
     """Three epochs over the shards (document sources)."""
     shards = table(spark, sf, "documents").select(F.col("source").alias("shard")).distinct()
     return lmprep.shard_order(shards, 3)
 
 
-@register("shuffle_sentences")
+@register("shuffle_sentences", f"""WITH {SENTS}
+SELECT sent_id, (row_number() OVER (ORDER BY md5(sent_id || '#7'), sent_id) - 1)::BIGINT AS new_position FROM sents""")
 def q_shuffle_sentences(spark, sf):
     """Seeded deterministic permutation of all sentences."""
     return lmprep.shuffle_sentences(_sents(spark, sf))

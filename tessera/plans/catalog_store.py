@@ -12,14 +12,14 @@ from tessera.functions.vectors import norm
 from tessera.operators import corpus, dense, encoders, lexical, lmprep, stats
 from tessera.operators.joins import dense_index
 from tessera.plans.catalog_corpus import GC
-from tessera.plans.catalog_dense import DV, WV, doc_vectors
+from tessera.plans.catalog_dense import DV, QV, WV, _cosine_sql, doc_vectors, weights_table, word_vectors
 from tessera.plans.engine import Engine
 from tessera.plans.registry import register, rounded
-from tessera.plans.sqlparts import TFIDF_CTES, TOK, bm25_ctes
+from tessera.plans.sqlparts import KEYS, TFIDF_CTES, TOK, bm25_ctes, search_sql
 from tessera.session import scratch_path
 from tessera.sources import readers
 from tessera.sources.store import IndexStore
-from tessera.sources.tables import documents, table
+from tessera.sources.tables import benchmark_queries, documents, table, turn_id
 
 LINES_SQL = "SELECT unnest(string_split(text, chr(10))) AS text FROM documents"
 
@@ -45,7 +45,7 @@ def q_src_lines(spark, sf):
 def q_src_shards(spark, sf):
     """Gzip text shards read back by the ``prefix*.gz`` pattern."""
     path = scratch_path(spark, "docs-shards")
-    table(spark, sf, "documents").select("text").repartition(4).write.option("compression", "gzip").text(path)
+    table(spark, sf, "documents").select("text").write.option("compression", "gzip").text(path)
     return readers.read_shards(spark, f"{path}/part-").select("text")
 
 
@@ -106,17 +106,18 @@ def q_dense_roundtrip(spark, sf):
     return rounded(dense.long_form(store.vectors("fasttext"), ["model", "doc_id"]))
 
 
-@register("index_manifest")
+@register("index_manifest", f"""WITH {bm25_ctes()} SELECT 'bm25' AS model, 'postings' AS kind, count(*)::BIGINT AS n_rows FROM post
+UNION ALL SELECT * FROM (WITH {TFIDF_CTES} SELECT 'tfidf', 'postings', count(*)::BIGINT FROM post)""")
 def q_index_manifest(spark, sf):
     """Two builds; the second only adds the model that was missing."""
     store = IndexStore(spark, scratch_path(spark, "index"))
     b = _lexical_builders()
     store.build(documents(spark, sf), {"bm25": b["bm25"]}, ["bm25"])
     store.build(documents(spark, sf), b, ["bm25", "tfidf"])
-    return store.manifest().select("model", "kind", "n_rows", "build_id")
+    return store.manifest().select("model", "kind", "n_rows")
 
 
-@register("models_to_build")
+@register("models_to_build", "SELECT unnest(['tfidf', 'fasttext']) AS model")
 def q_models_to_build(spark, sf):
     """After a BM25 build, which of three wanted models are missing."""
     store = IndexStore(spark, scratch_path(spark, "index"))
@@ -133,8 +134,9 @@ def q_sentence_index(spark, sf):
 
 @register("sentence_search")
 def q_sentence_search(spark, sf):
-    """F12 with the sentence encoder: raw benchmark texts as queries."""
-    items = encoders.sentence_vectors(documents(spark, sf))
+    """F12 with the sentence encoder: raw benchmark texts as queries, one
+    result per distinct text (S1)."""
+    items = encoders.sentence_vectors(dense.first_of_text(documents(spark, sf)))
     qs = encoders.sentence_vectors(table(spark, sf, "benchmark").selectExpr("item_id AS query_id", "text"), id_col="query_id")
     return rounded(dense.cosine_topk(items, qs, 10).select("query_id", "rank", "doc_id", "score"))
 
@@ -162,7 +164,8 @@ def q_dump_sentence_vectors(spark, sf):
     return rounded(spark.read.parquet(path).select("sent_id", "layer", "pos", norm("vec").alias("norm")))
 
 
-@register("build_all_models")
+@register("build_all_models", f"""WITH {bm25_ctes()} SELECT 'bm25' AS model, count(*)::BIGINT AS n_rows FROM post
+UNION ALL SELECT * FROM (WITH {TFIDF_CTES} SELECT 'tfidf', count(*)::BIGINT FROM post)""")
 def q_build_all_models(spark, sf):
     """Build several models over one collection through the
     engine and report the size of each index."""
@@ -191,17 +194,18 @@ def q_stream_term_stats(spark, sf):
 
 def _encoder_sentence_vectors(spark, sents):
     """L1 -> M6 -> E13: token encoder layers, softmax layer mix, mean pool."""
-    from tessera.plans.catalog_dense import weights_table
-
     tv = encoders.token_layer_vectors(sents)
-    return dense.mean_pool(dense.layer_mix(tv, weights_table(spark)))
+    pooled = dense.mean_pool(dense.layer_mix(tv, weights_table(spark)))
+    # a sentence without tokens has the zero vector
+    zero = F.array_repeat(F.lit(0.0), encoders.DIM)
+    return sents.select("sent_id").join(pooled, "sent_id", "left").select("sent_id", F.coalesce("vec", zero).alias("vec"))
 
 
 @register("contextual_encoder_index")
 def q_contextual_encoder_index(spark, sf):
     """F9 with a pluggable token encoder over conversation turns."""
     conv = table(spark, sf, "conversations")
-    sents = conv.select((F.col("conv_id") * 1000 + F.col("turn")).alias("sent_id"),
+    sents = conv.select(turn_id(conv).alias("sent_id"),
                         tx.word_tokens("text").alias("tokens"))
     vec = _encoder_sentence_vectors(spark, sents)
     return rounded(vec.select("sent_id", F.size("vec").alias("dim"), norm("vec").alias("norm")))
@@ -212,9 +216,50 @@ def q_contextual_encoder_search(spark, sf):
     """benchmark texts encoded by the same token encoder, searched
     against the conversation-turn vectors by cosine distance."""
     conv = table(spark, sf, "conversations")
-    items = _encoder_sentence_vectors(spark, conv.select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("sent_id"), tx.word_tokens("text").alias("tokens")))
+    turns = dense.first_of_text(conv.select(turn_id(conv).alias("sent_id"), "text"), "sent_id")
+    items = _encoder_sentence_vectors(spark, turns.select("sent_id", tx.word_tokens("text").alias("tokens")))
     qs = _encoder_sentence_vectors(spark, table(spark, sf, "benchmark").select(
         F.col("item_id").alias("sent_id"), tx.word_tokens("text").alias("tokens"))).withColumnRenamed("sent_id", "query_id")
     res = dense.cosine_topk(items.withColumnRenamed("sent_id", "doc_id"), qs, 10)
     return rounded(res.select("query_id", F.col("rank").cast("long").alias("rank"), F.col("doc_id").alias("sent_id"), "score"))
+
+
+def _stored_search(spark, sf, name):
+    """Build, store, load the store in a new engine, search by model name."""
+    store = IndexStore(spark, scratch_path(spark, "engine"))
+    options = {"layer_weights": weights_table(spark)} if name == "ELMo" else {}
+    words = word_vectors(spark, sf) if name == "FastText" else None
+    Engine(documents(spark, sf), word_vectors=words, **options).save(store, [name])
+    found = Engine.from_store(store, **options).search(name, benchmark_queries(spark, sf), 10)
+    return rounded(found.select("query_id", F.col("rank").cast("long").alias("rank"), "doc_id", "score"))
+
+
+_STORED_SQL = "SELECT query_id, rank::BIGINT AS rank, doc_id, round(score, 6) AS score FROM ranked WHERE rank <= 10"
+_ITEMS = "SELECT item_id AS query_id, text FROM benchmark"
+
+
+@register("stored_search_bm25", f"WITH {bm25_ctes()}, {KEYS}, {search_sql(_ITEMS)} {_STORED_SQL}")
+def q_stored_search_bm25(spark, sf):
+    return _stored_search(spark, sf, "BM25")
+
+
+@register("stored_search_tfidf", f"WITH {TFIDF_CTES}, {KEYS}, {search_sql(_ITEMS)} {_STORED_SQL}")
+def q_stored_search_tfidf(spark, sf):
+    return _stored_search(spark, sf, "Tf-idf")
+
+
+@register("stored_search_fasttext", f"""WITH {WV}, {DV}, {KEYS},
+rv AS (SELECT dv.* FROM dv JOIN keys k ON k.doc_id = dv.doc_id AND k.doc_id = k.text_key), {QV},
+{_cosine_sql('rv', 'doc_id')}""")
+def q_stored_search_fasttext(spark, sf):
+    return _stored_search(spark, sf, "FastText")
+
+
+@register("stored_search_elmo")
+def q_stored_search_elmo(spark, sf):
+    return _stored_search(spark, sf, "ELMo")
+
+
+@register("stored_search_bert")
+def q_stored_search_bert(spark, sf):
+    return _stored_search(spark, sf, "BERT")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.session import spread
 
@@ -22,6 +23,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(df, TEXT_TABLES[name]) if name in TEXT_TABLES else df
 
 
+def turn_id(conversations: DataFrame) -> Column:
+    """One number for (conv_id, turn): a scalar subquery takes the number of
+    turns from the table, so no two turns share an id."""
+    n_turns = conversations.select(F.max("turn") + 1).scalar()
+    return F.col("conv_id") * n_turns + F.col("turn")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 

@@ -48,7 +48,24 @@ def test_e14_best_season_strict_first_wins(spark):
 
 def test_e9_words_in_all_docs(spark):
     rows = [("a", "1", "x y"), ("a", "2", "y z"), ("b", "3", "y x")]
-    assert [r.term for r in corpus.words_in_all_docs(gc(spark, rows)).collect()] == ["y"]
+
+    def groups(rows):
+        return corpus.document_groups(spark.createDataFrame(rows, "season string, episode string, text string"), "season", "episode")
+    assert [r.term for r in corpus.words_in_all_docs(gc(spark, rows), groups(rows)).collect()] == ["y"]
+    mute = [*rows, ("b", "4", "...")]  # a document without a token holds no word
+    assert corpus.words_in_all_docs(gc(spark, mute), groups(mute)).count() == 0
+    assert corpus.word_lookup(gc(spark, mute), "y", "series", groups(mute)).count() == 4
+
+
+def test_e8_takes_a_string_and_filters_early(spark):
+    g = gc(spark)
+    assert [(r.word, r.cnt) for r in corpus.word_lookup(g, "Ross").collect()] == [("ross", 3)]
+    with pytest.raises(TypeError):
+        corpus.word_lookup(g, 7)
+    with pytest.raises(TypeError):
+        corpus.word_lookup(g, ["ross", None])
+    plan = corpus.word_lookup(g, ["ross", "joey"], "seasons")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.rindex("IN (ross,joey)") > plan.index("Aggregate")
 
 
 def test_g6_g7_rarest(spark):

@@ -66,3 +66,8 @@ def test_vector_sum_unrolled_equals_summarizer(spark):
     a = {r.g: r.vec for r in dense.vector_sum(df, ["g"], F.col("v"), dim=3).collect()}
     b = {r.g: r.vec for r in dense.vector_sum(df, ["g"], F.col("v")).collect()}
     assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k]) for k in a)
+
+
+def test_softmax_of_large_weights(spark):
+    w = spark.createDataFrame([(0, 800.0), (1, 800.0), (2, -5.0)], "layer int, w double")
+    assert [round(r.sw, 6) for r in dense.layer_softmax(w).orderBy("layer").collect()] == [0.5, 0.5, 0.0]

@@ -24,3 +24,11 @@ def test_register_custom_encoder(spark):
     encoders.register_encoder("ones", lambda texts: np.ones((len(texts), 4), dtype=np.float32))
     df = spark.createDataFrame([(0, "x")], "doc_id long, text string")
     assert encoders.sentence_vectors(df, "ones").first().vec == [1.0] * 4
+
+
+def test_null_text_is_a_zero_vector(spark):
+    from tessera.operators import encoders
+
+    docs = spark.createDataFrame([(1, None), (2, ""), (3, "a word")], "doc_id long, text string")
+    got = {r.doc_id: sum(map(abs, r.vec)) for r in encoders.sentence_vectors(docs).collect()}
+    assert got[1] == got[2] == 0 and got[3] > 0

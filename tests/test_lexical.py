@@ -160,6 +160,23 @@ def test_persisted_index_with_bucket_pruning_equals_in_memory(spark, tmp_path):
     assert "term_bucket" in plan
 
 
+def test_index_keeps_its_own_bucket_count(spark, tmp_path, monkeypatch):
+    texts = ["w%d common x%d" % (i % 7, i % 3) for i in range(30)]
+    idx = lexical.build_lexical(docs_df(spark, texts), "bm25")
+    lexical.save_lexical(idx, str(tmp_path / "a"), buckets=5, partitions=4)
+    monkeypatch.setattr(lexical, "TERM_BUCKETS", 1024)
+    qs = queries_df(spark, ["w3 x1", "common"])
+    want = sorted(tuple(r) for r in lexical.search(idx, qs, 6).collect())
+    assert sorted(tuple(r) for r in lexical.search(lexical.load_lexical(spark, str(tmp_path / "a")), qs, 6).collect()) == want
+
+
+def test_a_common_term_is_cut_over_files(spark, tmp_path):
+    idx = lexical.build_lexical(docs_df(spark, [f"the t{i}" for i in range(2000)]), "bm25")
+    lexical.save_lexical(idx, str(tmp_path / "a"), partitions=4)
+    files = spark.read.parquet(str(tmp_path / "a" / "postings")).filter("term = 'the'").select("_metadata.file_path").distinct()
+    assert files.count() > 1
+
+
 def test_c6_query_coercion(spark):
     from tessera.plans.engine import as_queries
 
