@@ -113,7 +113,7 @@ def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
         sides = []
         for side in (asks, ~asks):
             part = frame[side]
-            v = np.array(part["v"].tolist(), np.int64).reshape(len(part), -1)
+            v = np.array(part["v"].tolist(), np.int64).reshape(len(part), int(frame["dim"].iloc[0]))
             sides.append(_distinct(part["vec_id"].to_numpy(), v))
         (q_ids, q), (c_ids, c) = sides
         step = max(1, SCORES_AT_ONCE // max(1, len(c_ids)))

@@ -170,7 +170,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], id_col: str = "
                 h = _hashed(text.as_py(), seen)
                 out[k] = bias + dense[np.unique(h[dense[h] != 0])].sum()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(1.0 / (1.0 + np.exp(-np.clip(out, -500, 500))))], names=["id", "score"])
+                [batch.column("id"), pa.array(np.where(np.isneginf(out), 0.0, 1.0 / (1.0 + np.exp(-np.clip(out, -500, 500)))))], names=["id", "score"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))

@@ -232,7 +232,7 @@ def test_topk(spark, monkeypatch, cells):
         monkeypatch.setattr(topk, "SCORES_AT_ONCE", 64)
     rng = np.random.default_rng(2)
     rows = [(k, [float(x) for x in rng.choice([-0.5, 0.0, 0.25, 0.3], 6)]) for k in range(-20, 330)]
-    rows += [(400, None), (450, [1.0, None, 0, 0, 0, 0]), (500, [float("nan")] * 6), (550, [float("inf")] * 6), (None, [1.0] * 6),
+    rows += [(400, None), (450, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (500, [float("nan")] * 6), (550, [float("inf")] * 6), (None, [1.0] * 6),
              (600, [1.0, 2.0]), (601, [1.0, 2.0]), (650, []), (700, [0.5] * 3), (100, [9.0] * 6), (7, rows[27][1])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("v", F.lit(1)).withColumn("dim", F.lit(1))
     got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in topk.top_k(df).collect())
