@@ -18,13 +18,14 @@ def test_csv_third_column_and_limit(spark, tmp_path):
 
 
 def test_corpus_files_bom_and_metadata(spark, tmp_path):
-    d = tmp_path / "friends" / "season 1"
-    d.mkdir(parents=True)
-    (d / "Friends - 1x02 - The One.ru.txt").write_bytes("﻿hello\r\nworld".encode("utf-8"))
-    df = readers.read_corpus_files(spark, str(tmp_path / "friends"), r"Friends - ((.*?)x.*?) - (.*?)\.ru\.txt$",
-                                   {"episode": 1, "season": 2, "title": 3})
+    """A byte order mark is dropped; groups of the file name become columns."""
+    folder = tmp_path / "logbooks" / "north"
+    folder.mkdir(parents=True)
+    (folder / "b07_p3__harbour.txt").write_bytes("\ufeffhello\r\nworld".encode())
+    df = readers.read_corpus_files(spark, str(tmp_path / "logbooks"), r"b(\d+)_p(\d+)__(\w+)\.txt$",
+                                   {"season": 1, "episode": 2, "title": 3})
     r = df.first()
-    assert (r.season, r.episode, r.title) == ("1", "1x02", "The One")
+    assert (r.season, r.episode, r.title) == ("07", "3", "harbour")
     assert r.text.startswith("hello")
 
 
