@@ -2,8 +2,8 @@
 C8, C10-C15, G10).
 
 Sentences are rows ``(sent_id, tokens)``; ``sent_id`` is a dense 0-based
-number in (document, line) order.  Token ids are looked up with a broadcast
-join against the (bounded, size-checked) vocabulary.  Next-token pairs come
+number in (document, line) order.  Token ids are looked up row-locally in Arrow
+batches against the (bounded, size-checked) vocabulary.  Next-token pairs come
 from the id array itself (row-local ``arrays_zip`` of two slices), and the
 packing of pairs into fixed lanes uses a distributed prefix sum instead of a
 window over a whole lane.
@@ -11,12 +11,17 @@ window over a whole lane.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessera.functions.text import BOS, EOS, UNK, VOCAB_SENTINEL, ws_tokens
-from tessera.operators.joins import broadcast_checked, dense_index, prefix_sum
+from tessera.operators.joins import MAX_BROADCAST_BYTES, dense_index, measured_size, prefix_sum
 from tessera.session import materialize
 
 SPECIALS = [BOS, EOS, UNK]
@@ -57,15 +62,63 @@ def check_vocab(vocab: DataFrame) -> DataFrame:
     return vocab.agg(F.count_distinct(F.when(F.col("token").isin(SPECIALS), F.col("token"))).alias("n_special"))
 
 
+def _bounded(vocab: DataFrame) -> tuple[DataFrame, list | None]:
+    """The vocabulary, computed once, and its (token, id) rows if their measured
+    size is within the broadcast bound."""
+    vocab = materialize(vocab.select("token", "id"), "vocab")
+    small = measured_size(vocab)[1] <= MAX_BROADCAST_BYTES
+    return vocab, sorted((r["id"], r["token"]) for r in vocab.collect()) if small else None
+
+
+def _list_ends(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends) of the lists in the flattened values; null lists are empty."""
+    lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(lengths)
+    return ends - lengths, ends
+
+
 def encode(sents: DataFrame, vocab: DataFrame, reverse: bool = False) -> DataFrame:
     """(sent_id, ids) with BOS/EOS framing; unknown -> <UNK>; with
-    ``reverse`` the tokens are reversed and BOS/EOS swap (C8)."""
+    ``reverse`` the tokens are reversed and BOS/EOS swap (C8).
+
+    A vocabulary within the broadcast bound is looked up row-locally, batch by
+    batch and without a shuffle; a larger one is joined token by token."""
+    vocab, rows = _bounded(vocab)
+    if rows is None:
+        return _encode_by_join(sents, vocab, reverse)
+    ids: dict[str, int] = {}
+    for i, token in rows:
+        ids.setdefault(token, i)  # the lowest id of a token
+    sent = sents.sparkSession.sparkContext.broadcast((list(ids), list(ids.values())))
+    unk, first, last = ids[UNK], *((ids[EOS], ids[BOS]) if reverse else (ids[BOS], ids[EOS]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, numbers = pa.array(sent.value[0], pa.string()), np.array(sent.value[1], np.int32)
+        for batch in batches:
+            column = batch.column("tokens")
+            at = pc.fill_null(pc.index_in(column.flatten(), value_set=tokens), -1).to_numpy(zero_copy_only=False)
+            known = np.where(at >= 0, numbers[at], unk).astype(np.int32)
+            starts, ends = _list_ends(column)
+            row = np.repeat(np.arange(len(starts)), ends - starts)
+            place = np.arange(len(known)) - starts[row]
+            offsets = np.concatenate([[0], np.cumsum(ends - starts + 2)])
+            out = np.empty(int(offsets[-1]), np.int32)
+            out[offsets[:-1]], out[offsets[1:] - 1] = first, last
+            out[offsets[row] + 1 + ((ends - starts)[row] - 1 - place if reverse else place)] = known
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("sent_id"), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(out))],
+                names=["sent_id", "ids"])
+
+    return sents.select(F.col("sent_id").cast("long"), "tokens").mapInArrow(run, "sent_id long, ids array<int>")
+
+
+def _encode_by_join(sents: DataFrame, vocab: DataFrame, reverse: bool) -> DataFrame:
     sp = special_ids(vocab)
     toks = F.reverse("tokens") if reverse else F.col("tokens")
     # posexplode_outer keeps sentences without tokens (one row, pos NULL),
     # so no join back to the sentence table is needed
     ex = sents.select("sent_id", F.posexplode_outer(toks).alias("pos", "token"))
-    j = ex.join(broadcast_checked(vocab.select("token", "id")), "token", "left")
+    j = ex.join(vocab, "token", "left")
     item = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce(F.col("id"), sp[UNK]).alias("id")))
     grouped = j.groupBy("sent_id").agg(F.sort_array(F.collect_list(item)).alias("_p"))
     ids = F.transform("_p", lambda s: s["id"])
@@ -74,11 +127,25 @@ def encode(sents: DataFrame, vocab: DataFrame, reverse: bool = False) -> DataFra
 
 
 def decode(encoded: DataFrame, vocab: DataFrame) -> DataFrame:
-    """C11: ids back to a space-joined sentence."""
-    ex = encoded.select("sent_id", F.posexplode("ids").alias("pos", "id"))
-    j = ex.join(broadcast_checked(vocab.select("token", "id")), "id", "left")
-    g = j.groupBy("sent_id").agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("_p"))
-    return g.select("sent_id", F.array_join(F.transform("_p", lambda s: s["token"]), " ").alias("text"))
+    """C11: ids back to a space-joined sentence; row-local within the broadcast
+    bound, as ``encode``."""
+    vocab, rows = _bounded(vocab)
+    if rows is None:
+        ex = encoded.select("sent_id", F.posexplode("ids").alias("pos", "id"))
+        g = ex.join(vocab, "id", "left").groupBy("sent_id").agg(
+            F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("_p"))
+        return g.select("sent_id", F.array_join(F.transform("_p", lambda s: s["token"]), " ").alias("text"))
+    sent = encoded.sparkSession.sparkContext.broadcast(rows)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers, tokens = pa.array([i for i, _ in sent.value], pa.int32()), pa.array([t for _, t in sent.value], pa.string())
+        for batch in batches:
+            column = batch.column("ids")
+            words = tokens.take(pc.index_in(pc.cast(column.flatten(), pa.int32()), value_set=numbers)).to_pylist()
+            texts = [" ".join([w for w in words[a:b] if w is not None]) for a, b in zip(*_list_ends(column))]
+            yield pa.RecordBatch.from_arrays([batch.column("sent_id"), pa.array(texts, pa.string())], names=["sent_id", "text"])
+
+    return encoded.select(F.col("sent_id").cast("long"), "ids").mapInArrow(run, "sent_id long, text string")
 
 
 def next_token_pairs(encoded: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

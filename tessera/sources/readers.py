@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from tessera.functions.text import strip_bom
 
 
-def read_csv_docs(spark: SparkSession, path: str, text_index: int = 2, limit: int | None = None) -> DataFrame:
+def read_csv_docs(spark: SparkSession, path: str, text_index: int = 2, limit: int | None = None,
+                  multi_line: bool = True) -> DataFrame:
     """A1: header row skipped, the column at ``text_index`` is the text.
     All columns are read as strings (no inference); ``limit`` keeps exactly
-    ``limit`` rows (S17)."""
-    df = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    ``limit`` rows (S17).  Texts with line breaks need ``multi_line``, which
+    reads a file in one task; without them, switch it off and files are split."""
+    df = (spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
           .option("inferSchema", False).csv(path))
     out = df.select(F.col(f"`{df.columns[text_index]}`").alias("text"))
     return out.limit(limit) if limit is not None else out
