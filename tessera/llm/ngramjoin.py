@@ -230,8 +230,8 @@ class _Meeting:
             else:
                 this = int(sig[starts[k]])
                 if self.open is None or self.open[0] != this:
-                    # another pivot for each signature
-                    self.open = this, int(keys[mixed(keys.view(np.uint64), this >> 2 & 0xFFFF).argmin()])
+                    # one of four orders picks the pivot: a group's signatures share few pivots
+                    self.open = this, int(keys[mixed(keys.view(np.uint64), this >> 2 & 3).argmin()])
                 x, y = np.minimum(keys, self.open[1]), np.maximum(keys, self.open[1])
                 yield self._rows(1, keys, keys, np.full(len(keys), this))
             a.append(x)
