@@ -52,7 +52,7 @@ from tessera.session import materialize
 #: Links hold when SIMILAR * intersection size >= ... in percent of the union.
 PERCENT = 80
 #: Members of a signature that are paired in place.
-RUN = 48
+RUN = 16
 #: Rows of one signature that a task holds at a time.
 HELD = 32_768
 #: Bytes of a block of a long run; two blocks meet in a task.
