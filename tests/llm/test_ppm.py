@@ -95,3 +95,27 @@ def test_digest_folds(spark):
     got = ppm.digest(docs).select("doc_id", "held_out").collect()
     want = {r.doc_id: r.m == 2 for r in docs.select("doc_id", crc_mod(F.col("doc_id"), 7).alias("m")).collect()}
     assert {r.doc_id: r.held_out for r in got} == want
+
+
+@pytest.mark.parametrize("frequent", [0, 8, 60])
+def test_rare_nodes_stay_in_a_large_corpus(spark, monkeypatch, frequent):
+    """Seven rare words in 2.4 MB of common text: their nodes, of a count below
+    1 / 2**20 of all bytes, code the same words elsewhere; and the border of the
+    broadcast changes no score."""
+    monkeypatch.setattr(ppm, "FREQUENT", frequent)
+    common = "the cat sat on the mat " * 3000
+    texts = [common] * 35 + ["quagga zebra okapi"] + ["quagga okapi zebra", "jinx okapi"]
+    docs = rows(spark, texts)
+    got = {r.doc_id: r.score for r in ppm.score(docs, F.col("doc_id") < 36).where("doc_id >= 34").collect()}
+    counts = [(t.encode(), n) for t, n in ((common, 35), (texts[35], 1))]
+    grams, contexts = [], []
+    code = np.concatenate([np.tile(ppm.codes([t])[0], n) for t, n in counts])
+    for k in range(ppm.ORDER + 1):
+        g = code & np.uint64((1 << 8 * (k + 1)) - 1)
+        for store, x in ((grams, g), (contexts, g >> np.uint64(8))):
+            store.append(np.unique(x, return_counts=True))
+    tables = ppm.Trie(grams, contexts).tables()
+    assert (grams[ppm.ORDER][1] * (1 << 20) < len(code)).any()
+    for i in range(34, 38):
+        want = ppm.log_probabilities(ppm.codes([texts[i].encode()])[0], tables).sum()
+        assert got[i] == pytest.approx(want, rel=1e-9)
