@@ -183,3 +183,27 @@ def test_word_hashes_do_not_depend_on_their_block(monkeypatch):
             assert known.setdefault(w, x) == x
     assert len(set(known.values())) == len(known) and h.texts([]) == []
     assert shingles.shingle_set(h.texts([None])[0]).size == 0
+
+
+def test_repeated_passages_are_removed_whole(spark):
+    """Copies of 51 to 120 words between other words go to the last word, edges
+    and the places between paragraphs too; the first copy stays."""
+    rng = np.random.default_rng(8)
+
+    def words(n):
+        return [f"w{x}" for x in rng.integers(0, 1 << 40, n)]
+
+    rows, want = [], {}
+    for k, n in enumerate((51, 60, 75, 100, 120) * 4):
+        passage = words(n)
+        for copy in range(3):
+            lead = words(int(rng.integers(0, 80)))
+            rows.append((3 * k + copy, " ".join(lead + passage + words(int(rng.integers(0, 80))))))
+            want[3 * k + copy] = [(len(lead), len(lead) + n)] if copy else []
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: [(s.start, s.end) for s in r.removed_spans] for r in substrings.digest(docs).collect()}
+    for k, spans in got.items():
+        assert len(spans) == len(want[k])
+        for (start, end), (first, last) in zip(spans, want[k]):
+            # whole; a paragraph that is alike enough may reach two words beyond
+            assert first - 2 <= start <= first and last <= end <= last + 2
