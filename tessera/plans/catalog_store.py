@@ -187,7 +187,11 @@ def q_stream_term_stats(spark, sf):
     from tessera.streaming import incremental
 
     sink = scratch_path(spark, "stream-sink")
-    q = incremental.start_term_counts(spark, sf, sink, scratch_path(spark, "stream-ckpt"), glob="documents.parquet")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf}/documents.parquet")
+    folder = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory()
+    # a table of several part files is a folder; its files have any names
+    source = {"source_dir": f"{sf}/documents.parquet"} if folder else {"source_dir": sf, "glob": "documents.parquet"}
+    q = incremental.start_term_counts(spark, sink_dir=sink, checkpoint=scratch_path(spark, "stream-ckpt"), **source)
     q.awaitTermination()
     return incremental.term_stats(spark, sink)
 
