@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import linededup, mixing, ngramjoin, ppm, quality, sentencepieces, sharding, substrings, topk, toxicity
+from tessera.llm import (linecrf, linededup, mixing, ngramjoin, ppm, prefixtrie, quality, sentencepieces, sharding, structure,
+                         substrings, topk, toxicity)
 from tessera.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +77,24 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.digest(table(spark, sf_dir, "conversations"))
+
+
+SQL["op11_prefix_trie"] = prefixtrie.ORACLE
+
+
+@query
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure.digest(table(spark, sf_dir, "conversations"))
+
+
+SQL["op13_structure_repair"] = structure.ORACLE
+
+
+@query
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linecrf.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
