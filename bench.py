@@ -50,7 +50,7 @@ def main():
         root = scratch_path(spark, "bench")
         # one preprocessed collection (token counts + text keys) feeds every model
         coll = lexical.Collection(docs)
-        timed("token_table", lambda: (coll.counts, coll.keys))
+        timed("token_table", lambda: (coll.documents, coll.term_stats))
         timed("bm25_index", lambda: lexical.save_lexical(lexical.build_lexical(coll, "bm25"), f"{root}/bm25"))
         timed("tfidf_index", lambda: lexical.save_lexical(lexical.build_lexical(coll, "tfidf"), f"{root}/tfidf"))
 
@@ -61,10 +61,9 @@ def main():
 
         timed("fasttext_index", ft_index)
         timed("sentence_index", lambda: encoders.sentence_vectors(docs).write.parquet(f"{root}/bert"))
-        dim = catalog_dense._dim(spark, sf_dir)
-        timed("contextual_index", lambda: dense.mean_pool(dense.layer_mix(
+        timed("contextual_index", lambda: dense.mixed_pool(
             dense.token_vectors_from_embeddings(table(spark, sf_dir, "embeddings")),
-            catalog_dense.weights_table(spark), dim=dim), dim=dim).write.parquet(f"{root}/elmo"))
+            catalog_dense.weights_table(spark)).write.parquet(f"{root}/elmo"))
         timed("level_counts", lambda: corpus.level_counts(
             corpus.group_counts(table(spark, sf_dir, "documents"), "lang", "source", word_tokens("text")))
             .write.parquet(f"{root}/levels"))

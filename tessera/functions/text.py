@@ -45,6 +45,11 @@ def vectorizer_tokens(tokens) -> Column:
     return F.regexp_extract_all(F.lower(F.array_join(_c(tokens), " ")), F.lit(VEC_TOKEN_RE), 0)
 
 
+def strip(text) -> Column:
+    """White space of any kind cut off both ends."""
+    return F.regexp_replace(_c(text), r"^[\s\p{Z}\x1c-\x1f\x85]+|[\s\p{Z}\x1c-\x1f\x85]+$", "")
+
+
 def has_word_char(token) -> Column:
     """Token contains at least one word character."""
     return _c(token).rlike(WORD_CLASS)
@@ -60,6 +65,19 @@ def tokens_join(tokens) -> Column:
     return F.array_join(_c(tokens), " ")
 
 
+def counted(tokens) -> Column:
+    """The distinct tokens of an array with their counts, as structs (term, cnt):
+    the array is sorted and its runs are measured, all within the row."""
+    def runs(x: Column) -> Column:
+        at = F.filter(F.sequence(F.lit(0), F.size(x) - 1), lambda i: (i == 0) | (F.get(x, i) != F.get(x, i - 1)))
+        return F.when(F.size(x) > 0, F.transform(F.array(at), lambda p: F.transform(
+            p, lambda i, k: F.struct(F.get(x, i).alias("term"), (F.coalesce(F.get(p, k + 1), F.size(x)) - i).cast("long").alias("cnt"))))[0])
+
+    # the one-element arrays keep the sorted tokens and the starts from being computed per element
+    out = F.transform(F.array(F.sort_array(F.array_compact(_c(tokens)))), runs)[0]
+    return F.coalesce(out, F.array().cast("array<struct<term:string,cnt:bigint>>"))
+
+
 def reverse_tokens(text) -> Column:
     """Reverse the whitespace tokens of a sentence."""
     return F.array_join(F.reverse(ws_tokens(text)), " ")

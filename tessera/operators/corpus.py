@@ -13,6 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tessera.functions.text import has_word_char
+from tessera.operators import stats
+from tessera.session import materialize
+
 LEVELS = ("general", "seasons", "series")
 
 
@@ -31,6 +35,14 @@ def group_counts(rows: DataFrame, season, episode, tokens: Column) -> DataFrame:
     return ex.groupBy("season", "episode", "term").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def lemma_counts(gc: DataFrame, lemmas: DataFrame) -> DataFrame:
+    """C1/L3 on counts per group: forms become lemmas after they are counted, so a
+    form is looked up once per group; lemmas without a word character go."""
+    found = stats.lemma_lookup(materialize(gc.withColumnRenamed("term", "form"), "group-forms"), lemmas)
+    return (found.filter(has_word_char(F.col("lemma"))).groupBy("season", "episode", F.col("lemma").alias("term"))
+            .agg(F.sum("cnt").alias("cnt")))
+
+
 def level_counts(gc: DataFrame) -> DataFrame:
     """One table with all three levels via GROUPING SETS on the
     pre-aggregated counts: (level, season, episode, term, cnt)."""

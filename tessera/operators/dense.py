@@ -1,31 +1,37 @@
 """Dense vector models.
 
-* Vector sums per key use MLlib's ``Summarizer`` (a JVM aggregate with
-  map-side partial aggregation) instead of exploding every dimension.
-* Brute-force cosine top-k (D4) runs as ``mapInPandas``: each Arrow batch of
-  item vectors is multiplied with the (size-checked, broadcast) query matrix
-  in NumPy and only the per-batch top-k per query leaves the task, so no
-  query x item pair table ever exists; a final per-query group limit merges.
-  Query sets above the bound are processed in bounded chunks.
+* Vector sums per key use MLlib's ``Summarizer``: a JVM aggregate with map-side
+  partial aggregation that takes any dimension.
+* Mean word vectors are summed where the documents lie: the vectors of frequent
+  words are broadcast up to a measured bound, so what is exchanged is a partial
+  sum per document, and only the tail of rare words beyond the bound is joined
+  by a shuffle.
+* Brute-force cosine top-k (D4) deals queries and items into cells (item group,
+  query block) by one shuffle; a cell holds a block of queries as a NumPy matrix,
+  streams its items past it in slices of bounded size, and only its running
+  top-k per query leaves the task.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tessera.functions.text import word_tokens
 from tessera.operators import stats
-from tessera.operators.joins import broadcast_checked, dense_index, measured_size, skew_safe_lookup
+from tessera.operators.joins import broadcast_checked, dense_index, skew_safe_lookup
 from tessera.session import materialize
 
-# Bound on the query matrix shipped to every task (floats).
-MAX_QUERY_FLOATS = 8 * 1024 * 1024
+# Numbers of the query matrix of a block, and of the distances held at a time.
+BLOCK_NUMBERS = 1 << 20
+HELD_NUMBERS = 1 << 21
 DIST_DIGITS = 9
 
 
@@ -35,24 +41,11 @@ def scaled(vec, w) -> Column:
     return F.transform(vc, lambda x: x.cast("double") * wc.cast("double"))
 
 
-# Up to this many dimensions a vector sum is one codegen'd hash aggregate with
-# a double buffer per dimension; wider vectors use MLlib's Summarizer.
-MAX_UNROLLED_DIM = 256
-
-
-def vector_sum(df: DataFrame, keys: list[str], vec: Column, extra: dict | None = None,
-               dim: int | None = None) -> DataFrame:
-    """M4: element-wise sum of ARRAY vectors per key (double accumulation),
-    with map-side partial aggregation either way."""
+def vector_sum(df: DataFrame, keys: list[str], vec: Column, extra: dict | None = None) -> DataFrame:
+    """M4: element-wise sum of ARRAY vectors of any dimension per key (double
+    accumulation), with map-side partial aggregation."""
     extra_aggs = [c.alias(n) for n, c in (extra or {}).items()]
-    if dim is not None and 0 < dim <= MAX_UNROLLED_DIM:
-        tmp = df.withColumn("_v", vec)
-        sums = [F.sum(F.col("_v")[i].cast("double")).alias(f"_s{i}") for i in range(dim)]
-        out = tmp.groupBy(*keys).agg(*sums, *extra_aggs)
-        return out.select(*keys, F.array(*[F.col(f"_s{i}") for i in range(dim)]).alias("vec"),
-                          *[n for n in (extra or {})])
-    aggs = [vector_to_array(Summarizer.sum(array_to_vector(vec))).alias("vec")] + extra_aggs
-    return df.groupBy(*keys).agg(*aggs)
+    return df.groupBy(*keys).agg(vector_to_array(Summarizer.sum(array_to_vector(vec.cast("array<double>")))).alias("vec"), *extra_aggs)
 
 
 # ------------------------------------------------------------- word vectors
@@ -70,12 +63,15 @@ def mean_word_vectors(counts: DataFrame, lengths: DataFrame, word_vectors: DataF
                       term_freq: DataFrame | None = None) -> DataFrame:
     """(doc_id, vec) = sum of word vectors over all tokens divided by
     the token count (S14); words without a vector add zero (S15); a document
-    with no token or no vector gets a zero vector."""
+    with no token or no vector gets a zero vector.
+
+    ``counts`` are laid out by document, so the partial sums of the broadcast
+    words leave one vector per document to exchange."""
     df_per_term = (term_freq.select("term", F.col("df").alias("freq")) if term_freq is not None
                    else counts.groupBy("term").agg(F.count(F.lit(1)).alias("freq")))
-    wv = word_vectors.withColumnRenamed("word", "term").join(df_per_term, "term")
+    wv = materialize(word_vectors.select(F.col("word").alias("term"), "vec").join(df_per_term, "term"), "word-vectors-used")
     hits = skew_safe_lookup(counts.select("doc_id", "term", "cnt"), wv, "term", "freq")
-    sums = vector_sum(hits, ["doc_id"], scaled("vec", "cnt"), dim=dim if isinstance(dim, int) else None)
+    sums = vector_sum(hits, ["doc_id"], scaled("vec", "cnt"))
     out = lengths.join(sums, "doc_id", "left")
     zero = F.array_repeat(F.lit(0.0), F.lit(dim) if isinstance(dim, int) else dim)
     vec = F.when((F.col("dl") > 0) & F.col("vec").isNotNull(),
@@ -94,25 +90,28 @@ def fasttext_model(coll, embeddings: DataFrame) -> tuple[DataFrame, DataFrame]:
     return wv, collection_vectors(coll, wv)
 
 
+def vector_dim(word_vectors: DataFrame) -> int:
+    return word_vectors.select(F.max(F.size("vec"))).first()[0] or 0
+
+
 def collection_vectors(coll, word_vectors: DataFrame) -> DataFrame:
     """F7 with word vectors (word, vec) of your own: (doc_id, vec)."""
-    counts = coll.counts
-    dim = word_vectors.select(F.max(F.size("vec"))).first()[0] or 0
-    per_doc = counts.select("doc_id", "dl").distinct()
-    lengths = (coll.docs.select("doc_id").join(per_doc, "doc_id", "left")
-               .select("doc_id", F.coalesce(F.col("dl"), F.lit(0)).alias("dl")))
-    return mean_word_vectors(counts, lengths, word_vectors, dim, coll.term_stats)
+    return mean_word_vectors(coll.counts, coll.documents.select("doc_id", "dl"), word_vectors, vector_dim(word_vectors),
+                             coll.term_stats)
 
 
 def text_vectors(texts: DataFrame, word_vectors: DataFrame, dim: Column, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
-    tok = stats.tokenize(texts, id_col, text_col)
-    # counts feed the df table, the join and the sums: compute them once
+                 text_col: str = "text", tokenizer=word_tokens, lemmas: DataFrame | None = None) -> DataFrame:
+    """E12 for texts of their own (queries), cut like the collection that they
+    are compared with."""
+    tok = stats.tokenize(texts, id_col, text_col, tokenizer)
+    if lemmas is not None:
+        found = stats.lemma_tokens(tok, lemmas).groupBy("doc_id").agg(F.collect_list("lemma").alias("tokens"))
+        tok = tok.select("doc_id").join(found, "doc_id", "left").select(
+            "doc_id", F.coalesce("tokens", F.array().cast("array<string>")).alias("tokens"))
+    tok = materialize(tok, "text-tokens")
     counts = materialize(stats.term_counts(tok), "vec-counts")
-    per_doc = counts.select("doc_id", "dl").distinct()
-    lengths = (texts.select(F.col(id_col).alias("doc_id")).join(per_doc, "doc_id", "left")
-               .select("doc_id", F.coalesce(F.col("dl"), F.lit(0)).alias("dl")))
-    return mean_word_vectors(counts, lengths, word_vectors, dim)
+    return mean_word_vectors(counts, stats.doc_lengths(tok), word_vectors, dim)
 
 
 def first_of_text(texts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -123,78 +122,103 @@ def first_of_text(texts: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 # ------------------------------------------------------------- brute force
-def _topk_batches(qids: np.ndarray, qmat: np.ndarray, k: int, id_col: str):
-    qnorm = np.sqrt((qmat * qmat).sum(axis=1))
-
-    def fn(batches):
-        for pdf in batches:
-            if pdf.empty:
+def _matrix(column: pa.Array, dim: int) -> np.ndarray:
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    if len(flat) != len(column) * dim:
+        raise ValueError(f"vectors of other than {dim} dimensions")
+    return flat.reshape(len(column), dim)
+
+
+def nearest(x: np.ndarray, ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(queries x k ids, queries x k distances) of the nearest rows of ``x``, equal
+    distances in order of id; missing ones have distance infinity."""
+    order = np.argsort(ids, kind="stable")
+    x, ids = x[order], ids[order]
+    den = np.sqrt((x * x).sum(axis=1))[:, None] * np.sqrt((queries * queries).sum(axis=1))[None, :]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        dist = np.where(den == 0, np.inf, 1.0 - (x @ queries.T) / den)  # S13: zero vector -> no distance
+    dist[np.isnan(dist)] = np.inf
+    key = np.round(dist, DIST_DIGITS)
+    k = min(k, len(x))
+    kth = np.partition(key, k - 1, axis=0)[k - 1]
+    less, same = key < kth, key == kth
+    # the k rows of each query: all below the k-th distance, and of those at it the first
+    take = (less | same & (np.cumsum(same, axis=0) <= k - less.sum(axis=0))).T
+    q, row = np.nonzero(take)
+    return ids[row].reshape(len(queries), k), dist[row, q].reshape(len(queries), k)
+
+
+class _Nearest:
+    """Running top-k of a block of queries."""
+
+    def __init__(self, names: list, queries: np.ndarray, k: int):
+        self.names, self.queries, self.k = names, queries, k
+        self.ids, self.dist = np.zeros((len(names), 0), np.int64), np.zeros((len(names), 0))
+
+    def add(self, ids: np.ndarray, x: np.ndarray) -> None:
+        rows = max(1, HELD_NUMBERS // max(1, len(self.names)))
+        for at in range(0, len(ids), rows):
+            found, dist = nearest(x[at:at + rows], ids[at:at + rows], self.queries, self.k)
+            found, dist = np.hstack([self.ids, found]), np.hstack([self.dist, dist])
+            best = np.lexsort((found, np.round(dist, DIST_DIGITS)), axis=1)[:, :self.k]
+            self.ids, self.dist = np.take_along_axis(found, best, 1), np.take_along_axis(dist, best, 1)
+
+    def rows(self) -> pa.RecordBatch:
+        q, place = np.nonzero(np.isfinite(self.dist))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.asarray(self.names, np.int64)[q], pa.int64()), pa.array(self.ids[q, place], pa.int64()),
+             pa.array(self.dist[q, place])], names=["query_id", "item", "score"])
+
+
+def _nearest_cells(dim: int, k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, names, parts, block = None, [], [], None
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            x = np.stack(pdf["vec"].to_numpy()).astype(np.float64)
-            ids = pdf[id_col].to_numpy()
-            xnorm = np.sqrt((x * x).sum(axis=1))
-            den = xnorm[:, None] * qnorm[None, :]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                dist = 1.0 - (x @ qmat.T) / den
-            dist[den == 0] = np.nan  # S13: zero vector -> no distance
-            key = np.round(dist, DIST_DIGITS)
-            key = np.where(np.isnan(key), np.inf, key)
-            # k-th smallest key per query in one vectorised pass; only rows at
-            # or below it (k plus ties) need the exact (key, id) order
-            kk = min(k, key.shape[0])
-            kth = np.partition(key, kk - 1, axis=0)[kk - 1]
-            cand = key <= kth[None, :]
-            out_q, out_i, out_d = [], [], []
-            for j in range(len(qids)):
-                rows = np.flatnonzero(cand[:, j] & np.isfinite(key[:, j]))
-                if rows.size == 0:
-                    continue
-                order = rows[np.lexsort((ids[rows], key[rows, j]))][:k]
-                out_q.append(np.full(order.size, qids[j]))
-                out_i.append(ids[order])
-                out_d.append(dist[order, j])
-            if out_q:
-                yield pd.DataFrame({"query_id": np.concatenate(out_q), id_col: np.concatenate(out_i),
-                                    "score": np.concatenate(out_d)})
-    return fn
+            key, is_item = batch.column("cell").to_numpy(), batch.column("kind").to_numpy()
+            cuts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (is_item[1:] != is_item[:-1])]).tolist()
+            for a, b in zip(cuts, [*cuts[1:], len(key)]):
+                if key[a] != now:
+                    if block is not None:
+                        yield block.rows()
+                    now, names, parts, block = key[a], [], [], None
+                part = batch.slice(a, b - a)
+                if not is_item[a]:  # the queries come first
+                    names += part.column("id").to_pylist()
+                    parts.append(_matrix(part.column("asked"), dim))
+                elif names:
+                    block = block or _Nearest(names, np.concatenate(parts), k)
+                    block.add(part.column("id").to_numpy(), _matrix(part.column("vec"), dim))
+        if block is not None:
+            yield block.rows()
+
+    return run
 
 
 def cosine_topk(items: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_id") -> DataFrame:
     """Per query the k items with the smallest cosine
     distance (ascending, ties by item id, NULL distances excluded).
 
-    ``items(id_col, vec)``, ``queries(query_id, vec)``.  The query side is
-    measured; chunks of at most ``MAX_QUERY_FLOATS`` floats are broadcast."""
+    ``items(id_col, vec)``, ``queries(query_id, vec)``; rows without a vector take
+    no part.  A block has at most BLOCK_NUMBERS numbers of queries; an item is
+    shuffled once per block, a query once per item group."""
     spark = items.sparkSession
-    n_q, _ = measured_size(queries.select("query_id"))
-    dim = queries.select(F.max(F.size("vec"))).first()[0] or 0
-    per_chunk = max(1, MAX_QUERY_FLOATS // max(dim, 1))
-    n_chunks = max(1, -(-n_q // per_chunk))
-    schema = T.StructType([T.StructField("query_id", T.LongType()), T.StructField(id_col, T.LongType()),
-                           T.StructField("score", T.DoubleType())])
-    parts = []
-    for c in range(n_chunks):
-        chunk = queries if n_chunks == 1 else queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(n_chunks)) == c)
-        # bounded by construction (per_chunk rows of dim floats)
-        pdf = chunk.select(F.col("query_id").cast("long"), F.transform("vec", lambda x: x.cast("double")).alias("vec")).toPandas()
-        if pdf.empty:
-            continue
-        qids = pdf["query_id"].to_numpy()
-        qmat = np.stack(pdf["vec"].to_numpy()).astype(np.float64)
-        bq = spark.sparkContext.broadcast((qids, qmat))
-
-        def run(batches, bq=bq):
-            ids_, mat_ = bq.value
-            yield from _topk_batches(ids_, mat_, k, id_col)(batches)
-
-        parts.append(items.select(F.col(id_col).cast("long"), "vec").mapInPandas(run, schema))
-    if not parts:
-        return spark.createDataFrame([], schema.add("rank", T.IntegerType()))
-    res = parts[0]
-    for p in parts[1:]:
-        res = res.unionByName(p)
-    w = Window.partitionBy("query_id").orderBy(F.round("score", DIST_DIGITS), F.col(id_col))
-    return res.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    items, queries = items.filter(F.col("vec").isNotNull()), queries.filter(F.col("vec").isNotNull())
+    n_q, dim = queries.select(F.count(F.lit(1)), F.max(F.size("vec"))).first()
+    blocks = max(1, -(-n_q * (dim or 1) // BLOCK_NUMBERS))
+    groups = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    group, block = F.pmod(F.xxhash64(id_col), F.lit(groups)) * blocks, F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+    dealt = items.select(F.explode(F.sequence(group, group + (blocks - 1))).alias("cell"),
+                         F.lit(1).alias("kind"), F.col(id_col).cast("long").alias("id"), "vec")
+    asked = queries.select(F.explode(F.sequence(block, block + (groups - 1) * blocks, F.lit(blocks).cast("long"))).alias("cell"),
+                           F.lit(0).alias("kind"), F.col("query_id").cast("long").alias("id"), F.col("vec").cast("array<double>").alias("asked"))
+    cells = (dealt.unionByName(asked, allowMissingColumns=True).repartition("cell").sortWithinPartitions("cell", "kind")
+             .select("cell", "kind", "id", "vec", "asked")
+             .mapInArrow(_nearest_cells(dim or 0, k), "query_id long, item long, score double"))
+    w = Window.partitionBy("query_id").orderBy(F.round("score", DIST_DIGITS), F.col("item"))
+    best = cells.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return best.select("query_id", F.col("item").alias(id_col), "score", "rank")
 
 
 # ------------------------------------------------------------- layers
@@ -227,24 +251,33 @@ def layer_norm(tv: DataFrame, batch: Column, eps: float = 1e-12) -> DataFrame:
     return j.select("sent_id", "layer", "pos", "batch", vec.alias("vec"))
 
 
-def layer_mix(tv: DataFrame, weights: DataFrame, gamma: float = 1.0, top_only: bool = False,
-              dim: int | None = None) -> DataFrame:
+def layer_mix(tv: DataFrame, weights: DataFrame, gamma: float = 1.0, top_only: bool = False) -> DataFrame:
     """M6: sum_l softmax(w)_l * vec_l per token, times gamma; or the top layer."""
     if top_only:
         top = tv.select(F.max("layer")).scalar()
         return tv.filter(F.col("layer") == top).select("sent_id", "pos", scaled("vec", F.lit(gamma)).alias("vec"))
     sw = broadcast_checked(layer_softmax(weights).select("layer", "sw"))
-    j = tv.join(sw, "layer")
-    mixed = vector_sum(j, ["sent_id", "pos"], scaled("vec", "sw"), dim=dim)
+    mixed = vector_sum(tv.join(sw, "layer"), ["sent_id", "pos"], scaled("vec", "sw"))
     return mixed.select("sent_id", "pos", scaled("vec", F.lit(gamma)).alias("vec"))
 
 
-def mean_pool(tv: DataFrame, key: str = "sent_id", dim: int | None = None) -> DataFrame:
+def mean_pool(tv: DataFrame, key: str = "sent_id") -> DataFrame:
     """Mean of token vectors per sentence."""
-    s = vector_sum(tv, [key], F.col("vec"), {"n": F.count(F.lit(1))}, dim=dim)
+    s = vector_sum(tv, [key], F.col("vec"), {"n": F.count(F.lit(1))})
     return s.select(key, F.transform("vec", lambda x: x / F.col("n").cast("double")).alias("vec"))
 
 
+def mixed_pool(tv: DataFrame, weights: DataFrame, gamma: float = 1.0) -> DataFrame:
+    """the mean over a sentence's tokens of their layer mix, as one aggregate
+    per sentence over the weighted layer vectors: the mixed token vectors are
+    never made, and one partial sum per sentence is exchanged."""
+    sw = broadcast_checked(layer_softmax(weights).select("layer", "sw"))
+    first = tv.select(F.min("layer")).scalar()
+    n = F.count_if(F.col("layer") == first)  # a token has a vector in every layer
+    s = vector_sum(tv.join(sw, "layer"), ["sent_id"], scaled("vec", "sw"), {"n": n})
+    return s.select("sent_id", F.transform("vec", lambda x: x * F.lit(gamma) / F.col("n").cast("double")).alias("vec"))
+
+
 # ------------------------------------------------------------- token similarity
 def token_similarity(tokens: DataFrame, word_vectors: DataFrame) -> DataFrame:
     """Dot product of one query token vector (first token of the
@@ -255,7 +288,9 @@ def token_similarity(tokens: DataFrame, word_vectors: DataFrame) -> DataFrame:
     ``tokens(sent_id, pos, word)``.  The query vector is a one-row scalar
     subquery, so no join produces pairs."""
     freq = tokens.groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
-    tv = skew_safe_lookup(tokens, word_vectors.join(freq, "word"), "word", "freq")
+    used = materialize(word_vectors.join(freq, "word"), "similar-words")
+    # written once: the first token, its vector and all the others are read from it
+    tv = materialize(skew_safe_lookup(tokens, used, "word", "freq"), "token-vectors")
     q = tv.orderBy("sent_id", "pos").limit(1)
     q_sent = q.select("sent_id").scalar()
     q_vec = q.select("vec").scalar()

@@ -1,109 +1,179 @@
 """Pluggable encoders.
 
-An encoder is a plain Python function ``list[str] -> np.ndarray (n, dim)``
-(sentence encoder) or ``list[list[str]] -> list[np.ndarray (layers, len,
-dim)]`` (token encoder).  It runs inside Arrow-batched ``pandas_udf`` /
-``mapInPandas`` tasks, loaded once per Python worker.  The default encoders
-are deterministic hashing encoders used for tests; a deployment registers its
-own model under the same names.
+An encoder is a Python function ``list[str] -> np.ndarray (n, dim)`` (sentence
+encoder) or ``list[list[str]] -> list[np.ndarray (layers, len, dim)]`` (token
+encoder).  It is registered as the function itself or, for a model that takes long
+to load, as a factory without arguments that returns it: the factory is what
+travels to the workers, and each Python worker calls it once and keeps the model
+for all tasks that it runs.  The default encoders are deterministic hashing
+encoders (``stand-ins`` whose numbers SQL can compute too); a deployment registers
+its own model under a name, which a stored index records.
 """
 
 from __future__ import annotations
 
+import hashlib
+import sys
+import types
+import uuid
+from collections.abc import Callable, Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tessera.functions.text import blank_guard
+from tessera.functions.text import WORD_RE, blank_guard
 
-_SENTENCE: dict[str, callable] = {}
-_TOKEN: dict[str, callable] = {}
 DIM = 64
+# Tokens whose hash a worker keeps.
+KEPT_TOKENS = 500_000
+
+#: name -> (key of the loaded model in a worker, factory)
+_SENTENCE: dict[str, tuple[str, Callable]] = {}
+_TOKEN: dict[str, tuple[str, Callable]] = {}
+
+
+def register_encoder(name: str, fn: Callable | None = None, kind: str = "sentence", factory: Callable | None = None) -> None:
+    """Registers a function, or a ``factory`` that loads and returns it."""
+    if (fn is None) == (factory is None):
+        raise ValueError("give the encoder's function or a factory")
+    made = factory if fn is None else lambda: fn
+    (_SENTENCE if kind == "sentence" else _TOKEN)[name] = (uuid.uuid4().hex, made)
+
+
+def _registered(name: str, kind: str) -> tuple[str, Callable]:
+    known = _SENTENCE if kind == "sentence" else _TOKEN
+    if name not in known:
+        raise KeyError(f"unknown {kind} encoder {name!r}; registered: {sorted(known)}")
+    return known[name]
+
+
+def check_registered(name: str, kind: str) -> None:
+    """Raises if there is no encoder of that name."""
+    _registered(name, kind)
 
 
-def _bucket(tokens: list[str], dim: int) -> np.ndarray:
-    import xxhash
+def _loaded(key: str, factory: Callable) -> Callable:
+    """The model of a worker, loaded on its first use.  Functions reach a worker
+    by value and anew for each task, so what outlasts a task is kept in a module
+    of the worker itself."""
+    held = sys.modules.setdefault("tessera_encoders_loaded", types.ModuleType("tessera_encoders_loaded")).__dict__
+    if key not in held:
+        held[key] = factory()
+    return held[key]
 
-    v = np.zeros(dim, dtype=np.float32)
-    for t in tokens:
-        h = xxhash.xxh64_intdigest(t.encode("utf-8"))
-        v[h % dim] += 1.0 if (h >> 32) & 1 else -1.0
-    return v
 
+# ---------------------------------------------------------------- stand-ins
+def _hashing() -> Callable[[list[list[str]], int], tuple[np.ndarray, np.ndarray]]:
+    """(bucket, sign) of every token: the first eight hex digits of its MD5 modulo
+    DIM, and whether the ninth is even."""
+    kept: dict[str, tuple[int, int]] = {}
 
-def hashing_sentence_encoder(texts: list[str], dim: int = DIM) -> np.ndarray:
-    """Deterministic stand-in: signed hashing of lower-cased word tokens."""
+    def of(token: str) -> tuple[int, int]:
+        out = kept.get(token)
+        if out is None:
+            if len(kept) > KEPT_TOKENS:
+                kept.clear()
+            h = hashlib.md5(token.encode("utf-8")).hexdigest()
+            out = kept[token] = int(h[:8], 16) % DIM, 1 - 2 * (int(h[8], 16) % 2)
+        return out
+
+    def hashed(lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        both = np.array([of(t) for x in lists for t in x], np.int64).reshape(-1, 2)
+        return both[:, 0], both[:, 1].astype(np.float32)
+
+    return hashed
+
+
+def hashing_sentence_encoder() -> Callable[[list[str]], np.ndarray]:
+    """Signed hashing of lower-cased word tokens."""
     import regex
 
-    word = regex.compile(r"[\p{L}\p{N}_]+")
-    return np.stack([_bucket(word.findall(t.lower()), dim) for t in texts]) if texts else np.zeros((0, dim), np.float32)
+    word, hashed = regex.compile(WORD_RE), _hashing()
+
+    def encode(texts: list[str]) -> np.ndarray:
+        lists = [word.findall(t.lower()) for t in texts]
+        bucket, sign = hashed(lists)
+        out = np.zeros((len(texts), DIM), np.float32)
+        np.add.at(out, (np.repeat(np.arange(len(lists)), [len(x) for x in lists]), bucket), sign)
+        return out
+
+    return encode
+
+
+def hashing_token_encoder(layers: int = 3) -> Callable[[list[list[str]]], list[np.ndarray]]:
+    """Layer l of token i is the hashed vector of the token plus its neighbours,
+    scaled by l + 1."""
+    hashed = _hashing()
 
+    def encode(sentences: list[list[str]]) -> list[np.ndarray]:
+        bucket, sign = hashed(sentences)
+        base = np.zeros((len(bucket), DIM), np.float32)
+        base[np.arange(len(bucket)), bucket] = sign
+        out, at = [], 0
+        for tokens in sentences:
+            own = base[at:at + len(tokens)]
+            at += len(tokens)
+            ctx = own.copy()
+            ctx[1:] += own[:-1]
+            ctx[:-1] += own[1:]
+            out.append(np.stack([ctx * (layer + 1) for layer in range(layers)]))
+        return out
 
-def hashing_token_encoder(sentences: list[list[str]], dim: int = DIM, layers: int = 3) -> list[np.ndarray]:
-    """Deterministic stand-in for a contextual encoder: layer l of token i is
-    the hashed vector of the token plus its neighbours, scaled by l + 1."""
-    out = []
-    for toks in sentences:
-        base = np.stack([_bucket([t], dim) for t in toks]) if toks else np.zeros((0, dim), np.float32)
-        ctx = base.copy()
-        if len(toks) > 1:
-            ctx[1:] += base[:-1]
-            ctx[:-1] += base[1:]
-        out.append(np.stack([ctx * (layer + 1) for layer in range(layers)]))
-    return out
+    return encode
 
 
-def register_encoder(name: str, fn, kind: str = "sentence") -> None:
-    (_SENTENCE if kind == "sentence" else _TOKEN)[name] = fn
+register_encoder("hashing", kind="sentence", factory=hashing_sentence_encoder)
+register_encoder("hashing", kind="token", factory=hashing_token_encoder)
 
 
-register_encoder("hashing", hashing_sentence_encoder, "sentence")
-register_encoder("hashing", hashing_token_encoder, "token")
+# ---------------------------------------------------------------- jobs
+def _vector_lists(x: np.ndarray) -> pa.ListArray:
+    x = np.ascontiguousarray(x, np.float32)
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int64) * x.shape[1], pa.int32()), pa.array(x.reshape(-1)))
 
 
 def sentence_vectors(docs: DataFrame, encoder: str = "hashing", id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
     """encode the original text (not lemmas); an empty text is encoded
     as '.' and its vector then set to zero (C9)."""
-    fn = _SENTENCE[encoder]
+    key, factory = _registered(encoder, "sentence")
 
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def enc(texts: pd.Series) -> pd.Series:
-        mat = fn(texts.tolist())
-        return pd.Series(list(mat.astype(np.float32)))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                vecs = np.array(_loaded(key, factory)(batch.column("guarded").to_pylist()), np.float32)
+                vecs[batch.column("blank").to_numpy(zero_copy_only=False)] = 0
+                yield pa.RecordBatch.from_arrays([batch.column("id"), _vector_lists(vecs)], names=["id", "vec"])
 
-    guarded = docs.select(F.col(id_col).alias(id_col), F.col(text_col).alias("_t"), blank_guard(text_col).alias("_g"))
-    vec = enc(F.col("_g"))
-    zero = F.array_repeat(F.lit(0.0).cast("float"), F.size(vec))
-    return guarded.select(id_col, F.when(F.coalesce(F.col("_t"), F.lit("")) == "", zero).otherwise(vec).alias("vec"))
+    text = F.col(text_col)
+    guarded = docs.select(F.col(id_col).alias("id"), blank_guard(text_col).alias("guarded"),
+                          (F.coalesce(text, F.lit("")) == "").alias("blank"))
+    id_type = docs.schema[id_col].dataType.simpleString()
+    return guarded.mapInArrow(run, f"id {id_type}, vec array<float>").withColumnRenamed("id", id_col)
 
 
 def token_layer_vectors(sents: DataFrame, encoder: str = "hashing") -> DataFrame:
     """(sent_id, layer, pos, vec) for every token of every sentence,
-    computed batch-wise with mapInPandas (one model load per worker)."""
-    fn = _TOKEN[encoder]
-    schema = T.StructType([T.StructField("sent_id", T.LongType()), T.StructField("layer", T.IntegerType()),
-                           T.StructField("pos", T.IntegerType()),
-                           T.StructField("vec", T.ArrayType(T.FloatType()))])
-
-    def run(batches):
-        for pdf in batches:
-            toks = [list(t) if t is not None else [] for t in pdf["tokens"]]
-            outs = fn(toks)
-            parts = []
-            for sid, arr in zip(pdf["sent_id"].tolist(), outs):
-                n_layers, n_tok = arr.shape[0], arr.shape[1]
-                if n_tok == 0:
+    computed batch by batch."""
+    key, factory = _registered(encoder, "token")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sentences = [[t for t in x or [] if t is not None] for x in batch.column("tokens").to_pylist()]
+            ids = batch.column("sent_id").to_numpy()
+            for at in range(0, len(ids), 256):  # the layers of 256 sentences at a time
+                outs = _loaded(key, factory)(sentences[at:at + 256])
+                sizes = [(sid, x.shape[0], x.shape[1]) for sid, x in zip(ids[at:at + 256], outs) if x.shape[1]]
+                if not sizes:
                     continue
-                flat = arr.reshape(n_layers * n_tok, -1).astype(np.float32)
-                parts.append(pd.DataFrame({
-                    "sent_id": np.full(n_layers * n_tok, sid, dtype=np.int64),
-                    "layer": np.repeat(np.arange(n_layers, dtype=np.int32), n_tok),
-                    "pos": np.tile(np.arange(n_tok, dtype=np.int32), n_layers),
-                    "vec": list(flat)}))
-            if parts:
-                yield pd.concat(parts, ignore_index=True)
-
-    return sents.select("sent_id", "tokens").mapInPandas(run, schema)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.concatenate([np.full(layers * n, sid) for sid, layers, n in sizes]), pa.int64()),
+                    pa.array(np.concatenate([np.repeat(np.arange(layers), n) for _, layers, n in sizes]), pa.int32()),
+                    pa.array(np.concatenate([np.tile(np.arange(n), layers) for _, layers, n in sizes]), pa.int32()),
+                    _vector_lists(np.concatenate([x.reshape(-1, x.shape[2]) for x in outs if x.shape[1]]))],
+                    names=["sent_id", "layer", "pos", "vec"])
+
+    return sents.select(F.col("sent_id").cast("long"), "tokens").mapInArrow(
+        run, "sent_id long, layer int, pos int, vec array<float>")

@@ -3,18 +3,18 @@
 * ``broadcast_checked``: broadcast a side only after measuring it; beyond the
   bound the plain join is kept (sort-merge, with AQE skew splitting).
 * ``skew_safe_lookup``: join a big fact table with a lookup table that has one
-  row per key and a known frequency of that key in the fact table.  Keys
-  holding at least ``1/max_hot`` of all fact rows are *hot*; there are at most
-  ``max_hot`` of them, so they are broadcast (proven bound) and the fact rows
-  carrying them never shuffle.  The remaining cold keys each hold less than
-  ``1/max_hot`` of the rows, so the shuffle join over them is balanced.
+  row per key and a known frequency of that key in the fact table.  The most
+  frequent keys, as many as a measured byte bound holds, are broadcast and the
+  fact rows carrying them never shuffle: a lookup table within the bound is
+  broadcast whole.  Only the rows of the rarer keys go through a shuffle join,
+  where none of them is frequent enough to unbalance it.
 * ``dense_index``: a gap-free 0-based rank over a total order without a
   single-partition window (range partitioning + per-partition offsets).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -23,24 +23,23 @@ from tessera.session import materialize
 
 # Broadcast bound for measured sides (bytes of key/value payload).
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-MAX_HOT_KEYS = 1000
 
 
-def measured_size(df: DataFrame) -> tuple[int, int]:
-    """(rows, approximate bytes) of a DataFrame, in one aggregation job."""
-    width = []
-    fixed = 0
+def row_bytes(df: DataFrame) -> Column:
+    """Approximate bytes of a row."""
+    per_row = F.lit(16 + 8 * sum(not isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType)) for f in df.schema.fields))
     for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            width.append(F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)))
+            per_row = per_row + F.coalesce(F.octet_length(c), F.lit(0))
         elif isinstance(f.dataType, T.ArrayType):
-            width.append(F.coalesce(F.size(F.col(f"`{f.name}`")), F.lit(0)) * F.lit(8))
-        else:
-            fixed += 8
-    per_row = F.lit(fixed + 16)
-    for w in width:
-        per_row = per_row + w
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(per_row).alias("b")).first()
+            per_row = per_row + F.coalesce(F.size(c), F.lit(0)) * F.lit(8)
+    return per_row
+
+
+def measured_size(df: DataFrame) -> tuple[int, int]:
+    """(rows, approximate bytes) of a DataFrame, in one aggregation job."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df)).alias("b")).first()
     return int(row["n"] or 0), int(row["b"] or 0)
 
 
@@ -50,20 +49,37 @@ def broadcast_checked(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> Da
     return F.broadcast(df) if nbytes <= max_bytes else df
 
 
+def hot_frequency(lookup: DataFrame, freq_col: str, max_bytes: int) -> int:
+    """The lowest power of two such that the keys of at least this frequency fit
+    into ``max_bytes``; 0 if the whole table does.  One job; its result has a
+    row per power of two."""
+    level = F.floor(F.log2(F.greatest(F.col(freq_col), F.lit(1)))).cast("int")
+    sizes = (lookup.select(level.alias("level"), row_bytes(lookup).alias("b"))
+             .groupBy("level").agg(F.sum("b").alias("b")).collect())
+    total, at_least = 0, None
+    for r in sorted(sizes, key=lambda r: -(r["level"] or 0)):
+        total += r["b"]
+        if total > max_bytes:
+            return 1 << 62 if at_least is None else at_least
+        at_least = 1 << (r["level"] or 0)
+    return 0
+
+
 def skew_safe_lookup(big: DataFrame, lookup: DataFrame, key: str, freq_col: str,
-                     how: str = "inner", max_hot: int = MAX_HOT_KEYS) -> DataFrame:
+                     how: str = "inner", max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Join ``big`` with a unique-key ``lookup`` whose ``freq_col`` counts the
     rows of ``big`` per key.  Output has the columns of ``big`` and ``lookup``
-    (without ``freq_col``).  ``how`` is ``inner`` or ``left``."""
+    (without ``freq_col``).  ``how`` is ``inner`` or ``left``.  ``lookup`` is read
+    once to measure it, so hand over one that is cheap to compute."""
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
-    total = lookup.select(F.sum(F.col(freq_col))).scalar()
-    is_hot = F.col(freq_col) * F.lit(max_hot) >= total
-    hot = lookup.filter(is_hot).drop(freq_col)
-    cold = lookup.filter(~is_hot).drop(freq_col)
+    at_least = hot_frequency(lookup, freq_col, max_bytes)
+    if not at_least:
+        return big.join(F.broadcast(lookup.drop(freq_col)), key, how)
+    is_hot = F.coalesce(F.col(freq_col) >= at_least, F.lit(False))
+    hot, cold = lookup.filter(is_hot).drop(freq_col), lookup.filter(~is_hot).drop(freq_col)
     hot_part = big.join(F.broadcast(hot), key, "inner")
-    cold_rows = big.join(F.broadcast(hot.select(key)), key, "left_anti")
-    cold_part = cold_rows.join(cold, key, how)
+    cold_part = big.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key, how)
     return hot_part.unionByName(cold_part)
 
 

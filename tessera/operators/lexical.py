@@ -9,21 +9,30 @@ distinct text in collection order (used by the exact zero fill, S3).
 
 ``postings(term, doc_id, text_key, text_idx, cnt, dl, weight)``: one row per
 (document, term); the weight already folds in duplicates (S7) and document
-normalisation, so search is a join with the query terms plus a sum.
+normalisation, so a score is a sum over the query terms.
+
+A collection is counted once, row by row, into one row per document that holds its
+keys, length and term counts; postings are exploded from it where it lies, and the
+term weights are looked up by a broadcast that its measured size bounds.  A search
+scores shards of consecutive positions: the postings of the batch's terms meet its
+queries in cells (shard group, query block), each cell keeps the best k and the
+first k positions without a match of every query, and only these are exchanged.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterator
+from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.functions.text import VEC_TOKEN_RE, word_tokens, ws_tokens
+from tessera.functions.text import VEC_TOKEN_RE, counted, has_word_char, word_tokens, ws_tokens
 from tessera.operators import stats
-from tessera.operators.joins import (MAX_BROADCAST_BYTES, broadcast_checked, dense_index, measured_size,
-                                     skew_safe_lookup)
+from tessera.operators.joins import broadcast_checked, dense_index, measured_size, skew_safe_lookup
 from tessera.session import materialize
 
 # Scores are compared at this precision when ordering, so that sums taken in
@@ -32,17 +41,26 @@ SCORE_DIGITS = 9
 
 
 # ---------------------------------------------------------------- doc keys
+def _text_hash(text: Column) -> Column:
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+
+
+def text_groups(docs: DataFrame) -> DataFrame:
+    """(h, mult, text_key, text_idx) of each distinct text, by a SHA-256 of it;
+    a null text counts as an empty one."""
+    groups = docs.select("doc_id", _text_hash(F.col("text")).alias("h")).groupBy("h").agg(
+        F.min("doc_id").alias("text_key"), F.count(F.lit(1)).alias("mult"))
+    return dense_index(groups, ["text_key"], "text_idx")
+
+
 def doc_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_key, text_idx).
 
-    Documents are grouped by a SHA-256 of the text, so no text is shuffled;
-    the copies of one text may be a third of all rows, so the join back is a
-    hot/cold split on the copy count rather than a plain shuffle join."""
-    hashed = docs.select(F.col(id_col).alias("doc_id"), F.sha2(F.col(text_col), 256).alias("h"))
-    groups = hashed.groupBy("h").agg(F.min("doc_id").alias("text_key"), F.count(F.lit(1)).alias("mult"))
-    groups = dense_index(groups, ["text_key"], "text_idx")
-    keyed = skew_safe_lookup(hashed, groups, "h", "mult")
-    # three longs per document, reused by every model, N and the search
+    Documents are grouped by a hash of the text, so no text is shuffled; the
+    copies of one text may be a third of all rows, so the join back broadcasts
+    the groups with most copies."""
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    keyed = skew_safe_lookup(docs.select("doc_id", _text_hash(F.col("text")).alias("h")), text_groups(docs), "h", "mult")
     return materialize(keyed.select("doc_id", "text_key", "text_idx"), "doc-keys")
 
 
@@ -78,15 +96,14 @@ def bm25_postings(coll: "Collection", k: float = 2.0, b: float = 0.75,
     """BM25 postings for every document (all copies keep their row).
 
     N counts every document (empty ones too) and avgdl = total tokens / N
-    (S11), both from the shared counts and keys: no statistic re-reads text."""
-    counts, keys = coll.counts, coll.keys
+    (S11), both from the counted documents: no statistic re-reads text, and
+    nothing but the idf of rare terms beyond the broadcast bound is exchanged."""
     n_docs = coll.n_docs
-    avgdl = counts.select(F.sum("cnt").cast("double")).scalar() / n_docs
-    idf = bm25_idf(counts, n_docs, n_qi, coll.term_stats)
-    joined = skew_safe_lookup(counts, idf, "term", "df")
+    avgdl = coll.documents.select(F.sum("dl").cast("double")).scalar() / n_docs
+    idf = bm25_idf(coll.counts, n_docs, n_qi, coll.term_stats)
+    joined = skew_safe_lookup(coll.keyed_counts, idf, "term", "df")
     weight = bm25_weight(F.col("cnt"), F.col("dl"), F.col("idf"), avgdl, k, b, tf, dup)
-    post = joined.select("term", "doc_id", "cnt", "dl", "idf", weight.alias("weight"))
-    return post.join(keys, "doc_id")
+    return joined.select("doc_id", "term", "cnt", "dl", "idf", weight.alias("weight"), "text_key", "text_idx")
 
 
 # ---------------------------------------------------------------- TF-IDF
@@ -95,51 +112,91 @@ def vectorizer_counts(counts: DataFrame) -> DataFrame:
     characters from the space-joined tokens equals doing it token by token
     (a run cannot cross the joining space), so counts are split per token
     and re-summed; no text is re-read."""
-    sub = counts.select("doc_id", "dl", "cnt",
-                        F.explode(F.regexp_extract_all(F.lower("term"), F.lit(VEC_TOKEN_RE), 0)).alias("term"))
-    return sub.groupBy("doc_id", "term", "dl").agg(F.sum("cnt").alias("cnt"))
+    rest = [c for c in counts.columns if c not in ("term", "cnt")]
+    sub = counts.select(*rest, "cnt", F.explode(F.regexp_extract_all(F.lower("term"), F.lit(VEC_TOKEN_RE), 0)).alias("term"))
+    return sub.groupBy("term", *rest).agg(F.sum("cnt").alias("cnt"))
 
 
 def tfidf_postings(coll: "Collection") -> DataFrame:
     """vectoriser tokens (C4), smooth idf = ln((1+N)/(1+df)) + 1,
     w = count * idf divided by the L2 norm of the document's row."""
-    if coll.tokenizer is word_tokens:
+    if coll.tokenizer is word_tokens and coll.lemmas is None:
         # word tokens are maximal word-character runs already: the vectoriser
         # keeps exactly those of two or more characters, no regrouping
-        counts = coll.counts.filter(F.length("term") >= 2)
+        counts, st = coll.keyed_counts.filter(F.length("term") >= 2), coll.term_stats.filter(F.length("term") >= 2)
     else:
-        counts = materialize(vectorizer_counts(coll.counts), "tfidf-counts")
-    n_docs = coll.n_docs
-    st = stats.term_stats(counts)
-    idf = st.select("term", "df", (F.ln((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)).alias("idf"))
+        counts = materialize(vectorizer_counts(coll.keyed_counts), "tfidf-counts")
+        st = materialize(stats.term_stats(counts), "tfidf-stats")
+    idf = st.select("term", "df", (F.ln((F.lit(1.0) + coll.n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)).alias("idf"))
     joined = skew_safe_lookup(counts, idf, "term", "df")
     raw = F.col("cnt").cast("double") * F.col("idf")
     # one window per document (bounded by its distinct terms): no hot group
     doc_norm = F.sqrt(F.sum(raw * raw).over(Window.partitionBy("doc_id")))
-    post = joined.select("term", "doc_id", "cnt", "dl", "idf", F.try_divide(raw, doc_norm).alias("weight"))
-    return post.join(coll.keys, "doc_id")
+    return joined.select("doc_id", "term", "cnt", "dl", "idf", F.try_divide(raw, doc_norm).alias("weight"), "text_key", "text_idx")
 
 
 class Collection:
-    """one preprocessed collection shared by every model - the token
-    table is counted once and the text keys are computed once (both written
-    to the shared checkpoint folder on first use)."""
+    """one preprocessed collection shared by every model.  Documents are
+    tokenised and counted once, row by row, and written with their text keys to
+    the shared checkpoint folder on first use.
+
+    ``tokenizer`` cuts texts; ``tokens`` (doc_id, tokens) takes ready tokens from
+    any source instead.  ``lemmas`` (form, lemma) replaces every token by its lemma
+    (C1; a form without one by its lower case) and keeps those with a word
+    character; queries are treated alike, and an index records ``lemma_name``."""
 
-    def __init__(self, docs: DataFrame, tokenizer=word_tokens, id_col: str = "doc_id", text_col: str = "text"):
+    def __init__(self, docs: DataFrame, tokenizer=word_tokens, id_col: str = "doc_id", text_col: str = "text",
+                 tokens: DataFrame | None = None, lemmas: DataFrame | None = None, lemma_name: str = "lemmas"):
         self.docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
         self.tokenizer = tokenizer
-        self._counts = self._keys = self._stats = None
+        self._given = None if tokens is None else tokens.select("doc_id", "tokens")
+        self.lemmas = None if lemmas is None else lemmas.select("form", "lemma")
+        self.lemma_name = None if lemmas is None else lemma_name
+        self._documents = self._keys = self._stats = None
 
     @property
     def tokens(self) -> DataFrame:
-        return stats.tokenize(self.docs, tokenizer=self.tokenizer)
+        """(doc_id, tokens) as cut, before any lemma."""
+        return stats.tokenize(self.docs, tokenizer=self.tokenizer) if self._given is None else self._given
+
+    def _lemma_terms(self, forms: DataFrame) -> DataFrame:
+        """(doc_id, terms, dl) of documents whose forms are counted: each distinct
+        form of a document is looked up once, the frequent ones by broadcast."""
+        ex = materialize(forms.select("doc_id", F.explode("terms").alias("t")).select(
+            "doc_id", F.col("t.term").alias("form"), F.col("t.cnt").alias("cnt")), "forms")
+        by_lemma = stats.lemma_lookup(ex, self.lemmas).groupBy("doc_id", "lemma").agg(F.sum("cnt").alias("cnt"))
+        return by_lemma.filter(has_word_char(F.col("lemma"))).groupBy("doc_id").agg(
+            F.sort_array(F.collect_list(F.struct(F.col("lemma").alias("term"), "cnt"))).alias("terms"),
+            F.sum("cnt").cast("int").alias("dl"))
+
+    @property
+    def documents(self) -> DataFrame:
+        """(doc_id, text_key, text_idx, dl, terms): one row per document."""
+        if self._documents is None:
+            no_terms = F.array().cast("array<struct<term:string,cnt:bigint>>")
+            hashed = self.docs.select("doc_id", _text_hash(F.col("text")).alias("h"), "text")
+            if self._given is None and self.lemmas is None:
+                tokens = F.coalesce(self.tokenizer(F.col("text")), F.array().cast("array<string>"))
+                cut = hashed.select("doc_id", "h", tokens.alias("tokens"))
+                rows = cut.select("doc_id", "h", F.size("tokens").alias("dl"), counted("tokens").alias("terms"))
+            else:
+                forms = self.tokens.select("doc_id", F.size("tokens").alias("dl"), counted("tokens").alias("terms"))
+                forms = forms if self.lemmas is None else self._lemma_terms(forms)
+                rows = hashed.select("doc_id", "h").join(forms, "doc_id", "left").select(
+                    "doc_id", "h", F.greatest(F.coalesce("dl", F.lit(0)), F.lit(0)).alias("dl"), F.coalesce("terms", no_terms).alias("terms"))
+            keyed = skew_safe_lookup(rows, text_groups(self.docs), "h", "mult")
+            self._documents = materialize(keyed.select("doc_id", "text_key", "text_idx", "dl", "terms"), "documents")
+        return self._documents
+
+    @property
+    def keyed_counts(self) -> DataFrame:
+        """(doc_id, text_key, text_idx, dl, term, cnt), exploded in place."""
+        return self.documents.select("doc_id", "text_key", "text_idx", "dl", F.inline("terms"))
 
     @property
     def counts(self) -> DataFrame:
         """(doc_id, term, dl, cnt)."""
-        if self._counts is None:
-            self._counts = materialize(stats.term_counts(self.tokens), "term-counts")
-        return self._counts
+        return self.keyed_counts.select("doc_id", "term", "dl", "cnt")
 
     @property
     def term_stats(self) -> DataFrame:
@@ -151,18 +208,26 @@ class Collection:
     @property
     def keys(self) -> DataFrame:
         if self._keys is None:
-            self._keys = doc_keys(self.docs)
+            self._keys = self.documents.select("doc_id", "text_key", "text_idx")
         return self._keys
 
     @property
     def n_docs(self) -> Column:
-        return self.keys.select(F.count(F.lit(1))).scalar()
+        return self.documents.select(F.count(F.lit(1))).scalar()
+
+    def query_terms(self, queries: DataFrame, qid: str = "query_id", text: str = "text") -> DataFrame:
+        return query_terms(queries, qid, text, self.tokenizer, self.lemmas)
 
 
 # Tokenisers by the name that an index records.
 TOKENIZERS = {"word": word_tokens, "whitespace": ws_tokens}
 
 
+def tokenizer_name(tokenizer) -> str:
+    """The name an index records; a tokeniser of one's own is ``custom``."""
+    return next((k for k, f in TOKENIZERS.items() if f is tokenizer), "custom")
+
+
 @dataclass
 class LexicalIndex:
     postings: DataFrame
@@ -170,10 +235,14 @@ class LexicalIndex:
     model: str
     tokenizer: str = "word"  # queries are cut like the documents were
     buckets: int = 0  # of a persisted index
+    cut: object = field(default=None, repr=False)  # the tokeniser itself, where it is known
+    lemmas: DataFrame | None = None
+    lemma_name: str | None = None
 
     @property
-    def n_texts(self) -> Column:
-        return self.doc_keys.select(F.max("text_idx") + 1).scalar()
+    def n_texts(self) -> int:
+        last = self.doc_keys.agg(F.max("text_idx")).first()[0]
+        return 0 if last is None else last + 1
 
 
 def build_lexical(docs, model: str = "bm25", tokenizer=word_tokens, **opts) -> LexicalIndex:
@@ -185,16 +254,25 @@ def build_lexical(docs, model: str = "bm25", tokenizer=word_tokens, **opts) -> L
         post = tfidf_postings(coll)
     else:
         raise ValueError(f"unknown lexical model {model!r}")
-    name = next((k for k, f in TOKENIZERS.items() if f is coll.tokenizer), "custom")
-    return LexicalIndex(post, coll.keys, model, name)
+    return LexicalIndex(post, coll.keys, model, tokenizer_name(coll.tokenizer), cut=coll.tokenizer, lemmas=coll.lemmas,
+                        lemma_name=coll.lemma_name)
 
 
 # ---------------------------------------------------------------- search
+# Distinct texts whose scores a task holds at a time, at most.
+SHARD_TEXTS = 16_384
+# Bytes of the queries of one block, which a task holds.
+QUERY_BLOCK_BYTES = 8 << 20
+
+
 def query_terms(queries: DataFrame, qid: str = "query_id", text: str = "text",
-                tokenizer=word_tokens) -> DataFrame:
-    """Distinct query terms (weight 1 each)."""
-    return (queries.select(F.col(qid).alias("query_id"), F.explode(tokenizer(F.col(text))).alias("term"))
-            .distinct())
+                tokenizer=word_tokens, lemmas: DataFrame | None = None) -> DataFrame:
+    """Distinct query terms (weight 1 each), as lemmas if a table is given."""
+    forms = queries.select(F.col(qid).alias("query_id"), F.explode(tokenizer(F.col(text))).alias("term")).distinct()
+    if lemmas is None:
+        return forms
+    found = stats.lemma_lookup(materialize(forms.withColumnRenamed("term", "form"), "query-forms"), lemmas)
+    return found.filter(has_word_char(F.col("lemma"))).select("query_id", F.col("lemma").alias("term")).distinct()
 
 
 def _top_k(df: DataFrame, k: int, order: list[Column], part: str = "query_id") -> DataFrame:
@@ -203,21 +281,159 @@ def _top_k(df: DataFrame, k: int, order: list[Column], part: str = "query_id") -
     return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def _zero_candidates(matched: DataFrame, query_ids: DataFrame, n_texts: Column, k: int) -> DataFrame:
-    """D9/S3 exact zero fill: per query the k first distinct texts (by
-    text_idx) that match no query term, without enumerating documents x
-    queries.  Unmatched positions form gaps between matched ones; the first k
-    unmatched lie in the first k gaps, within k of each gap start."""
-    m = matched.select("query_id", F.col("text_idx").alias("c"))
-    first_free = (query_ids.select("query_id", F.lit(0).cast("long").alias("c"))
-                  .filter(n_texts > 0).join(m, ["query_id", "c"], "left_anti"))
-    after = (m.select("query_id", (F.col("c") + 1).alias("c")).filter(F.col("c") < n_texts)
-             .join(m, ["query_id", "c"], "left_anti"))
-    starts = _top_k(first_free.unionByName(after), k, [F.col("c")]).drop("rank")
-    cand = starts.select("query_id", F.explode(F.sequence(F.col("c"), F.least(F.col("c") + (k - 1), n_texts - 1))).alias("c"))
-    # windows of neighbouring gap starts overlap: at most k*k rows per query
-    free = cand.distinct().join(m, ["query_id", "c"], "left_anti")
-    return _top_k(free, k, [F.col("c")]).select("query_id", F.col("c").alias("text_idx"))
+def score_shard(lists: list[tuple[np.ndarray, np.ndarray]], size: int, k: int, floor: float) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    """Best positions of one query in a shard of ``size`` positions, from the
+    postings (sorted positions, weights) of its terms: (positions, scores, which
+    positions have a term at all).
+
+    The terms of highest weight are added first.  Once the k-th best score is out
+    of reach for a position without any of them (`floor`: the k-th best of earlier
+    shards, if positive), the scan ends: the terms left are only looked up for the
+    positions that can still be among the best, and None stands for the matches,
+    as no position without a match (score 0) is among the best either."""
+    lists = sorted(lists, key=lambda x: -x[1].max())
+    most = np.cumsum([max(0.0, w.max()) for _, w in lists][::-1])[::-1]  # of this term and those behind it
+    least = np.cumsum([min(0.0, w.min()) for _, w in lists][::-1])[::-1]
+    scores, seen = np.zeros(size), np.zeros(size, bool)
+    slack = 10.0 ** -SCORE_DIGITS * 2
+    for n, (at, w) in enumerate(lists):
+        if n and sum(len(x) for x, _ in lists[n:]) > 4 * k:
+            touched = np.flatnonzero(seen)
+            kth = np.partition(scores[touched], -k)[-k] + least[n] if len(touched) >= k else -np.inf
+            kth = max(kth, floor)
+            if kth > most[n] + slack:
+                best, sums = touched, scores[touched]
+                for m, (at, w) in enumerate(lists[n:], n):
+                    if len(best) > k:
+                        kth = max(kth, np.partition(sums, -k)[-k] + least[m])
+                    hold = sums + most[m] >= kth - slack
+                    best, sums = best[hold], sums[hold]
+                    place = np.searchsorted(at, best)
+                    place[place == len(at)] = 0
+                    sums = sums + np.where(at[place] == best, w[place], 0.0)
+                return best, sums, None
+        scores[at] += w
+        seen[at] = True
+    touched = np.flatnonzero(seen)
+    return touched, scores[touched], seen
+
+
+class _Cell:
+    """Running results of the queries of a block over the shards of a group."""
+
+    def __init__(self, terms: dict, queries: list, group: int, groups: int, shard_texts: int, n_texts: int, k: int, fill: bool):
+        self.queries, self.k, self.fill = queries, k, fill
+        self.by_term: dict[str, list[int]] = terms
+        self.next, self.groups, self.size, self.n_texts = group, groups, shard_texts, n_texts
+        none = np.zeros(0, np.int64)
+        self.best = [(none, none, np.zeros(0)) for _ in queries]  # position, document, score
+        self.free: list[list[int]] = [[] for _ in queries]
+
+    def _needy(self, q: int) -> bool:
+        """Whether positions without a match may be among the query's best."""
+        best = self.best[q][2]
+        return self.fill and len(self.free[q]) < self.k and (len(best) < self.k or np.round(best[-1], SCORE_DIGITS) <= 0)
+
+    def _add_free(self, q: int, shard: int, seen: np.ndarray | None) -> None:
+        start, end = shard * self.size, min((shard + 1) * self.size, self.n_texts)
+        wanted = self.k - len(self.free[q])
+        free = np.arange(min(end - start, wanted)) if seen is None else np.flatnonzero(~seen[:end - start])[:wanted]
+        self.free[q] += (free + start).tolist()
+
+    def skip_to(self, shard: int) -> None:
+        """The group's shards before `shard` that hold none of the batch's terms."""
+        while self.next < shard and self.next * self.size < self.n_texts:
+            needy = [q for q in range(len(self.queries)) if self._needy(q)]
+            if not needy:
+                break
+            for q in needy:
+                self._add_free(q, self.next, None)
+            self.next += self.groups
+        self.next = max(self.next, shard)
+
+    def score(self, shard: int, terms: np.ndarray, at: np.ndarray, docs: np.ndarray, weights: np.ndarray, names: list[str]) -> None:
+        self.skip_to(shard)
+        self.next = shard + self.groups
+        order = np.lexsort((at, terms))
+        terms, at, docs, weights = terms[order], at[order] - shard * self.size, docs[order], weights[order]
+        doc_at = np.zeros(self.size, np.int64)
+        doc_at[at] = docs
+        cuts = np.flatnonzero(np.r_[True, terms[1:] != terms[:-1]])
+        lists: dict[int, list] = {}
+        for a, b in zip(cuts, np.r_[cuts[1:], len(terms)]):
+            for q in self.by_term[names[terms[a]]]:
+                lists.setdefault(q, []).append((at[a:b], weights[a:b]))
+        for q in range(len(self.queries)):
+            if q not in lists:
+                if self._needy(q):
+                    self._add_free(q, shard, None)
+                continue
+            held, held_docs, held_scores = self.best[q]
+            floor = held_scores[-1] if len(held) >= self.k and held_scores[-1] > 0 else -np.inf
+            found, scores, seen = score_shard(lists[q], self.size, self.k, floor)
+            places = np.concatenate([held, found + shard * self.size])
+            scores = np.concatenate([held_scores, scores])
+            top = np.lexsort((places, -np.round(scores, SCORE_DIGITS)))[:self.k]
+            self.best[q] = places[top], np.concatenate([held_docs, doc_at[found]])[top], scores[top]
+            if seen is not None and self._needy(q):
+                self._add_free(q, shard, seen)
+
+    def rows(self, id_type: pa.DataType) -> pa.RecordBatch:
+        self.skip_to(self.n_texts // self.size + 1)
+        out: list[tuple] = []
+        for q, name in enumerate(self.queries):
+            out += [(name, p, d, s) for p, d, s in zip(*(x.tolist() for x in self.best[q]))]
+            out += [(name, p, None, 0.0) for p in self.free[q]]
+        columns = list(zip(*out)) or [[]] * 4
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (id_type, pa.int64(), pa.int64(), pa.float64()))],
+                                          names=["query_id", "text_idx", "doc_id", "score"])
+
+
+def _score_cells(groups: int, blocks: int, shard_texts: int, n_texts: int, k: int, fill: bool):
+    """Streams cells (their queries, then their postings by shard) into results."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, cell, held, id_type = None, None, [], None
+        terms, queries = {}, {}
+
+        def opened() -> _Cell:
+            return _Cell(terms, list(queries), int(now[0]) // blocks, groups, shard_texts, n_texts, k, fill)
+
+        def flush() -> None:
+            """Scores the shard whose postings are held."""
+            if held:
+                part = pa.Table.from_batches(held)
+                held.clear()
+                coded = part.column("term").combine_chunks().dictionary_encode()
+                cell.score(int(now[1]), coded.indices.to_numpy(), part.column("text_idx").to_numpy(),
+                           part.column("doc_id").to_numpy(), part.column("weight").to_numpy(), coded.dictionary.to_pylist())
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            id_type = batch.schema.field("query_id").type
+            key, shard = batch.column("cell").to_numpy(), batch.column("shard").to_numpy()
+            cuts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (shard[1:] != shard[:-1])]).tolist()
+            for a, b in zip(cuts, [*cuts[1:], len(key)]):
+                part = batch.slice(a, b - a)
+                if (key[a], shard[a]) != now:
+                    flush()
+                    if now is not None and key[a] != now[0]:
+                        yield (cell or opened()).rows(id_type)
+                        terms, queries, cell = {}, {}, None
+                    now = (key[a], shard[a])
+                if shard[a] < 0:  # the queries come first
+                    for q, t in zip(part.column("query_id").to_pylist(), part.column("term").to_pylist()):
+                        place = queries.setdefault(q, len(queries))
+                        if t is not None:
+                            terms.setdefault(t, []).append(place)
+                else:
+                    cell = cell or opened()
+                    held.append(part)
+        flush()
+        if now is not None:
+            yield (cell or opened()).rows(id_type)
+
+    return run
 
 
 def search(index: LexicalIndex, queries: DataFrame, k: int = 10, fill_zero: bool = True,
@@ -226,42 +442,53 @@ def search(index: LexicalIndex, queries: DataFrame, k: int = 10, fill_zero: bool
 
     Documents are deduplicated by text (S1, representative = smallest doc_id);
     ties are broken by collection order (S2); documents without any query term
-    take score 0 and fill the top-k (S3) unless ``fill_zero=False``.  Zero
-    candidates are only computed for queries with fewer than k positive
-    scores; the others cannot have a zero in their top-k."""
-    if tokenizer is None and index.tokenizer not in TOKENIZERS:
+    take score 0 and fill the top-k (S3) unless ``fill_zero=False``.
+
+    Postings of the batch's terms and copies of the queries meet in cells
+    (group of shards, block of queries).  What is exchanged is a posting per block
+    that asks for its term, and at most 2 k results per cell and query; a pair
+    of query and text is never a row."""
+    cut = tokenizer or index.cut or TOKENIZERS.get(index.tokenizer)
+    if cut is None:
         raise ValueError("the index was built with a tokenizer of your own: pass it to the search too")
-    qt = query_terms(queries, qid, text, tokenizer or TOKENIZERS[index.tokenizer])
-    post = index.postings.filter(F.col("doc_id") == F.col("text_key"))
-    on = ["term"]
+    spark = index.postings.sparkSession
+    qids = queries.select(F.col(qid).alias("query_id")).distinct()
+    qt = qids.join(query_terms(queries, qid, text, cut, index.lemmas), "query_id", "left")
+    qt = materialize(qt, "query-terms")
+    blocks = max(1, -(-measured_size(qt)[1] // QUERY_BLOCK_BYTES))
+    n_texts = index.n_texts
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = max(256, min(SHARD_TEXTS, -(-n_texts // (2 * parts))))
+    groups = max(1, min(2 * parts, -(-n_texts // size)))
+    qt = qt.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("long"))
+
+    wanted, on = qt.filter(F.col("term").isNotNull()).select("term", "block").distinct(), ["term"]
     if index.buckets:
         # the bucket is a partition column: dynamic partition pruning reads
         # only the buckets of the batch's terms, whatever the batch's size
-        qt, on = qt.withColumn("term_bucket", term_bucket("term", index.buckets)), ["term_bucket", "term"]
-    _, n_bytes = measured_size(qt)
-    hits = post.join(F.broadcast(qt) if n_bytes <= MAX_BROADCAST_BYTES else qt, on)
-    scored = hits.groupBy("query_id", "text_idx", "text_key").agg(F.sum("weight").alias("score"))
-    # A term without idf contributes nothing
-    scored = scored.withColumn("score", F.coalesce(F.col("score"), F.lit(0.0)))
-    cands = scored.select("query_id", "text_idx", F.col("text_key").alias("doc_id"), "score")
+        wanted, on = wanted.withColumn("term_bucket", term_bucket("term", index.buckets)), ["term_bucket", "term"]
+    shard = F.floor(F.col("text_idx") / size).cast("long")
+    hits = (index.postings.filter(F.col("doc_id") == F.col("text_key")).join(broadcast_checked(wanted), on)
+            .select((shard % groups * blocks + F.col("block")).alias("cell"), shard.alias("shard"), "term", "text_idx",
+                    F.col("text_key").alias("doc_id"), F.coalesce("weight", F.lit(0.0)).alias("weight")))  # S9: no idf, nothing added
+    every_group = F.sequence(F.col("block"), F.col("block") + (groups - 1) * blocks, F.lit(blocks).cast("long"))
+    asked = qt.select(F.explode(every_group).alias("cell"), F.lit(-1).cast("long").alias("shard"), "term", "query_id")
+    id_type = qt.schema["query_id"].dataType.simpleString()
+    cells = (hits.unionByName(asked, allowMissingColumns=True).repartition("cell").sortWithinPartitions("cell", "shard")
+             .mapInArrow(_score_cells(groups, blocks, size, n_texts, k, fill_zero),
+                         f"query_id {id_type}, text_idx long, doc_id long, score double"))
     order = [F.round(F.col("score"), SCORE_DIGITS).desc(), F.col("text_idx").asc()]
-    ranked = _top_k(cands, k, order)
+    top = _top_k(cells, k, order)
     if not fill_zero:
-        return ranked.select("query_id", "rank", "doc_id", "score")
-    # at most k rows per query: the candidates the zero fill competes with
-    top = materialize(ranked.select("query_id", "text_idx", "doc_id", "score"), "search-topk")
-    qids = queries.select(F.col(qid).alias("query_id")).distinct()
-    full = (top.filter(F.round("score", SCORE_DIGITS) > 0).groupBy("query_id")
-            .agg(F.count(F.lit(1)).alias("n_pos")).filter(F.col("n_pos") >= k))
-    needy = qids.join(full, "query_id", "left_anti")
-    if needy.isEmpty():
-        # every query has k positive scores: no zero can enter a top-k
-        return _top_k(top, k, order).select("query_id", "rank", "doc_id", "score")
-    zero = _zero_candidates(scored.join(needy, "query_id", "left_semi"), needy, index.n_texts, k)
-    zero = zero.join(index.doc_keys.filter(F.col("doc_id") == F.col("text_key"))
-                     .select("text_idx", "doc_id"), "text_idx")
-    both = top.unionByName(zero.withColumn("score", F.lit(0.0)))
-    return _top_k(both, k, order).select("query_id", "rank", "doc_id", "score")
+        return top.select("query_id", "rank", "doc_id", "score")
+    # at most k rows per query; positions without a match are looked up by position
+    top = materialize(top, "search-topk")
+    free = top.filter("doc_id IS NULL")
+    if free.isEmpty():
+        return top.select("query_id", "rank", "doc_id", "score")
+    first = index.doc_keys.filter(F.col("doc_id") == F.col("text_key")).select("text_idx", "doc_id")
+    named = first.join(broadcast_checked(free.drop("doc_id")), "text_idx")
+    return top.filter("doc_id IS NOT NULL").unionByName(named).select("query_id", "rank", "doc_id", "score")
 
 
 def attach_text(results: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -288,29 +515,34 @@ def term_bucket(term, buckets: int) -> Column:
     return F.pmod(F.xxhash64(t), F.lit(buckets)).cast("int")
 
 
-def save_lexical(index: LexicalIndex, path: str, partitions: int | None = None, buckets: int = TERM_BUCKETS) -> None:
+def save_lexical(index: LexicalIndex, path: str, partitions: int | None = None, buckets: int = TERM_BUCKETS) -> int:
     """Persist postings partitioned by term bucket and sorted by term inside
     each file (row-group statistics prune too), the doc keys, and what a
-    reader must know of the layout: bucket count, model and tokeniser.
+    reader must know of the layout: bucket count, model, tokeniser and lemma
+    table.  Returns the number of postings.
 
-    The write is range partitioned on (bucket, term, document) over
-    ``partitions`` tasks (default: the shuffle partition count): every task
-    writes a contiguous slice, a bucket folder gets few files, and a term that
-    most documents hold is cut over several tasks and files."""
+    Postings are written by the task that holds their documents, without an
+    exchange (``partitions`` deals them by position first): a term that most
+    documents hold lies in the files of all tasks."""
     spark = index.postings.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = ["term_bucket", "term", "doc_id"]
+    order = ["term_bucket", "term", "text_idx"]
     post = index.postings.withColumn("term_bucket", term_bucket("term", buckets))
-    (post.repartitionByRange(n, *order).sortWithinPartitions(*order)
-     .write.mode("overwrite").partitionBy("term_bucket").parquet(f"{path}/postings"))
+    post = post.repartition(partitions, "text_idx", "doc_id") if partitions else post
+    post.sortWithinPartitions(*order).write.mode("overwrite").partitionBy("term_bucket").parquet(f"{path}/postings")
     index.doc_keys.write.mode("overwrite").parquet(f"{path}/doc_keys")
-    (spark.createDataFrame([(index.model, index.tokenizer, buckets)], "model string, tokenizer string, buckets int")
+    if index.lemmas is not None:
+        index.lemmas.write.mode("overwrite").parquet(f"{path}/lemmas")
+    (spark.createDataFrame([(index.model, index.tokenizer, buckets, index.lemma_name)],
+                           "model string, tokenizer string, buckets int, lemma_name string")
      .write.mode("overwrite").parquet(f"{path}/layout"))
+    return spark.read.parquet(f"{path}/postings").count()  # from the files' footers
 
 
 def load_lexical(spark, path: str, model: str | None = None) -> LexicalIndex:
     layout = spark.read.parquet(f"{path}/layout").first()
     if model is not None and model != layout["model"]:
         raise ValueError(f"{path} holds {layout['model']!r}, not {model!r}")
-    return LexicalIndex(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/doc_keys"),
-                        layout["model"], layout["tokenizer"], layout["buckets"])
+    read = spark.read.parquet
+    lemmas = read(f"{path}/lemmas") if layout["lemma_name"] else None
+    return LexicalIndex(read(f"{path}/postings"), read(f"{path}/doc_keys"), layout["model"], layout["tokenizer"],
+                        layout["buckets"], lemmas=lemmas, lemma_name=layout["lemma_name"])

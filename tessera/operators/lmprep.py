@@ -12,19 +12,24 @@ window over a whole lane.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tessera.functions.text import BOS, EOS, UNK, VOCAB_SENTINEL, ws_tokens
-from tessera.operators.joins import MAX_BROADCAST_BYTES, dense_index, measured_size, prefix_sum
+from tessera.functions.text import (BOS, BOS_CHAR, BOW_CHAR, EOS, EOS_CHAR, EOW_CHAR, MAX_WORD_LENGTH, PAD_CHAR, UNK,
+                                    VOCAB_SENTINEL, mask, pad_ids, seq_length, strip, ws_tokens)
+from tessera.operators.joins import MAX_BROADCAST_BYTES, dense_index, measured_size, prefix_sum, skew_safe_lookup
 from tessera.session import materialize
 
 SPECIALS = [BOS, EOS, UNK]
+# Words whose character ids a task holds at a time.
+WORDS_AT_ONCE = 50_000
 
 
 def sentences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -36,38 +41,55 @@ def sentences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return dense_index(lines, ["doc_id", "line_no"], "sent_id").withColumn("tokens", ws_tokens("line"))
 
 
-def build_vocab(sents: DataFrame, size: int) -> DataFrame:
+def build_vocab(sents: DataFrame, size: int | None) -> DataFrame:
     """Three special tokens (ids 0-2), then the ``size`` most frequent
-    tokens; ties in order of first occurrence.  Result is bounded by size+3."""
+    tokens; ties in order of first occurrence.  ``None`` takes every token."""
     ex = sents.select("sent_id", F.posexplode("tokens").alias("pos", "token"))
     # per sentence first: a hash aggregate, so the struct minimum below sees
     # each token once per sentence, however long the sentence is
     per_sent = ex.groupBy("token", "sent_id").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("pos"))
     counts = per_sent.groupBy("token").agg(F.sum("n").alias("cnt"), F.min(F.struct("sent_id", "pos")).alias("first"))
-    top = counts.orderBy(F.col("cnt").desc(), F.col("first")).limit(size)
-    w = Window.orderBy(F.col("cnt").desc(), F.col("first"))  # over at most `size` rows
-    ranked = top.select("token", (F.row_number().over(w) + len(SPECIALS) - 1).cast("int").alias("id"))
+    if size is None:
+        every = dense_index(counts.withColumn("rarity", -F.col("cnt")), ["rarity", "first"], "place")
+        ranked = every.select("token", (F.col("place") + len(SPECIALS)).cast("int").alias("id"))
+    else:
+        top = counts.orderBy(F.col("cnt").desc(), F.col("first")).limit(size)
+        w = Window.orderBy(F.col("cnt").desc(), F.col("first"))  # over at most `size` rows
+        ranked = top.select("token", (F.row_number().over(w) + len(SPECIALS) - 1).cast("int").alias("id"))
     spark = sents.sparkSession
     specials = spark.createDataFrame([(t, i) for i, t in enumerate(SPECIALS)], "token string, id int")
     return specials.unionByName(ranked)
 
 
-def special_ids(vocab: DataFrame) -> dict[str, Column]:
-    """Ids of <S>, </S>, <UNK> as scalar subqueries."""
-    return {t: vocab.filter(F.col("token") == t).select(F.min("id")).scalar() for t in SPECIALS}
-
-
 def check_vocab(vocab: DataFrame) -> DataFrame:
     """A7 validation: one row with the number of special tokens found (3 = ok)."""
     return vocab.agg(F.count_distinct(F.when(F.col("token").isin(SPECIALS), F.col("token"))).alias("n_special"))
 
 
-def _bounded(vocab: DataFrame) -> tuple[DataFrame, list | None]:
-    """The vocabulary, computed once, and its (token, id) rows if their measured
-    size is within the broadcast bound."""
-    vocab = materialize(vocab.select("token", "id"), "vocab")
-    small = measured_size(vocab)[1] <= MAX_BROADCAST_BYTES
-    return vocab, sorted((r["id"], r["token"]) for r in vocab.collect()) if small else None
+@dataclass
+class Lexicon:
+    """A vocabulary that was computed once, for any number of lookups."""
+
+    ids: DataFrame  # (token, id): one row per token, the lowest id that lists it
+    tokens: DataFrame  # (id, token): every listed id
+    special: dict[str, int]
+    rows: list[tuple[int, str]] | None  # by id, if within the broadcast bound
+
+
+def lexicon(vocab: "DataFrame | Lexicon", max_bytes: int | None = None) -> Lexicon:
+    """Writes the vocabulary once and checks that it lists the special
+    tokens.  A token listed twice is encoded as its lowest id, and an id listed
+    twice decodes to its first token, whatever the size."""
+    if isinstance(vocab, Lexicon):
+        return vocab
+    listed = materialize(vocab.select("token", F.col("id").cast("int").alias("id")), "vocab")
+    ids = listed.groupBy("token").agg(F.min("id").alias("id"))
+    tokens = listed.groupBy("id").agg(F.min("token").alias("token"))
+    special = {r["token"]: r["id"] for r in ids.filter(F.col("token").isin(SPECIALS)).collect()}  # three rows
+    if missing := [t for t in SPECIALS if t not in special]:
+        raise ValueError(f"the vocabulary lacks the special tokens {missing}")
+    small = measured_size(listed)[1] <= (MAX_BROADCAST_BYTES if max_bytes is None else max_bytes)
+    return Lexicon(ids, tokens, special, sorted((r["id"], r["token"]) for r in listed.collect()) if small else None)
 
 
 def _list_ends(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -77,20 +99,30 @@ def _list_ends(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return ends - lengths, ends
 
 
-def encode(sents: DataFrame, vocab: DataFrame, reverse: bool = False) -> DataFrame:
+def framed(tokens: Column, reverse: bool = False) -> Column:
+    """The tokens of a sentence between its marks; ``reverse`` turns all around."""
+    first, last = (EOS, BOS) if reverse else (BOS, EOS)
+    tokens = F.coalesce(tokens, F.array().cast("array<string>"))
+    return F.concat(F.array(F.lit(first)), F.reverse(tokens) if reverse else tokens, F.array(F.lit(last)))
+
+
+def encode(sents: DataFrame, vocab: "DataFrame | Lexicon", reverse: bool = False, keep_tokens: bool = False) -> DataFrame:
     """(sent_id, ids) with BOS/EOS framing; unknown -> <UNK>; with
-    ``reverse`` the tokens are reversed and BOS/EOS swap (C8).
+    ``reverse`` the tokens are reversed and BOS/EOS swap (C8).  ``keep_tokens``
+    adds the framed tokens, for character ids.
 
     A vocabulary within the broadcast bound is looked up row-locally, batch by
     batch and without a shuffle; a larger one is joined token by token."""
-    vocab, rows = _bounded(vocab)
-    if rows is None:
-        return _encode_by_join(sents, vocab, reverse)
+    lex = lexicon(vocab)
+    if lex.rows is None:
+        out = _encode_by_join(sents, lex, reverse)
+        return out.join(sents.select("sent_id", framed(F.col("tokens"), reverse).alias("tokens")), "sent_id") if keep_tokens else out
     ids: dict[str, int] = {}
-    for i, token in rows:
+    for i, token in lex.rows:
         ids.setdefault(token, i)  # the lowest id of a token
     sent = sents.sparkSession.sparkContext.broadcast((list(ids), list(ids.values())))
     unk, first, last = ids[UNK], *((ids[EOS], ids[BOS]) if reverse else (ids[BOS], ids[EOS]))
+    names = ["sent_id", "ids", *(["tokens"] if keep_tokens else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, numbers = pa.array(sent.value[0], pa.string()), np.array(sent.value[1], np.int32)
@@ -106,39 +138,47 @@ def encode(sents: DataFrame, vocab: DataFrame, reverse: bool = False) -> DataFra
             out[offsets[:-1]], out[offsets[1:] - 1] = first, last
             out[offsets[row] + 1 + ((ends - starts)[row] - 1 - place if reverse else place)] = known
             yield pa.RecordBatch.from_arrays(
-                [batch.column("sent_id"), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(out))],
-                names=["sent_id", "ids"])
+                [batch.column("sent_id"), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(out)), column][:len(names)],
+                names=names)
 
-    return sents.select(F.col("sent_id").cast("long"), "tokens").mapInArrow(run, "sent_id long, ids array<int>")
+    schema = "sent_id long, ids array<int>" + (", tokens array<string>" if keep_tokens else "")
+    coded = sents.select(F.col("sent_id").cast("long"), "tokens").mapInArrow(run, schema)
+    return coded.withColumn("tokens", framed(F.col("tokens"), reverse)) if keep_tokens else coded
 
 
-def _encode_by_join(sents: DataFrame, vocab: DataFrame, reverse: bool) -> DataFrame:
-    sp = special_ids(vocab)
+def _encode_by_join(sents: DataFrame, lex: Lexicon, reverse: bool) -> DataFrame:
+    """The tokens that most sentences hold are broadcast (`skew_safe_lookup`)."""
     toks = F.reverse("tokens") if reverse else F.col("tokens")
-    # posexplode_outer keeps sentences without tokens (one row, pos NULL),
-    # so no join back to the sentence table is needed
-    ex = sents.select("sent_id", F.posexplode_outer(toks).alias("pos", "token"))
-    j = ex.join(vocab, "token", "left")
-    item = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce(F.col("id"), sp[UNK]).alias("id")))
-    grouped = j.groupBy("sent_id").agg(F.sort_array(F.collect_list(item)).alias("_p"))
-    ids = F.transform("_p", lambda s: s["id"])
-    first, last = (sp[EOS], sp[BOS]) if reverse else (sp[BOS], sp[EOS])
-    return grouped.select("sent_id", F.concat(F.array(first), ids, F.array(last)).alias("ids"))
-
-
-def decode(encoded: DataFrame, vocab: DataFrame) -> DataFrame:
+    ex = sents.select(F.col("sent_id").cast("long"), F.posexplode(toks).alias("pos", "token")).withColumn(
+        "token", F.coalesce("token", F.lit("")))
+    used = ex.groupBy("token").agg(F.count(F.lit(1)).alias("n")).join(lex.ids, "token", "left").select(
+        "token", F.coalesce("id", F.lit(lex.special[UNK])).alias("id"), "n")
+    j = skew_safe_lookup(ex, materialize(used, "used-tokens"), "token", "n")
+    grouped = j.groupBy("sent_id").agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("_p"))
+    ids = F.coalesce(F.transform("_p", lambda s: s["id"]), F.array().cast("array<int>"))
+    first, last = (lex.special[t] for t in ((EOS, BOS) if reverse else (BOS, EOS)))
+    return sents.select(F.col("sent_id").cast("long")).join(grouped, "sent_id", "left").select(
+        "sent_id", F.concat(F.array(F.lit(first)), ids, F.array(F.lit(last))).alias("ids"))
+
+
+def decode(encoded: DataFrame, vocab: "DataFrame | Lexicon") -> DataFrame:
     """C11: ids back to a space-joined sentence; row-local within the broadcast
-    bound, as ``encode``."""
-    vocab, rows = _bounded(vocab)
-    if rows is None:
+    bound, as ``encode``.  Ids that the vocabulary does not list are left out."""
+    lex = lexicon(vocab)
+    if lex.rows is None:
         ex = encoded.select("sent_id", F.posexplode("ids").alias("pos", "id"))
-        g = ex.join(vocab, "id", "left").groupBy("sent_id").agg(
-            F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("_p"))
-        return g.select("sent_id", F.array_join(F.transform("_p", lambda s: s["token"]), " ").alias("text"))
-    sent = encoded.sparkSession.sparkContext.broadcast(rows)
+        used = ex.groupBy("id").agg(F.count(F.lit(1)).alias("n")).join(lex.tokens, "id")
+        j = skew_safe_lookup(ex, materialize(used, "used-ids"), "id", "n")
+        g = j.groupBy("sent_id").agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("_p"))
+        return encoded.select("sent_id").join(g, "sent_id", "left").select("sent_id", F.coalesce(
+            F.array_join(F.transform("_p", lambda s: s["token"]), " "), F.lit("")).alias("text"))
+    listed: dict[int, str] = {}
+    for i, token in lex.rows:
+        listed.setdefault(i, token)
+    sent = encoded.sparkSession.sparkContext.broadcast((list(listed), list(listed.values())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, tokens = pa.array([i for i, _ in sent.value], pa.int32()), pa.array([t for _, t in sent.value], pa.string())
+        numbers, tokens = pa.array(sent.value[0], pa.int32()), pa.array(sent.value[1], pa.string())
         for batch in batches:
             column = batch.column("ids")
             words = tokens.take(pc.index_in(pc.cast(column.flatten(), pa.int32()), value_set=numbers)).to_pylist()
@@ -148,23 +188,116 @@ def decode(encoded: DataFrame, vocab: DataFrame) -> DataFrame:
     return encoded.select(F.col("sent_id").cast("long"), "ids").mapInArrow(run, "sent_id long, text string")
 
 
-def next_token_pairs(encoded: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+# ---------------------------------------------------------------- characters
+def char_matrix(words: pa.Array, width: int) -> np.ndarray:
+    """A row of ``width`` character ids per word, all words at once."""
+    raw = words.cast(pa.binary())
+    n = len(raw)
+    ends = np.cumsum(pc.fill_null(pc.binary_length(raw), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    starts = np.concatenate([[0], ends[:-1]]) if n else ends
+    data = np.frombuffer(b"".join(raw.drop_null().to_pylist()), np.uint8)
+    lengths = np.minimum(ends - starts, width - 2)
+    out = np.full((n, width), PAD_CHAR, np.int32)
+    out[:, 0] = BOW_CHAR
+    inside = np.arange(width - 2) < lengths[:, None]
+    out[:, 1:-1][inside] = data[(starts[:, None] + np.arange(width - 2))[inside]]
+    out[np.arange(n), lengths + 1] = EOW_CHAR
+    for mark, char in ((BOS, BOS_CHAR), (EOS, EOS_CHAR)):
+        at = np.flatnonzero(pc.fill_null(pc.equal(words, mark), False).to_numpy(zero_copy_only=False))
+        out[at] = PAD_CHAR
+        out[at, :3] = (BOW_CHAR, char, EOW_CHAR)
+    return out
+
+
+def _lists(values: np.ndarray, width: int) -> pa.ListArray:
+    """Rows of ``width`` numbers as Arrow lists."""
+    flat = values.reshape(-1)
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, width), pa.int32()), pa.array(flat, pa.int32()))
+
+
+def add_char_ids(df: DataFrame, words: str, name: str, width: int = MAX_WORD_LENGTH) -> DataFrame:
+    """``df`` with the character ids of the column ``words``, a word or a list of
+    words per row; made row-locally in Arrow, of at most about WORDS_AT_ONCE words
+    (and one row) at a time."""
+    nested = isinstance(df.schema[words].dataType, T.ArrayType)
+    kind = T.ArrayType(T.IntegerType())
+    schema = T.StructType([*df.schema.fields, T.StructField(name, T.ArrayType(kind) if nested else kind)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(batch.schema.get_field_index(words))
+            ends = _list_ends(column)[1] if nested else np.arange(1, len(column) + 1)
+            at = 0
+            while at < len(column):
+                done = ends[at - 1] if at else 0
+                to = max(at + 1, int(np.searchsorted(ends, done + WORDS_AT_ONCE, "right")))
+                part = batch.slice(at, to - at)
+                own = part.column(part.schema.get_field_index(words))
+                made = _lists(char_matrix(own.flatten() if nested else own, width), width)
+                if nested:
+                    starts, stops = _list_ends(own)
+                    made = pa.ListArray.from_arrays(pa.array(np.append(starts, stops[-1]), pa.int32()), made)
+                yield pa.RecordBatch.from_arrays([*part.columns, made], names=[*part.schema.names, name])
+                at = to
+
+    return df.mapInArrow(run, schema)
+
+
+def encode_chars(sents: DataFrame, reverse: bool = False, width: int = MAX_WORD_LENGTH) -> DataFrame:
+    """(sent_id, tokens, chars): the framed tokens of a sentence and their
+    character ids, one list of ``width`` numbers per token."""
+    marked = sents.select(F.col("sent_id").cast("long"), framed(F.col("tokens"), reverse).alias("tokens"))
+    return add_char_ids(marked, "tokens", "chars", width)
+
+
+def pad_char_batch(sents: DataFrame, batch_col: Column, width: int = MAX_WORD_LENGTH) -> DataFrame:
+    """(batch_no, sent_id, padded, mask, length) with character ids
+    shifted by +1 and rows of zeros up to the longest sentence of the batch; the
+    mask is true where any character is set.  A batch's length follows from the
+    token counts, so characters are made once."""
+    b = sents.withColumn("batch_no", batch_col).select(
+        F.col("sent_id").cast("long"), "batch_no", framed(F.col("tokens")).alias("tokens"))
+    b = materialize(b, "char-batches")
+    longest = b.groupBy("batch_no").agg(F.max(F.size("tokens")).alias("max_len"))
+    chars = add_char_ids(b.join(longest, "batch_no"), "tokens", "chars", width)
+    shifted = F.transform("chars", lambda w: F.transform(w, lambda c: c + 1))
+    empty = F.array_repeat(F.array_repeat(F.lit(0), width), F.col("max_len") - F.size("chars"))
+    padded = chars.select("batch_no", "sent_id", F.concat(shifted, empty).alias("padded"))
+    return padded.select("batch_no", "sent_id", "padded", char_mask(F.col("padded")).alias("mask"),
+                         F.size(F.filter("padded", lambda w: F.exists(w, lambda c: c > 0))).alias("length"))
+
+
+def char_mask(padded: Column) -> Column:
+    """C14: true at the positions where any character id is set."""
+    return F.transform(padded, lambda w: F.exists(w, lambda c: c > 0))
+
+
+# ---------------------------------------------------------------- batches
+def next_token_pairs(encoded: DataFrame, keep: tuple[str, ...] = (), with_token: bool = False) -> DataFrame:
     """(sent_id, pos, token_id, next_token_id) within each sentence,
-    row-local from the id array (no window over the sentence)."""
+    row-local from the id array (no window over the sentence); ``with_token`` adds
+    the token itself, from the framed tokens of ``encode``."""
     n = F.size("ids") - 1
-    z = F.arrays_zip(F.slice("ids", 1, n).alias("token_id"), F.slice("ids", 2, n).alias("next_token_id"))
+    parts = {"token_id": F.slice("ids", 1, n), "next_token_id": F.slice("ids", 2, n)}
+    if with_token:
+        parts["token"] = F.slice("tokens", 1, n)
+    z = F.arrays_zip(*[c.alias(name) for name, c in parts.items()])
     return encoded.select("sent_id", *keep, F.posexplode(z).alias("pos", "p")).select(
-        "sent_id", *keep, "pos", F.col("p.token_id").alias("token_id"),
-        F.col("p.next_token_id").alias("next_token_id"))
+        "sent_id", *keep, "pos", *[F.col(f"p.{name}").alias(name) for name in parts])
 
 
-def lm_batches(encoded: DataFrame, batch_size: int, num_steps: int) -> DataFrame:
+def lm_batches(encoded: DataFrame, batch_size: int, num_steps: int, char_width: int | None = None) -> DataFrame:
     """Pack next-token pairs into ``batch_size`` lanes of ``num_steps``.
 
     A sentence goes to lane ``sent_id % batch_size`` and its pairs follow
     the previous sentence of that lane without gaps; the incomplete last
-    batch is dropped.  For ``batch_size=1`` this is the sequential definition."""
-    encoded = materialize(encoded.select("sent_id", "ids"), "lm-encoded")
+    batch is dropped.  For ``batch_size=1`` this is the sequential definition.
+
+    With ``char_width`` every step also has the character ids of its token
+    (``tokens_characters``); ``encoded`` then holds the framed tokens.  The
+    tokens travel to the batches, and their characters are made there."""
+    chars = char_width is not None
+    encoded = materialize(encoded.select("sent_id", "ids", *(["tokens"] if chars else [])), "lm-encoded")
     sizes = encoded.select("sent_id", (F.col("sent_id") % batch_size).cast("int").alias("lane"),
                            (F.size("ids") - 1).cast("long").alias("n_pairs"))
     starts = prefix_sum(sizes, ["sent_id"], "n_pairs", ["lane"], "start")
@@ -173,27 +306,28 @@ def lm_batches(encoded: DataFrame, batch_size: int, num_steps: int) -> DataFrame
     lanes_used = totals.select(F.count(F.lit(1))).scalar()
     # join per sentence, then explode the pairs (fewer rows through the join)
     with_start = encoded.join(starts.select("sent_id", "lane", "start"), "sent_id")
-    pairs = next_token_pairs(with_start, ("lane", "start"))
+    pairs = next_token_pairs(with_start, ("lane", "start"), chars)
     lane_pos = F.col("start") + F.col("pos")
     out = pairs.select((lane_pos / num_steps).cast("long").alias("batch_no"), "lane",
-                       (lane_pos % num_steps).cast("int").alias("step"), "token_id", "next_token_id")
+                       (lane_pos % num_steps).cast("int").alias("step"), "token_id", "next_token_id",
+                       *(["token"] if chars else []))
     # with fewer sentences than lanes no batch is complete
-    return out.filter((F.col("batch_no") < n_full) & (lanes_used == F.lit(batch_size)))
+    full = out.filter((F.col("batch_no") < n_full) & (lanes_used == F.lit(batch_size)))
+    return add_char_ids(full, "token", "tokens_characters", char_width).drop("token") if chars else full
 
 
 def lm_bidirectional(fwd: DataFrame, bwd: DataFrame) -> DataFrame:
-    """Forward and reverse batches side by side."""
-    b = bwd.select("batch_no", "lane", "step", F.col("token_id").alias("token_id_reverse"),
-                   F.col("next_token_id").alias("next_token_id_reverse"))
-    return fwd.join(b, ["batch_no", "lane", "step"])
+    """Forward and reverse batches side by side, with the character ids
+    of both if they have them."""
+    keys = ["batch_no", "lane", "step"]
+    b = bwd.select(*keys, *[F.col(c).alias(f"{c}_reverse") for c in bwd.columns if c not in keys])
+    return fwd.join(b, keys)
 
 
 def pad_batches(encoded: DataFrame, batch_col: Column) -> DataFrame:
     """Ids shifted by +1 and padded with 0 to the batch maximum;
     mask and real length."""
-    from tessera.functions.text import mask, pad_ids, seq_length
-
-    b = encoded.withColumn("batch_no", batch_col)
+    b = materialize(encoded.withColumn("batch_no", batch_col), "id-batches")  # read for the maximum and the rows
     m = b.groupBy("batch_no").agg(F.max(F.size("ids")).alias("max_len"))
     j = b.join(m, "batch_no")
     padded = pad_ids("ids", "max_len")
@@ -217,7 +351,13 @@ def shuffle_sentences(sents: DataFrame, seed: int = 7) -> DataFrame:
 
 def read_vocab_file(spark, path: str) -> DataFrame:
     """One token per line, line order = id, stripped, the sentinel
-    line skipped without taking an id.  The line order of a text file is
-    only available through the RDD's partition order (zipWithIndex)."""
-    lines = spark.sparkContext.textFile(path).map(lambda s: s.strip()).filter(lambda s: s != VOCAB_SENTINEL)
-    return lines.zipWithIndex().toDF(["token", "id"]).select("token", F.col("id").cast("int"))
+    line skipped without taking an id.
+
+    Lines are in order of file, start of the split and place in the split: a
+    split is read by one task in order, so the row ids that rise inside a task
+    order its lines, however many splits a file has."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("row"), strip("value").alias("token"))
+    kept = lines.filter(F.col("token") != VOCAB_SENTINEL)
+    return dense_index(kept, ["file", "split", "row"], "id").select("token", F.col("id").cast("int").alias("id"))

@@ -1,9 +1,8 @@
 """Token tables and term statistics.
 
 Long tables only: ``tokens(doc_id, tokens ARRAY<STRING>)`` keeps one row per
-document (tokenising is row-local, no shuffle); ``term_counts(doc_id, term,
-cnt, dl)`` is the word-count aggregation with map-side partial aggregation, so
-a term repeated inside a document collapses before the shuffle.
+document (tokenising and counting are row-local, no shuffle); ``term_counts
+(doc_id, term, dl, cnt)`` feeds statistics with map-side partial aggregation.
 """
 
 from __future__ import annotations
@@ -11,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.text import has_word_char, word_tokens
+from tessera.functions.text import counted, has_word_char, word_tokens
+from tessera.operators.joins import skew_safe_lookup
+from tessera.session import materialize
 
 
 def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -32,23 +33,29 @@ def lemma_table_from_vocab(vocab: DataFrame, term_col: str = "term") -> DataFram
     return vocab.select(t.alias("form"), lemma.alias("lemma"))
 
 
+def lemma_lookup(forms: DataFrame, lemmas: DataFrame) -> DataFrame:
+    """``forms`` with a column ``lemma`` for their ``form``: of a form that the
+    lemma table lists twice the smallest, of one that it lacks the lower case.
+    Frequent forms are joined by broadcast, rare ones beyond its bound by a
+    shuffle (`skew_safe_lookup`); ``forms`` is read twice."""
+    listed = lemmas.groupBy("form").agg(F.min("lemma").alias("lemma"))
+    used = forms.groupBy("form").agg(F.count(F.lit(1)).alias("n")).join(listed, "form", "left").select(
+        "form", "n", F.coalesce("lemma", F.lower("form")).alias("lemma"))
+    return skew_safe_lookup(forms, materialize(used, "lemmas"), "form", "n")
+
+
 def lemma_tokens(tok: DataFrame, lemmas: DataFrame) -> DataFrame:
     """C1 as a long table (doc_id, pos, lemma): look every token up in the
     lemma table (missing -> the lower-cased form) and keep tokens with a word
-    character.  The lemma table is a lexicon; it is broadcast after a size
-    check, otherwise joined by sort-merge with AQE skew splitting."""
-    from tessera.operators.joins import broadcast_checked
-
+    character."""
     exploded = tok.select("doc_id", F.posexplode("tokens").alias("pos", "form"))
-    joined = exploded.join(broadcast_checked(lemmas), "form", "left")
-    lemma = F.coalesce(F.col("lemma"), F.lower(F.col("form")))
-    return joined.select("doc_id", "pos", lemma.alias("lemma")).filter(has_word_char(F.col("lemma")))
+    return lemma_lookup(exploded, lemmas).select("doc_id", "pos", "lemma").filter(has_word_char(F.col("lemma")))
 
 
 def term_counts(tok: DataFrame) -> DataFrame:
-    """(doc_id, term, cnt, dl); dl = document length in tokens."""
-    exploded = tok.select("doc_id", F.size("tokens").alias("dl"), F.explode("tokens").alias("term"))
-    return exploded.groupBy("doc_id", "term", "dl").agg(F.count(F.lit(1)).alias("cnt"))
+    """(doc_id, term, dl, cnt); dl = document length in tokens.  A document
+    is one row, so its terms are counted where it lies, without a shuffle."""
+    return tok.select("doc_id", F.size("tokens").alias("dl"), F.inline(counted("tokens"))).select("doc_id", "term", "dl", "cnt")
 
 
 def doc_lengths(tok: DataFrame) -> DataFrame:

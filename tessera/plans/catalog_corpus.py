@@ -7,9 +7,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions.text import word_tokens
-from tessera.operators import corpus
+from tessera.operators import corpus, stats
 from tessera.plans.registry import register
-from tessera.plans.sqlparts import WORD
+from tessera.plans.sqlparts import LEMMAS, WORD
+from tessera.session import materialize
 from tessera.sources.tables import table
 
 # The two and six words asked about (stand-ins for the
@@ -44,6 +45,18 @@ def q_level_counts(spark, sf):
     return corpus.level_counts(_gc(spark, sf))
 
 
+@register("level_counts_lemma", rf"""WITH {LEMMAS},
+gc AS (SELECT lang AS season, source AS episode, lemma AS term, count(*)::BIGINT AS cnt FROM
+   (SELECT lang, source, unnest(regexp_extract_all(lower(text), '{WORD}')) AS form FROM documents) JOIN lemmas USING (form) GROUP BY ALL)
+SELECT 'general' AS level, NULL::VARCHAR AS season, NULL::VARCHAR AS episode, term, sum(cnt)::BIGINT AS cnt FROM gc GROUP BY term
+UNION ALL SELECT 'seasons', season, NULL, term, sum(cnt)::BIGINT FROM gc GROUP BY season, term
+UNION ALL SELECT 'series', season, episode, term, cnt FROM gc""")
+def q_level_counts_lemma(spark, sf):
+    """E6 over lemmas (C1/L3): forms are counted per group, then looked up."""
+    gc = materialize(_gc(spark, sf), "group-counts")
+    return corpus.level_counts(corpus.lemma_counts(gc, stats.lemma_table_from_vocab(gc.select("term").distinct())))
+
+
 @register("word_lookup_general", f"""WITH {GC}
 SELECT wl.pos::INT AS pos, wl.word, coalesce(g.cnt, 0)::BIGINT AS cnt FROM {_words_sql(SIX_WORDS)} LEFT JOIN gen g ON g.term = wl.word""")
 def q_word_lookup_general(spark, sf):

@@ -162,8 +162,7 @@ CTX = f"""{MIX}, ctx AS (SELECT sent_id, dim, avg(val) AS val FROM mix GROUP BY
 
 
 def contextual_vectors(spark, sf):
-    d = _dim(spark, sf)
-    return dense.mean_pool(dense.layer_mix(token_vectors(spark, sf), weights_table(spark), dim=d), dim=d)
+    return dense.mixed_pool(token_vectors(spark, sf), weights_table(spark))
 
 
 @register("contextual_index", f"WITH {CTX} SELECT sent_id, dim::INT AS dim, round(val, 6) AS val FROM ctx")

@@ -9,7 +9,8 @@ from tessera.functions import text as tx
 from tessera.operators import lexical, stats
 from tessera.operators.joins import broadcast_checked
 from tessera.plans.registry import register, rounded
-from tessera.plans.sqlparts import CNT, KEYS, TFIDF_CTES, TOK, WORD, bm25_ctes, search_sql
+from tessera.plans.sqlparts import CNT, KEYS, LEMMA_TOK, TFIDF_CTES, TOK, WORD, bm25_ctes, search_sql
+from tessera.session import materialize
 from tessera.sources.tables import benchmark_queries, documents, table, turn_id
 
 
@@ -192,10 +193,33 @@ def q_distinct_results(spark, sf):
     return rounded(lexical.dedupe_by_text(scored, idx.doc_keys))
 
 
-@register("score_format")
+@register("score_format", f"""WITH {bm25_ctes()}, {KEYS}, {search_sql(_BENCH_Q)}
+SELECT query_id, rank, doc_id, printf('%.2f', score) AS score FROM ranked WHERE rank <= 10""")
 def q_score_format(spark, sf):
     """C17: two-decimal display strings of the BM25 results (display only)."""
     idx = lexical.build_lexical(documents(spark, sf), "bm25")
     res = lexical.search(idx, benchmark_queries(spark, sf), k=10)
     return res.select("query_id", F.col("rank").cast("long").alias("rank"), "doc_id",
                       tx.score_format("score").alias("score"))
+
+
+def lemma_collection(spark, sf) -> lexical.Collection:
+    """The documents as lemmas of a table derived from their vocabulary."""
+    docs = documents(spark, sf)
+    vocab = stats.tokenize(docs).select(F.explode("tokens").alias("term")).distinct()
+    return lexical.Collection(docs, lemmas=materialize(stats.lemma_table_from_vocab(vocab), "lemma-table"),
+                              lemma_name="final ing or s")
+
+
+@register("term_counts_lemma", f"WITH {LEMMA_TOK}, {CNT} SELECT doc_id, term, cnt::BIGINT AS cnt FROM cnt")
+def q_term_counts_lemma(spark, sf):
+    """Term counts of a collection of lemmas."""
+    return lemma_collection(spark, sf).counts.select("doc_id", "term", "cnt")
+
+
+@register("bm25_search_lemma", f"""WITH {bm25_ctes(tok=LEMMA_TOK)}, {KEYS}, {search_sql(_BENCH_Q, lemmas=True)}
+SELECT query_id, rank, doc_id, round(score, 6) AS score FROM ranked WHERE rank <= 10""")
+def q_bm25_search_lemma(spark, sf):
+    """F5/F6 over lemmas; the queries' words are looked up in the same table."""
+    idx = lexical.build_lexical(lemma_collection(spark, sf), "bm25")
+    return _search_out(lexical.search(idx, benchmark_queries(spark, sf), k=10))

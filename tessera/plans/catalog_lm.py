@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tessera.functions import text as tx
 from tessera.operators import dense, lmprep
 from tessera.plans.registry import register, rounded
-from tessera.session import scratch_path
+from tessera.session import materialize, scratch_path
 from tessera.sources.tables import documents, table
 
 # Parameters of the prepared datasets.
@@ -58,6 +58,15 @@ def _encoded(spark, sf, reverse=False):
     return lmprep.encode(s, lmprep.build_vocab(s, VOCAB_SIZE), reverse)
 
 
+def _both_directions(spark, sf, batch_size, char_width=None):
+    """Forward and reverse batches of sentences and a vocabulary computed once."""
+    s = materialize(_sents(spark, sf), "lm-sentences")
+    v = lmprep.lexicon(lmprep.build_vocab(s, VOCAB_SIZE))
+    keep = char_width is not None
+    return [lmprep.lm_batches(lmprep.encode(s, v, reverse, keep), batch_size, NUM_STEPS, char_width)
+            for reverse in (False, True)]
+
+
 @register("build_vocab", f"WITH {VOCAB} SELECT token, id FROM vocab")
 def q_build_vocab(spark, sf):
     return _vocab(spark, sf)
@@ -113,7 +122,29 @@ SELECT d.sent_id, string_agg(v.token, ' ' ORDER BY d.pos) AS text FROM d JOIN vo
 def q_decode_ids(spark, sf):
     """C11: decode(encode(s)) - out-of-vocabulary words come back as <UNK>."""
     s = _sents(spark, sf)
-    v = lmprep.build_vocab(s, VOCAB_SIZE)
+    v = lmprep.lexicon(lmprep.build_vocab(s, VOCAB_SIZE))
+    return lmprep.decode(lmprep.encode(s, v), v)
+
+
+_FULL_VOCAB = VOCAB.replace(f" LIMIT {VOCAB_SIZE}", "")
+
+
+@register("encode_full_vocab", f"""WITH {_FULL_VOCAB}, enc AS ({_enc_sql(False)})
+SELECT sent_id, array_to_string(ids, ',') AS ids FROM enc""")
+def q_encode_full_vocab(spark, sf):
+    """C10/D2 with every token of the collection, joined as a vocabulary beyond
+    the broadcast bound is."""
+    s = materialize(_sents(spark, sf), "lm-sentences")
+    v = lmprep.lexicon(lmprep.build_vocab(s, None), max_bytes=0)
+    return lmprep.encode(s, v).select("sent_id", _ints(F.col("ids")).alias("ids"))
+
+
+@register("decode_full_vocab", f"""WITH {SENTS}
+SELECT sent_id, array_to_string(list_concat(['<S>'], tokens, ['</S>']), ' ') AS text FROM sents""")
+def q_decode_full_vocab(spark, sf):
+    """C11: with every token listed, decoding gives the sentence back."""
+    s = materialize(_sents(spark, sf), "lm-sentences")
+    v = lmprep.lexicon(lmprep.build_vocab(s, None), max_bytes=0)
     return lmprep.decode(lmprep.encode(s, v), v)
 
 
@@ -132,6 +163,56 @@ def q_char_ids(spark, sf):
     return words.select("word", _ints(tx.char_ids("word")).alias("char_ids"))
 
 
+# Character ids of the word `w`; digests keep the checked rows short.
+CHARS50 = f"list_resize({CHARS}, 50, 260)"
+JOINED = f"list_transform({{}}, lambda w: array_to_string({CHARS50}, ','))"
+
+
+def _digest(chars):
+    """md5 over a list of character id lists."""
+    return F.md5(F.array_join(F.transform(chars, lambda w: _ints(w)), ";"))
+
+
+@register("encode_chars", f"""WITH {SENTS}
+SELECT sent_id, (len(tokens) + 2)::INT AS n_words, md5(array_to_string({JOINED.format("list_concat(['<S>'], tokens, ['</S>'])")}, ';')) AS chars FROM sents""")
+def q_encode_chars(spark, sf):
+    """Character ids of every sentence, framed by its marks."""
+    return lmprep.encode_chars(_sents(spark, sf)).select(
+        "sent_id", F.size("chars").alias("n_words"), _digest(F.col("chars")).alias("chars"))
+
+
+@register("encode_chars_reverse", f"""WITH {SENTS}
+SELECT sent_id, md5(array_to_string({JOINED.format("list_concat(['</S>'], list_reverse(tokens), ['<S>'])")}, ';')) AS chars FROM sents""")
+def q_encode_chars_reverse(spark, sf):
+    """J1 reversed, with characters."""
+    return lmprep.encode_chars(_sents(spark, sf), reverse=True).select("sent_id", _digest(F.col("chars")).alias("chars"))
+
+
+_ZEROS = ",".join(["0"] * 50)
+PADC = f"""{SENTS},
+cb AS (SELECT sent_id, sent_id // {PAD_BATCH} AS batch_no, list_concat(['<S>'], tokens, ['</S>']) AS ft FROM sents),
+cm AS (SELECT batch_no, max(len(ft)) AS max_len FROM cb GROUP BY batch_no),
+cp AS (SELECT cb.batch_no, cb.sent_id, len(ft) AS n, max_len, list_concat(
+   list_transform(ft, lambda w: array_to_string(list_transform({CHARS50}, lambda c: c + 1), ',')),
+   list_transform(range(max_len - len(ft)), lambda x: '{_ZEROS}')) AS padded FROM cb JOIN cm USING (batch_no))"""
+
+
+@register("pad_char_batch", f"""WITH {PADC}
+SELECT batch_no, sent_id, len(padded)::INT AS n_rows, md5(array_to_string(padded, ';')) AS padded FROM cp""")
+def q_pad_char_batch(spark, sf):
+    """C13 on characters: batches of 50 sentences, zero rows up to the longest."""
+    p = lmprep.pad_char_batch(_sents(spark, sf), (F.col("sent_id") / PAD_BATCH).cast("long"))
+    return p.select("batch_no", "sent_id", F.size("padded").alias("n_rows"), _digest(F.col("padded")).alias("padded"))
+
+
+@register("char_mask", f"""WITH {PADC}
+SELECT sent_id, n::INT AS length, repeat('1', n::INT) || repeat('0', (max_len - n)::INT) AS mask FROM cp""")
+def q_char_mask(spark, sf):
+    """C14: the mask is true where any character is set."""
+    p = lmprep.pad_char_batch(_sents(spark, sf), (F.col("sent_id") / PAD_BATCH).cast("long"))
+    return p.select("sent_id", "length", F.array_join(F.transform("mask", lambda b: F.when(b, "1").otherwise("0")), "").alias("mask"))
+
+
 PAD = f"""{ENC},
 b AS (SELECT sent_id, sent_id // {PAD_BATCH} AS batch_no, ids FROM enc),
 m AS (SELECT batch_no, max(len(ids)) AS max_len FROM b GROUP BY batch_no),
@@ -210,11 +291,43 @@ SELECT f.batch_no, f.lane, f.step, f.token_id, f.next_token_id, r.token_id AS to
   r.next_token_id AS next_token_id_reverse FROM bt f JOIN btr r USING (batch_no, lane, step)""")
 def q_lm_bidirectional(spark, sf):
     """Forward and reverse batches (two lanes) side by side."""
+    return lmprep.lm_bidirectional(*_both_directions(spark, sf, 2))
+
+
+def _char_steps_sql(name: str, source: str, tokens: str) -> str:
+    """Character digests by batch, lane and step of the packed pairs."""
+    suffix = "r" if source.endswith("r") else ""
+    return f"""{name} AS (SELECT ((st.start + x.pos) // {NUM_STEPS})::BIGINT AS batch_no, st.lane::INT AS lane,
+   ((st.start + x.pos) % {NUM_STEPS})::INT AS step, md5(array_to_string({CHARS50}, ',')) AS chars
+   FROM (SELECT sent_id, unnest(range(len(ft) - 1)) AS pos, unnest(ft[1:len(ft) - 1]) AS w FROM (SELECT sent_id, {tokens} AS ft FROM sents)) x
+   JOIN st{suffix} st USING (sent_id))"""
+
+
+_FWD = _char_steps_sql("fc", "enc", "list_concat(['<S>'], tokens, ['</S>'])")
+_BWD = _char_steps_sql("rc", "encr", "list_concat(['</S>'], list_reverse(tokens), ['<S>'])")
+
+
+@register("lm_batches_chars", f"""WITH {ENC}, {_batches_sql('enc', 2)}, {_FWD}
+SELECT b.batch_no, b.lane, b.step, b.token_id, b.next_token_id, c.chars AS tokens_characters
+FROM bt b JOIN fc c USING (batch_no, lane, step)""")
+def q_lm_batches_chars(spark, sf):
+    """J3 with character ids: every step has the 50 ids of its token."""
     s = _sents(spark, sf)
-    v = lmprep.build_vocab(s, VOCAB_SIZE)
-    f = lmprep.lm_batches(lmprep.encode(s, v), 2, NUM_STEPS)
-    b = lmprep.lm_batches(lmprep.encode(s, v, reverse=True), 2, NUM_STEPS)
-    return lmprep.lm_bidirectional(f, b)
+    coded = lmprep.encode(s, lmprep.build_vocab(s, VOCAB_SIZE), keep_tokens=True)
+    out = lmprep.lm_batches(coded, 2, NUM_STEPS, tx.MAX_WORD_LENGTH)
+    return out.withColumn("tokens_characters", F.md5(_ints(F.col("tokens_characters"))))
+
+
+@register("lm_bidirectional_chars", f"""WITH {VOCAB}, enc AS ({_enc_sql(False)}), encr AS ({_enc_sql(True)}),
+{_batches_sql('enc', 2)}, {_batches_sql('encr', 2, 'r')}, {_FWD}, {_BWD}
+SELECT f.batch_no, f.lane, f.step, f.token_id, f.next_token_id, fc.chars AS tokens_characters, r.token_id AS token_id_reverse,
+  r.next_token_id AS next_token_id_reverse, rc.chars AS tokens_characters_reverse
+FROM bt f JOIN btr r USING (batch_no, lane, step) JOIN fc USING (batch_no, lane, step) JOIN rc USING (batch_no, lane, step)""")
+def q_lm_bidirectional_chars(spark, sf):
+    """J4 with character ids in both directions."""
+    both = lmprep.lm_bidirectional(*_both_directions(spark, sf, 2, tx.MAX_WORD_LENGTH))
+    chars = ["tokens_characters", "tokens_characters_reverse"]
+    return both.withColumns({c: F.md5(_ints(F.col(c))) for c in chars})
 
 
 @register("token_embed_lookup", f"""WITH {PAD},

@@ -12,10 +12,12 @@ from tessera.functions.vectors import norm
 from tessera.operators import corpus, dense, encoders, lexical, lmprep, stats
 from tessera.operators.joins import dense_index
 from tessera.plans.catalog_corpus import GC
-from tessera.plans.catalog_dense import DV, QV, WV, _cosine_sql, doc_vectors, weights_table, word_vectors
+from tessera.plans.catalog_dense import DV, QV, SW, WV, _cosine_sql, weights_table, word_vectors
+from tessera.plans.catalog_lm import SENTS, VOCAB, VOCAB_SIZE
 from tessera.plans.engine import Engine
 from tessera.plans.registry import register, rounded
-from tessera.plans.sqlparts import KEYS, TFIDF_CTES, TOK, bm25_ctes, search_sql
+from tessera.plans.sqlparts import (DIM, KEYS, TFIDF_CTES, TOK, WORD, bm25_ctes, dense_sql, search_sql, sentence_vectors_sql,
+                                    token_context_sql)
 from tessera.session import scratch_path
 from tessera.sources import readers
 from tessera.sources.store import IndexStore
@@ -81,29 +83,37 @@ def q_vocab_sorted(spark, sf):
     return dense_index(vocab, ["term"], "term_id")
 
 
-def _lexical_builders():
-    return {
-        "bm25": ("postings", lambda d: lexical.build_lexical(d, "bm25").postings.select("term", "doc_id", "weight")),
-        "tfidf": ("postings", lambda d: lexical.build_lexical(d, "tfidf").postings.select("term", "doc_id", "weight")),
-    }
+def _engine(spark, sf, *models) -> Engine:
+    """An engine over the documents, with what the models need."""
+    options = {"word_vectors": word_vectors(spark, sf)} if "FastText" in models else {}
+    return Engine(documents(spark, sf), layer_weights=weights_table(spark), **options)
 
 
 @register("index_roundtrip", f"""WITH {bm25_ctes()} SELECT 'bm25' AS model, doc_id, term, round(weight, 6) AS weight FROM post
 UNION ALL SELECT * FROM (WITH {TFIDF_CTES} SELECT 'tfidf' AS model, doc_id, term, round(weight, 6) AS weight FROM post)""")
 def q_index_roundtrip(spark, sf):
-    """B1/B2/A10: write both lexical indexes into a build, read them back."""
+    """B2/A10: both lexical indexes written as one build, read back."""
     store = IndexStore(spark, scratch_path(spark, "index"))
-    store.build(documents(spark, sf), _lexical_builders(), ["bm25", "tfidf"])
-    back = store.postings("bm25").unionByName(store.postings("tfidf"))
-    return rounded(back.select("model", "doc_id", "term", "weight"))
+    _engine(spark, sf).save(store, ["BM25", "Tf-idf"])
+    back = [store.postings(m).withColumn("model", F.lit(m)).select("model", "doc_id", "term", "weight") for m in ("bm25", "tfidf")]
+    return rounded(back[0].unionByName(back[1]))
 
 
-@register("dense_roundtrip", f"WITH {WV}, {DV} SELECT 'fasttext' AS model, doc_id, dim::INT AS dim, round(val, 6) AS val FROM dv")
+@register("stored_documents", "SELECT doc_id, text FROM documents")
+def q_stored_documents(spark, sf):
+    """B1: the documents of a build, read back."""
+    store = IndexStore(spark, scratch_path(spark, "index"))
+    _engine(spark, sf).save(store, ["BM25"])
+    return store.documents("bm25").select("doc_id", "text")
+
+
+@register("dense_roundtrip", f"""WITH {WV}, {DV}, {KEYS}
+SELECT 'fasttext' AS model, dv.doc_id, dim::INT AS dim, round(val, 6) AS val FROM dv JOIN keys k ON k.doc_id = dv.doc_id AND k.doc_id = k.text_key""")
 def q_dense_roundtrip(spark, sf):
-    """Mean word vectors written per model and read back."""
+    """Mean word vectors of the distinct texts, written and read back."""
     store = IndexStore(spark, scratch_path(spark, "index"))
-    store.build(documents(spark, sf), {"fasttext": ("vectors", lambda d: doc_vectors(spark, sf))}, ["fasttext"])
-    return rounded(dense.long_form(store.vectors("fasttext"), ["model", "doc_id"]))
+    _engine(spark, sf, "FastText").save(store, ["FastText"])
+    return rounded(dense.long_form(store.vectors("fasttext").withColumn("model", F.lit("fasttext")), ["model", "doc_id"]))
 
 
 @register("index_manifest", f"""WITH {bm25_ctes()} SELECT 'bm25' AS model, 'postings' AS kind, count(*)::BIGINT AS n_rows FROM post
@@ -111,9 +121,9 @@ UNION ALL SELECT * FROM (WITH {TFIDF_CTES} SELECT 'tfidf', 'postings', count(*):
 def q_index_manifest(spark, sf):
     """Two builds; the second only adds the model that was missing."""
     store = IndexStore(spark, scratch_path(spark, "index"))
-    b = _lexical_builders()
-    store.build(documents(spark, sf), {"bm25": b["bm25"]}, ["bm25"])
-    store.build(documents(spark, sf), b, ["bm25", "tfidf"])
+    engine = _engine(spark, sf)
+    engine.save(store, ["BM25"])
+    engine.save(store, ["BM25", "Tf-idf"])
     return store.manifest().select("model", "kind", "n_rows")
 
 
@@ -121,18 +131,50 @@ def q_index_manifest(spark, sf):
 def q_models_to_build(spark, sf):
     """After a BM25 build, which of three wanted models are missing."""
     store = IndexStore(spark, scratch_path(spark, "index"))
-    store.build(documents(spark, sf), _lexical_builders(), ["bm25"])
+    _engine(spark, sf).save(store, ["BM25"])
     return store.models_to_build(["tfidf", "bm25", "fasttext"])
 
 
-@register("sentence_index")
+@register("src_dispatch", f"""SELECT 'csv' AS kind, text FROM documents UNION ALL SELECT 'parquet', text FROM documents
+UNION ALL SELECT 'text', text FROM ({LINES_SQL})""")
+def q_src_dispatch(spark, sf):
+    """A3: the reader is chosen by the path's ending."""
+    docs, path = table(spark, sf, "documents").select("doc_id", "lang", "text"), scratch_path(spark, "docs")
+    docs.write.option("header", True).option("escape", '"').csv(f"{path}.csv")
+    docs.write.parquet(f"{path}.parquet")
+    docs.select("text").write.text(f"{path}.txt")
+    back = [readers.read_docs(spark, f"{path}.{end}").select(F.lit(kind).alias("kind"), "text")
+            for kind, end in (("csv", "csv"), ("parquet", "parquet"), ("text", "txt"))]
+    return back[0].unionByName(back[1]).unionByName(back[2])
+
+
+@register("src_sentences", f"SELECT trim(text, ' ' || chr(9) || chr(13)) AS text FROM ({LINES_SQL})")
+def q_src_sentences(spark, sf):
+    """A5: one sentence per line, stripped."""
+    path = scratch_path(spark, "sentences")
+    table(spark, sf, "documents").select(F.regexp_replace("text", "(?m)^", "  ").alias("text")).write.text(path)
+    return readers.read_lines(spark, path, strip=True)
+
+
+_TEXTS = "src AS (SELECT doc_id, text FROM documents)"
+_REPS = "reps1 AS (SELECT min(doc_id) AS doc_id, text FROM documents GROUP BY text)"
+_ASKED = "asked AS (SELECT item_id AS query_id, text FROM benchmark)"
+_QN = "qn AS (SELECT query_id, sqrt(sum(val * val)) AS n FROM qv GROUP BY query_id)"
+
+
+@register("sentence_index", f"""WITH {_TEXTS}, {sentence_vectors_sql('sv', 'src', 'doc_id')}
+SELECT doc_id, {DIM}::INT AS dim, round(sqrt(sum(val * val)), 6) AS norm FROM sv GROUP BY doc_id""")
 def q_sentence_index(spark, sf):
     """Pluggable sentence encoder over the original texts."""
     vec = encoders.sentence_vectors(documents(spark, sf))
     return rounded(vec.select("doc_id", F.size("vec").alias("dim"), norm("vec").alias("norm")))
 
 
-@register("sentence_search")
+_SENTENCE_SEARCH = f"""WITH {_REPS}, {_ASKED}, {sentence_vectors_sql('iv', 'reps1', 'doc_id')},
+{sentence_vectors_sql('qv', 'asked', 'query_id')}, {_QN}, {_cosine_sql('iv', 'doc_id')}"""
+
+
+@register("sentence_search", _SENTENCE_SEARCH)
 def q_sentence_search(spark, sf):
     """F12 with the sentence encoder: raw benchmark texts as queries, one
     result per distinct text (S1)."""
@@ -141,11 +183,11 @@ def q_sentence_search(spark, sf):
     return rounded(dense.cosine_topk(items, qs, 10).select("query_id", "rank", "doc_id", "score"))
 
 
-@register("dump_token_vectors")
+@register("dump_token_vectors", f"""WITH {VOCAB}, src AS (SELECT id::INT AS doc_id, token AS text FROM vocab),
+{sentence_vectors_sql('sv', 'src', 'doc_id')}
+SELECT doc_id, round(sqrt(sum(val * val)), 6) AS norm FROM sv GROUP BY doc_id""")
 def q_dump_token_vectors(spark, sf):
     """One context-free vector per vocabulary token, written and read back."""
-    from tessera.plans.catalog_lm import VOCAB_SIZE
-
     v = lmprep.build_vocab(lmprep.sentences(documents(spark, sf)), VOCAB_SIZE)
     vec = encoders.sentence_vectors(v.withColumnRenamed("token", "text").withColumnRenamed("id", "doc_id"))
     path = scratch_path(spark, "token-vectors")
@@ -153,7 +195,10 @@ def q_dump_token_vectors(spark, sf):
     return rounded(spark.read.parquet(path).select("doc_id", norm("vec").alias("norm")))
 
 
-@register("dump_sentence_vectors")
+@register("dump_sentence_vectors", f"""WITH {SENTS}, stoks AS (SELECT sent_id, tokens AS toks FROM sents),
+{token_context_sql('tc', 'stoks', 'sent_id')}
+SELECT sent_id, l.layer::INT AS layer, pos::INT AS pos, round((l.layer + 1) * sqrt(sum(val * val)), 6) AS norm
+FROM tc, (SELECT unnest(range(3)) AS layer) l GROUP BY sent_id, l.layer, pos""")
 def q_dump_sentence_vectors(spark, sf):
     """Per-sentence layer vectors (sent_id, layer, pos, vec) from the
     token encoder, written and read back; checked through their norms."""
@@ -164,19 +209,15 @@ def q_dump_sentence_vectors(spark, sf):
     return rounded(spark.read.parquet(path).select("sent_id", "layer", "pos", norm("vec").alias("norm")))
 
 
-@register("build_all_models", f"""WITH {bm25_ctes()} SELECT 'bm25' AS model, count(*)::BIGINT AS n_rows FROM post
-UNION ALL SELECT * FROM (WITH {TFIDF_CTES} SELECT 'tfidf', count(*)::BIGINT FROM post)""")
+@register("build_all_models", f"""WITH {bm25_ctes()} SELECT 'bm25' AS model, 'postings' AS kind, count(*)::BIGINT AS n_rows FROM post
+UNION ALL SELECT * FROM (WITH {TFIDF_CTES} SELECT 'tfidf', 'postings', count(*)::BIGINT FROM post)
+UNION ALL SELECT m, 'vectors', (SELECT count(DISTINCT text) FROM documents) FROM (VALUES ('fasttext'), ('elmo'), ('bert')) v(m)""")
 def q_build_all_models(spark, sf):
-    """Build several models over one collection through the
-    engine and report the size of each index."""
-    eng = Engine(documents(spark, sf))
-    built = eng.build_all(["BM25", "Tf-idf"])
-    rows = [eng.index(m).postings.groupBy().agg(F.count(F.lit(1)).alias("n_rows")).withColumn("model", F.lit(m))
-            for m in built]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    """The five models over one collection as one build of a store;
+    the manifest has a row for each."""
+    store = IndexStore(spark, scratch_path(spark, "index"))
+    _engine(spark, sf, "FastText").save(store, ["BM25", "Tf-idf", "FastText", "ELMo", "BERT"])
+    return store.latest().select("model", "kind", "n_rows")
 
 
 @register("stream_term_stats", f"WITH {TOK}, cnt AS (SELECT doc_id, term, count(*) AS cnt FROM (SELECT doc_id, unnest(toks) AS term FROM tok) GROUP BY ALL) "
@@ -187,9 +228,9 @@ def q_stream_term_stats(spark, sf):
     from tessera.streaming import incremental
 
     sink = scratch_path(spark, "stream-sink")
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf}/documents.parquet")
-    folder = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory()
+    files = table(spark, sf, "documents").select("_metadata.file_name").distinct().limit(2).collect()
     # a table of several part files is a folder; its files have any names
+    folder = [r.file_name for r in files] != ["documents.parquet"]
     source = {"source_dir": f"{sf}/documents.parquet"} if folder else {"source_dir": sf, "glob": "documents.parquet"}
     q = incremental.start_term_counts(spark, sink_dir=sink, checkpoint=scratch_path(spark, "stream-ckpt"), **source)
     q.awaitTermination()
@@ -197,15 +238,27 @@ def q_stream_term_stats(spark, sf):
 
 
 def _encoder_sentence_vectors(spark, sents):
-    """L1 -> M6 -> E13: token encoder layers, softmax layer mix, mean pool."""
-    tv = encoders.token_layer_vectors(sents)
-    pooled = dense.mean_pool(dense.layer_mix(tv, weights_table(spark)))
+    """L1 -> M6 -> E13: token encoder layers, their softmax mix, mean over the tokens."""
+    pooled = dense.mixed_pool(encoders.token_layer_vectors(sents), weights_table(spark))
     # a sentence without tokens has the zero vector
     zero = F.array_repeat(F.lit(0.0), encoders.DIM)
     return sents.select("sent_id").join(pooled, "sent_id", "left").select("sent_id", F.coalesce("vec", zero).alias("vec"))
 
 
-@register("contextual_encoder_index")
+def _pooled_sql(name: str, source: str, key: str) -> str:
+    """``name(key, dim, val)``: layer mix and mean of the stand-in token encoder
+    over the texts of ``source`` (key, text); SW is defined before."""
+    return f"""{name}_s AS (SELECT {key}, regexp_extract_all(lower(text), '{WORD}') AS toks FROM {source}),
+{token_context_sql(f'{name}_c', f'{name}_s', key)},
+{dense_sql(name, f'{name}_s', f"""SELECT c.{key}, c.dim, sum(c.val) * (SELECT sum(sw * (layer + 1)) FROM sw) / any_value(len(s.toks)) AS val
+   FROM {name}_c c JOIN {name}_s s ON s.{key} = c.{key} GROUP BY ALL""", key)}"""
+
+
+_TURN_TEXTS = """turns AS (SELECT conv_id * (SELECT max(turn) + 1 FROM conversations) + turn AS sent_id, text FROM conversations)"""
+
+
+@register("contextual_encoder_index", f"""WITH {SW}, {_TURN_TEXTS}, {_pooled_sql('tv', 'turns', 'sent_id')}
+SELECT sent_id, {DIM}::INT AS dim, round(sqrt(sum(val * val)), 6) AS norm FROM tv GROUP BY sent_id""")
 def q_contextual_encoder_index(spark, sf):
     """F9 with a pluggable token encoder over conversation turns."""
     conv = table(spark, sf, "conversations")
@@ -215,7 +268,9 @@ def q_contextual_encoder_index(spark, sf):
     return rounded(vec.select("sent_id", F.size("vec").alias("dim"), norm("vec").alias("norm")))
 
 
-@register("contextual_encoder_search")
+@register("contextual_encoder_search", f"""WITH {SW}, {_TURN_TEXTS}, {_ASKED},
+first_turns AS (SELECT min(sent_id) AS sent_id, text FROM turns GROUP BY text), {_pooled_sql('iv', 'first_turns', 'sent_id')},
+{_pooled_sql('qv', 'asked', 'query_id')}, {_QN}, {_cosine_sql('iv', 'sent_id')}""")
 def q_contextual_encoder_search(spark, sf):
     """benchmark texts encoded by the same token encoder, searched
     against the conversation-turn vectors by cosine distance."""
@@ -231,10 +286,8 @@ def q_contextual_encoder_search(spark, sf):
 def _stored_search(spark, sf, name):
     """Build, store, load the store in a new engine, search by model name."""
     store = IndexStore(spark, scratch_path(spark, "engine"))
-    options = {"layer_weights": weights_table(spark)} if name == "ELMo" else {}
-    words = word_vectors(spark, sf) if name == "FastText" else None
-    Engine(documents(spark, sf), word_vectors=words, **options).save(store, [name])
-    found = Engine.from_store(store, **options).search(name, benchmark_queries(spark, sf), 10)
+    _engine(spark, sf, name).save(store, [name])
+    found = Engine.from_store(store).search(name, benchmark_queries(spark, sf), 10)
     return rounded(found.select("query_id", F.col("rank").cast("long").alias("rank"), "doc_id", "score"))
 
 
@@ -259,11 +312,12 @@ def q_stored_search_fasttext(spark, sf):
     return _stored_search(spark, sf, "FastText")
 
 
-@register("stored_search_elmo")
+@register("stored_search_elmo", f"""WITH {SW}, {_REPS}, {_ASKED}, {_pooled_sql('iv', 'reps1', 'doc_id')},
+{_pooled_sql('qv', 'asked', 'query_id')}, {_QN}, {_cosine_sql('iv', 'doc_id')}""")
 def q_stored_search_elmo(spark, sf):
     return _stored_search(spark, sf, "ELMo")
 
 
-@register("stored_search_bert")
+@register("stored_search_bert", _SENTENCE_SEARCH)
 def q_stored_search_bert(spark, sf):
     return _stored_search(spark, sf, "BERT")

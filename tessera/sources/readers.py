@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.text import strip as strip_space
 from tessera.functions.text import strip_bom
 
 
@@ -23,7 +24,7 @@ def read_csv_docs(spark: SparkSession, path: str, text_index: int = 2, limit: in
 def read_lines(spark: SparkSession, path: str, limit: int | None = None, strip: bool = False) -> DataFrame:
     """A2/A5: one document (or sentence) per line."""
     df = spark.read.text(path)
-    col = F.trim(F.col("value")) if strip else F.col("value")
+    col = strip_space("value") if strip else F.col("value")
     out = df.select(col.alias("text"))
     return out.limit(limit) if limit is not None else out
 

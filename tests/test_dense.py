@@ -61,11 +61,42 @@ def test_s25_token_similarity_last_occurrence(spark):
     assert rows == {("a", 2, 1), ("b", 1, 2)}
 
 
-def test_vector_sum_unrolled_equals_summarizer(spark):
-    df = spark.createDataFrame([(k % 3, [float(k), float(-k), 0.5]) for k in range(20)], "g long, v array<double>")
-    a = {r.g: r.vec for r in dense.vector_sum(df, ["g"], F.col("v"), dim=3).collect()}
-    b = {r.g: r.vec for r in dense.vector_sum(df, ["g"], F.col("v")).collect()}
-    assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k]) for k in a)
+@pytest.mark.parametrize("dim", [1, 3, 400])
+def test_vector_sum_of_any_dimension(spark, dim):
+    rng = np.random.default_rng(dim)
+    x = rng.normal(size=(20, dim)).astype(np.float32)
+    df = spark.createDataFrame([(k % 3, v.tolist()) for k, v in enumerate(x)], "g long, v array<float>")
+    got = {r.g: r.vec for r in dense.vector_sum(df, ["g"], F.col("v")).collect()}
+    assert all(got[g] == pytest.approx(x[g::3].astype(np.float64).sum(axis=0)) for g in range(3))
+
+
+def test_mixed_pool_equals_mix_then_pool(spark):
+    rng = np.random.default_rng(4)
+    tv = spark.createDataFrame([(s, l, p, rng.normal(size=5).tolist()) for s in range(4) for l in range(3) for p in range(s + 1)],
+                               "sent_id long, layer int, pos int, vec array<double>")
+    w = spark.createDataFrame([(0, 0.3), (1, -1.0), (2, 2.0)], "layer int, w double")
+    want = {r.sent_id: r.vec for r in dense.mean_pool(dense.layer_mix(tv, w, 0.7)).collect()}
+    fused = dense.mixed_pool(tv, w, 0.7)
+    got = {r.sent_id: r.vec for r in fused.collect()}
+    assert got.keys() == want.keys() and all(got[s] == pytest.approx(want[s]) for s in want)
+
+
+def test_cosine_topk_over_blocks_ties_and_odd_rows(spark, monkeypatch):
+    """Several blocks of queries, slices of few rows, equal vectors in many groups."""
+    monkeypatch.setattr(dense, "BLOCK_NUMBERS", 12)
+    monkeypatch.setattr(dense, "HELD_NUMBERS", 21)
+    vecs = [[1.0, 0.0, 0.0], [0.5, 0.5, 0.0], [0.0, 0.0, 1.0], [0.0, 0.0, 0.0]]
+    items = spark.createDataFrame([(i, vecs[i % 4]) for i in range(120)] + [(500, None)], "doc_id long, vec array<double>")
+    queries = spark.createDataFrame([(q, vecs[q % 3]) for q in range(9)] + [(50, None), (51, [0.0, 0.0, 0.0])],
+                                    "query_id long, vec array<double>")
+    got = {}
+    for r in dense.cosine_topk(items, queries, 5).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.doc_id)
+    assert got == {q: [q % 3 + 4 * n for n in range(5)] for q in range(9)}
+    assert dense.cosine_topk(items.limit(0), queries, 5).count() == 0
+    assert dense.cosine_topk(items, queries.limit(0), 5).count() == 0
+    with pytest.raises(Exception, match="dimensions"):
+        dense.cosine_topk(items.unionByName(spark.createDataFrame([(900, [1.0])], items.schema)), queries, 5).collect()
 
 
 def test_softmax_of_large_weights(spark):

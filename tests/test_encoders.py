@@ -1,6 +1,7 @@
 """Pluggable encoders: blank guard, layer layout, registration."""
 
 import numpy as np
+import pytest
 
 from tessera.operators import encoders
 
@@ -32,3 +33,34 @@ def test_null_text_is_a_zero_vector(spark):
     docs = spark.createDataFrame([(1, None), (2, ""), (3, "a word")], "doc_id long, text string")
     got = {r.doc_id: sum(map(abs, r.vec)) for r in encoders.sentence_vectors(docs).collect()}
     assert got[1] == got[2] == 0 and got[3] > 0
+
+
+def test_a_factory_loads_once_per_worker(spark, tmp_path):
+    """The factory leaves a line with its process id whenever it is called."""
+    log = str(tmp_path / "loads")
+
+    def load():
+        import os
+
+        with open(log, "a") as fh:
+            fh.write(f"{os.getpid()}\n")
+        return lambda texts: np.ones((len(texts), 2), dtype=np.float32)
+
+    encoders.register_encoder("slow", factory=load)
+    df = spark.range(400).selectExpr("id AS doc_id", "string(id) AS text").repartition(16)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        for _ in range(3):
+            assert encoders.sentence_vectors(df, "slow").filter("size(vec) = 2").count() == 400
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    loads = open(log).read().split()
+    assert len(loads) == len(set(loads)) >= 1
+
+
+def test_unknown_encoders_are_refused(spark):
+    with pytest.raises(KeyError, match="nothing"):
+        encoders.sentence_vectors(spark.createDataFrame([(0, "x")], "doc_id long, text string"), "nothing")
+    with pytest.raises(ValueError):
+        encoders.register_encoder("both", lambda x: x, factory=lambda: None)

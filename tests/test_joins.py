@@ -13,14 +13,24 @@ def test_skew_safe_lookup_equals_plain_join(spark):
                                 "id long, k long")
     freq = big.groupBy("k").agg(F.count(F.lit(1)).alias("freq"))
     lookup = freq.filter("k <> 99").withColumn("v", F.col("k") * 10)
+    # bounds that hold nothing, the hottest key and the whole table
     for how in ("inner", "left"):
-        got = joins.skew_safe_lookup(big, lookup, "k", "freq", how=how, max_hot=4)
-        exp = big.join(lookup.drop("freq"), "k", how)
-        assert sorted(map(tuple, got.select("id", "k", "v").collect())) == \
-            sorted(map(tuple, exp.select("id", "k", "v").collect()))
-    # the plan has both a broadcast (hot keys) and a shuffle join branch (cold keys)
-    plan = joins.skew_safe_lookup(big, lookup, "k", "freq", max_hot=4)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
+        for max_bytes in (10, 60, 1 << 20):
+            got = joins.skew_safe_lookup(big, lookup, "k", "freq", how=how, max_bytes=max_bytes)
+            exp = big.join(lookup.drop("freq"), "k", how)
+            assert sorted(map(tuple, got.select("id", "k", "v").collect())) == \
+                sorted(map(tuple, exp.select("id", "k", "v").collect()))
+    assert joins.hot_frequency(lookup, "freq", 60) == 128  # key 0 alone, 200 rows
+    assert joins.hot_frequency(lookup, "freq", 10) > 200 and joins.hot_frequency(lookup, "freq", 1 << 20) == 0
+
+
+def test_only_rows_of_rare_keys_are_shuffled(spark):
+    big = spark.range(1000).selectExpr("id", "if(id % 3 = 0, 0, id) AS k")
+    lookup = big.groupBy("k").agg(F.count(F.lit(1)).alias("freq"))
+    plan = joins.skew_safe_lookup(big, lookup, "k", "freq")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1
+    plan = joins.skew_safe_lookup(big, lookup, "k", "freq", max_bytes=60)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and plan.count("Join") == 3
 
 
 def test_dense_index_and_prefix_sum(spark):

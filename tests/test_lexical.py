@@ -2,9 +2,11 @@
 brute-force Python evaluation of the definitions."""
 
 import math
+import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from tessera.operators import lexical
@@ -156,7 +158,7 @@ def test_persisted_index_with_bucket_pruning_equals_in_memory(spark, tmp_path):
     a = sorted(tuple(r) for r in lexical.search(idx, qs, 6).collect())
     b = sorted(tuple(r) for r in lexical.search(back, qs, 6).collect())
     assert a == b
-    plan = lexical.search(back, qs, 6)._jdf.queryExecution().executedPlan().toString()
+    plan = lexical.search(back, qs, 6, fill_zero=False)._jdf.queryExecution().executedPlan().toString()
     assert "term_bucket" in plan
 
 
@@ -192,3 +194,58 @@ def test_engine_build_all_shares_one_collection(spark):
     assert eng.index("bm25").doc_keys is eng.index("tf-idf").doc_keys  # keys computed once
     q = as_queries(spark, queries_df(spark, ["fish"]).withColumnRenamed("text", "q"), text="q")
     assert eng.search("tf-idf", q, top=2).count() == 2
+
+
+def test_cells_shards_and_blocks_give_the_same_results(spark, monkeypatch):
+    """Many shards, groups and query blocks against the definition, with terms
+    common and rare, weights negative and queries without a match."""
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(30)]
+    texts = [" ".join(rng.choices(words, [1 / (i + 1) for i in range(30)], k=rng.randint(0, 12))) for _ in range(700)]
+    texts += texts[:40]
+    queries = [" ".join(rng.choices(words, k=rng.randint(1, 5))) for _ in range(25)] + ["", "nothing here", "w0", "w0 w1 w2 w3 w4 w29"]
+    for mode in ("document", "collection"):
+        want = brute_search(texts, brute_bm25(texts, mode=mode), queries, k=10)
+        assert spark_search(spark, texts, queries, k=10, n_qi=mode) == want
+    monkeypatch.setattr(lexical, "QUERY_BLOCK_BYTES", 300)
+    monkeypatch.setattr(lexical, "SHARD_TEXTS", 300)
+    assert spark_search(spark, texts, queries, k=10, n_qi="collection") == want
+
+
+def test_early_end_of_a_shard_scan_equals_the_full_scan():
+    rng = np.random.default_rng(2)
+    ended = 0
+    for _ in range(400):
+        size, k = 400, int(rng.integers(1, 6))
+        lists = []
+        for n in rng.integers(1, 300, rng.integers(1, 7)):
+            at = np.sort(rng.choice(size, n, replace=False))
+            lists.append((at, np.round(rng.normal(3.0 / np.sqrt(n) * 5, 0.3 if n < 150 else 1.0, n), 1)))
+        full = np.zeros(size)
+        hit = np.zeros(size, bool)
+        for at, w in lists:
+            full[at] += w
+            hit[at] = True
+        floor = float(rng.choice([-np.inf, 1.0]))
+        found, scores, seen = lexical.score_shard(lists, size, k, floor)
+        every = sorted(((-round(full[p], 9), p) for p in np.flatnonzero(hit)))[:k]
+        mine = sorted((-round(s, 9), p) for p, s in zip(found.tolist(), scores))[:k]
+        if seen is None:
+            ended += 1
+            keep = [x for x in every if -x[0] >= floor]
+            assert mine[:len(keep)] == keep and (len(keep) == len(every) or floor > 0)
+            assert len([x for x in every if x[0] < 0]) == k or floor > 0
+        else:
+            assert mine == every and (seen == hit).all()
+    assert ended > 50
+
+
+def test_no_pair_of_query_and_text_is_exchanged(spark):
+    """What leaves the cells is bounded by k per query, and what enters them has a
+    row per posting, not per query that asks for it."""
+    texts = [f"common t{i}" for i in range(500)]
+    idx = lexical.build_lexical(docs_df(spark, texts), "bm25")
+    plan = lexical.search(idx, queries_df(spark, ["common"] * 40), 3, fill_zero=False)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [x for x in plan.splitlines() if "Join" in x]
+    # the idf and the batch's terms are looked up per posting
+    assert "MapInArrow" in plan and len(joins) == 2 and not any("query_id" in x for x in joins)

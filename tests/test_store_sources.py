@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tessera.operators import lexical
+from tessera.plans.engine import Engine
 from tessera.sources import readers
 from tessera.sources.store import IndexStore
 from tests.conftest import docs_df
@@ -31,11 +31,23 @@ def test_corpus_files_bom_and_metadata(spark, tmp_path):
 
 def test_store_incremental_build(spark, tmp_path):
     store = IndexStore(spark, str(tmp_path / "idx"))
-    docs = docs_df(spark, ["a b", "b c"])
-    b = {"bm25": ("postings", lambda d: lexical.build_lexical(d, "bm25").postings.select("term", "doc_id", "weight"))}
-    assert store.build(docs, b, ["bm25"]) == ["bm25"]
-    assert store.build(docs, b, ["bm25"]) == []  # second build does nothing
+    engine = Engine(docs_df(spark, ["a b", "b c"]))
+    assert engine.save(store, ["bm25"]) == ["bm25"]
+    assert engine.save(store, ["bm25"]) == []  # second build does nothing
     assert store.postings("bm25").count() == 4
     missing = [r.model for r in store.models_to_build(["bm25", "tfidf"]).collect()]
     assert missing == ["tfidf"]
     assert store.manifest().filter(F.col("model") == "bm25").count() == 1
+    assert engine.save(store, ["bm25", "tfidf", "bert"]) == ["tfidf", "bert"] or store.latest().count() == 3
+    entered = store.manifest().filter("model <> 'bm25'").collect()
+    assert len({(r.build_id, r.created) for r in entered}) == 1 and {r.kind for r in entered} == {"postings", "vectors"}
+
+
+def test_reader_dispatch_by_path_and_format(spark, tmp_path):
+    (tmp_path / "q.csv").write_text("id,qid,question\n1,2,first\n3,4,second\n")
+    (tmp_path / "lines.txt").write_text("one\n two \n")
+    docs_df(spark, ["stored"]).write.parquet(str(tmp_path / "d.parquet"))
+    assert [r.text for r in readers.read_docs(spark, str(tmp_path / "q.csv")).collect()] == ["first", "second"]
+    assert [r.text for r in readers.read_docs(spark, str(tmp_path / "lines.txt")).collect()] == ["one", " two "]
+    assert [r.text for r in readers.read_docs(spark, str(tmp_path / "d.parquet"), limit=5).collect()] == ["stored"]
+    assert [r.text for r in readers.read_lines(spark, str(tmp_path / "lines.txt"), strip=True).collect()] == ["one", "two"]
