@@ -6,8 +6,9 @@ id, then position), and every line that a later occurrence covers is removed.
 So a line only goes if an equal line stands earlier, and by induction one copy
 of every line stays.
 
-Only hashes and positions are shuffled; hot windows are counted map-side and
-joined by a plain equi-join that adaptive execution can split.
+Windows are hashed once and written to the shared folder.  Only hashes and
+positions are shuffled; hot windows are counted map-side and joined by a plain
+equi-join that adaptive execution can split.
 
 Defined results: lines are what stands between line feeds, and lines without a
 word count neither as part of a window nor are they removed; texts of less than
@@ -23,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import WORD, let, spare_name
+from tessera.session import materialize
 
 WINDOW = 3
 
@@ -63,8 +65,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     `removed_col` names a new column for the number of lines that went."""
     text, doc_id = F.col(f"`{text_col}`"), F.col(f"`{id_col}`")
     digest = F.xxhash64(text, F.length(text))
-    spans = docs.select(doc_id.alias("d"), digest.alias("t"), F.explode(_windows(text)).alias("w")).select(
-        "d", "t", "w.*")
+    # written once: both the counts and the later occurrences are read from it
+    spans = materialize(docs.select(doc_id.alias("d"), digest.alias("t"), F.explode(_windows(text)).alias("w")).select(
+        "d", "t", "w.*"), "windows")
     at = F.struct("d", "t", "place")
     repeated = (spans.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.max(at).alias("last"))
                 .where(F.col("first") < F.col("last")).drop("last"))
