@@ -89,7 +89,13 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.v = vocabulary
-        self.longest = max(map(len, vocabulary.pieces), default=1)
+        # pieces spelled backwards; None marks the beginning of a piece
+        self.backwards: dict = {}
+        for piece in vocabulary.pieces:
+            node = self.backwards
+            for c in reversed(piece):
+                node = node.setdefault(c, {})
+            node[None] = piece
         self.known: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
         long_chars = {c for p in vocabulary.pieces if len(p) > 1 for c in p}
@@ -132,7 +138,7 @@ class Encoder:
     def learn(self, fresh: list[str]) -> None:
         """Pieces of sorted distinct words, depth-first over their trie.
         states[j] is (score, last piece) of the current word's prefix of j."""
-        pieces, scores, bpe, longest = self.v.pieces, self.v.scores, self.v.kind == "bpe", self.longest
+        scores, bpe, root = self.v.scores, self.v.kind == "bpe", self.backwards
         states: list[tuple[float, str]] = [(0.0, "")]
         before = ""
         for word in fresh:
@@ -141,19 +147,25 @@ class Encoder:
                 shared += 1
             del states[shared + 1:]
             for end in range(shared + 1, len(word) + 1):
+                # the pieces that end here, the shortest first; a single character always can
+                node, at, ending = root, end, []
+                while at and (node := node.get(word[at - 1])) is not None:
+                    at -= 1
+                    if None in node:
+                        ending.append(node[None])
+                if not ending or len(ending[0]) > 1:
+                    ending.insert(0, word[end - 1])
                 best = None
-                for start in range(max(0, end - longest), end):
-                    piece = word[start:end]
-                    if piece in pieces or start == end - 1:
-                        score, last = states[start]
-                        if bpe:
-                            if self.fits(last, piece):
-                                best = (0.0, piece)
-                                break
-                        else:
-                            score += scores.get(piece, self.lowest)
-                            if best is None or score > best[0]:
-                                best = (score, piece)
+                for piece in reversed(ending):
+                    score, last = states[end - len(piece)]
+                    if bpe:
+                        if self.fits(last, piece):
+                            best = (0.0, piece)
+                            break
+                    else:
+                        score += scores.get(piece, self.lowest)
+                        if best is None or score > best[0]:
+                            best = (score, piece)
                 states.append(best)
             at, found = len(word), []
             while at:
