@@ -14,9 +14,11 @@ cannot all miss.  The index holds every non-empty segment, and one-deletion
 neighbours for bands of small sets.  A set probes the cheapest allocation of that
 weight: a cost model that counts signatures and expected matches (by the number of
 shingles in the signature and the number of sets in the band) skips segments of
-few shingles, which are the ones that common passages make frequent.  m is the
-smallest of a ladder for which every set of the band has such an allocation, which
-a first pass over all sets finds out.
+few shingles, which are the ones that common passages make frequent.  m comes
+from a ladder: a first pass finds for every set which steps give it such an
+allocation, and a band takes the smallest step that suits all of its sets.  Where
+none does, it takes several: its index holds each of them, and a set probes the
+first that suits it.
 
 Signatures meet in one shuffle and are streamed in order.  Up to RUN members of a
 signature are paired in place.  Longer runs give each member to one pivot, which
@@ -35,6 +37,7 @@ not matter; `keep_one` keeps them, whatever their names.
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from math import ceil
 
@@ -111,20 +114,42 @@ def _sums(seg: np.ndarray, s: np.ndarray, m: int) -> np.ndarray:
     return (high << np.uint64(32)) + low
 
 
-def step_needed(s: np.ndarray, band: int) -> int:
-    """Place on the ladder from which the set has an allocation in the band."""
-    need = most_differences(len(s), band) + 1
+def weight(count: np.ndarray, band: int) -> int:
+    """Most that probes of segments with `count` shingles can weigh."""
+    return int((count > 0).sum() + ((count > 1).sum() if _BORDERS[band] <= SMALL else 0))
+
+
+def steps_that_suit(s: np.ndarray, band: int) -> int:
+    """Bit mask of the ladder's steps at which the set has an allocation in the
+    band.  Another step deals the shingles anew, so one that suits says nothing
+    of the next.  For larger sets only the first step that suits is looked for."""
+    need, mask = most_differences(len(s), band) + 1, 0
     for k, step in enumerate(LADDER):
-        _, count = _counts(s, segments(band, step))
-        weight = (count > 0).sum() + ((count > 1).sum() if _BORDERS[band] <= SMALL else 0)
-        if weight >= need:
-            return k
-    raise ValueError(f"no allocation for a set of {len(s)}")
+        if weight(_counts(s, segments(band, step))[1], band) >= need:
+            mask |= 1 << k
+            if len(s) > 2 * SMALL:
+                break
+    if not mask:
+        raise ValueError(f"no allocation for a set of {len(s)}")
+    return mask
+
+
+def chosen_steps(masks: dict[int, int]) -> list[int]:
+    """Steps of a band, given the number of sets by mask: one that suits all, or
+    else one after another that suits most of the rest."""
+    out, rest = [], dict(masks)
+    while rest:
+        k = max(range(len(LADDER)), key=lambda k: (sum(n for m, n in rest.items() if m >> k & 1), -k))
+        out.append(k)
+        rest = {m: n for m, n in rest.items() if not m >> k & 1}
+    return out
 
 
 def allocation(count: np.ndarray, need: int, deletions: bool, sets: int) -> tuple[np.ndarray, np.ndarray]:
     """Which segments are probed exactly, and which also by deletions: the
     cheapest units of weight until they make `need`."""
+    if (count > 0).sum() + (deletions and (count > 1).sum()) < need:
+        raise ValueError("the segments can't make the weight that no linked set escapes")
     cost = 1.0 + sets * COMMON ** np.arange(1, int(count.max(initial=0)) + 2, dtype=float)
     exact_cost = np.where(count > 0, cost[np.maximum(count, 1) - 1], np.inf)
     if not deletions:
@@ -143,29 +168,36 @@ def allocation(count: np.ndarray, need: int, deletions: bool, sets: int) -> tupl
 INDEX, BOTH, PROBE = 0, 1, 2
 
 
-def signatures(s: np.ndarray, steps: dict[int, int], sizes: dict[int, int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def signatures(s: np.ndarray, steps: dict[int, list[int]], sizes: dict[int, int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(signatures, roles) of a set: index and probes in its own band, probes in
     the band below."""
     own = band_of(len(s))
     for band in (own, own - 1):
         if band < 0 or band not in steps or (band != own and most_differences(len(s), band) < 0):
             continue
-        m = segments(band, LADDER[steps[band]])
-        seg, count = _counts(s, m)
-        small = _BORDERS[band] <= SMALL
         need = most_differences(len(s), band) + 1
-        exact, more = allocation(count, need, small, sizes.get(band, 1))
-        total = _sums(seg, s, m)
-        place = mixed(np.arange(m, dtype=np.uint64), 5000 + band)
-        filled = count > 0
-        take = filled if band == own else filled & exact
-        yield mixed(total[take] ^ place[take]), np.where(exact[take], BOTH if band == own else PROBE, INDEX)
-        if small:
-            at = count[seg] > 1
-            if band != own:
-                at &= more[seg]
-            left = mixed((total[seg[at]] - s[at]) ^ place[seg[at]])
-            yield left, np.where(more[seg[at]], BOTH if band == own else PROBE, INDEX)
+        small = _BORDERS[band] <= SMALL
+        probed = False
+        for k in steps[band]:
+            m = segments(band, LADDER[k])
+            seg, count = _counts(s, m)
+            probe = not probed and (weight(count, band) >= need or k == steps[band][-1])
+            if not probe and band != own:
+                continue
+            exact, more = (allocation(count, need, small, sizes.get(band, 1)) if probe else
+                           (np.zeros(m, bool), np.zeros(m, bool)))
+            probed |= probe
+            total = _sums(seg, s, m)
+            place = mixed(np.arange(m, dtype=np.uint64), 5000 + band + 100_000 * k)
+            filled = count > 0
+            take = filled if band == own else filled & exact
+            yield mixed(total[take] ^ place[take]), np.where(exact[take], BOTH if band == own else PROBE, INDEX)
+            if small:
+                at = count[seg] > 1
+                if band != own:
+                    at &= more[seg]
+                left = mixed((total[seg[at]] - s[at]) ^ place[seg[at]])
+                yield left, np.where(more[seg[at]], BOTH if band == own else PROBE, INDEX)
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.ndarray]]]:
@@ -183,12 +215,12 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(s):
                 own = band_of(len(s))
                 low = own > 0 and most_differences(len(s), own - 1) >= 0
-                rows.append((*set_keys(s), len(s), own, step_needed(s, own), step_needed(s, own - 1) if low else 0))
+                rows.append((*set_keys(s), len(s), own, steps_that_suit(s, own), steps_that_suit(s, own - 1) if low else 0))
             else:
                 rows.append((None, None, 0, None, None, None))
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()), *[pa.array(c, pa.int64()) for c in zip(*rows)]],
-            names=["id", "k1", "k2", "n", "band", "own_step", "low_step"])
+            names=["id", "k1", "k2", "n", "band", "own_steps", "low_steps"])
 
 
 def _pairs_of(keys: np.ndarray, roles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -401,20 +433,20 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id, n_shingles, component_id) for every row of `docs`."""
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     classed = materialize(docs.mapInArrow(
-        _classes, "id long, k1 long, k2 long, n long, band long, own_step long, low_step long"), "classes")
+        _classes, "id long, k1 long, k2 long, n long, band long, own_steps long, low_steps long"), "classes")
     joined = classed.where(F.col("id").isNotNull() & F.col("k1").isNotNull())
     # one node per set: the smallest id that has it
-    nodes = materialize(joined.groupBy("k1", "k2", "n", "band", "own_step", "low_step").agg(
+    nodes = materialize(joined.groupBy("k1", "k2", "n", "band", "own_steps", "low_steps").agg(
         F.min("id").alias("node")), "nodes")
-    # a row per band: about 5 for each doubling of the largest set
-    own = nodes.groupBy("band").agg(F.count("*").alias("sets"), F.max("own_step").alias("own"), F.max("low_step").alias("low")).collect()
-    sizes = {r.band: r.sets for r in own}
-    steps = {b: 0 for r in own for b in (r.band, r.band - 1) if b >= 0}
-    for r in own:
-        steps[r.band] = max(steps[r.band], r.own)
-        if r.band:
-            steps[r.band - 1] = max(steps[r.band - 1], r.low)
-    steps = {b: k for b, k in steps.items() if b in sizes}
+    # a row per band (about 5 for each doubling of the largest set) and pair of masks, nearly all the same
+    sizes: Counter[int] = Counter()
+    masks: dict[int, Counter[int]] = defaultdict(Counter)
+    for r in nodes.groupBy("band", "own_steps", "low_steps").count().collect():
+        sizes[r.band] += r["count"]
+        masks[r.band][r.own_steps] += r["count"]
+        if r.low_steps:
+            masks[r.band - 1][r.low_steps] += r["count"]
+    steps = {b: chosen_steps(m) for b, m in masks.items() if b in sizes}
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()  # copies within a task give their signatures once

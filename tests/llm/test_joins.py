@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -84,10 +85,47 @@ def test_every_set_has_an_allocation_that_cannot_miss():
         for band in (own, own - 1):
             need = ngramjoin.most_differences(len(s), band) + 1 if band >= 0 else 0
             if need:
-                m = ngramjoin.segments(band, ngramjoin.LADDER[ngramjoin.step_needed(s, band)])
-                _, count = ngramjoin._counts(s, m)
-                exact, more = ngramjoin.allocation(count, need, ngramjoin._BORDERS[band] <= ngramjoin.SMALL, 10)
-                assert exact.sum() + more.sum() == need and (count[exact] > 0).all() and (count[more] > 1).all()
+                mask = ngramjoin.steps_that_suit(s, band)
+                for k, step in enumerate(ngramjoin.LADDER):
+                    if mask >> k & 1:
+                        _, count = ngramjoin._counts(s, ngramjoin.segments(band, step))
+                        exact, more = ngramjoin.allocation(count, need, ngramjoin._BORDERS[band] <= ngramjoin.SMALL, 10)
+                        assert exact.sum() + more.sum() == need and (count[exact] > 0).all() and (count[more] > 1).all()
+
+
+def test_bands_above_the_first_step_suit_all_of_their_sets():
+    """Many small sets, some of which the first step does not suit: each set of a
+    band has an allocation at a step that the whole band indexes."""
+    rng = np.random.default_rng(1)
+    for size in (9, 10):
+        sets = [np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64)) for _ in range(20_000)]
+        band = ngramjoin.band_of(size)
+        need = ngramjoin.most_differences(size, band) + 1
+        masks = Counter(ngramjoin.steps_that_suit(s, band) for s in sets)
+        steps = ngramjoin.chosen_steps(masks)
+        assert any(not m & 1 for m in masks) and any(m & 1 and not m >> 1 & 1 for m in masks)
+        assert all(any(m >> k & 1 for k in steps) for m in masks)
+        for s in sets[:2000]:
+            index, probes = set(), 0
+            for sig, role in ngramjoin.signatures(s, {band: steps}, {band: len(sets)}):
+                index |= set(sig.tolist())
+                probes += (role == ngramjoin.BOTH).sum()
+            assert probes >= need
+    with pytest.raises(ValueError):
+        ngramjoin.allocation(np.array([9, 0, 0]), 3, True, 10)
+
+
+def test_links_of_sets_that_need_a_higher_step(spark):
+    """Texts of 13 words whose last word differs (Jaccard 0.8): nothing to spare."""
+    rng = random.Random(12)
+    words = vocabulary(rng, 3000)
+    rows = []
+    for k in range(1500):
+        base = [rng.choice(words) for _ in range(13)]
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(base[:-1] + ["z" + base[-1]]))]
+    got = {r.doc_id: r.component_id for r in ngramjoin.link_components(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}
 
 
 def test_join_of_odd_tables(spark):
@@ -146,18 +184,111 @@ def test_repeated_passages_are_found_and_the_rest_is_left(spark):
         assert len(cut[k].split()) == len(texts[k].split()) - r.n_removed_words
 
 
-def test_minhash_bands_reach_the_recall(spark):
-    """Pairs of paragraphs of Jaccard 0.8 or more, against brute force."""
+def test_minima_are_those_of_every_paragraph():
+    """Against a loop over all runs of PARAGRAPH words and all bands."""
     rng = np.random.default_rng(4)
-    n, found, all_pairs = substrings.PARAGRAPH - substrings.WORDS + 1, 0, 0
-    for _ in range(3000):
-        a = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+    width = substrings.PARAGRAPH - substrings.WORDS + 1
+    texts = [rng.integers(0, 1 << 63, n, dtype=np.uint64) for n in (0, 3, 19, 20, 43, 44, 45, 300, 90)]
+    salts = substrings.mixed(np.arange(2 * substrings.bands(), dtype=np.uint64), 101) | np.uint64(1)
+    want, at = set(), 0
+    for x in texts:
+        for flip, times in zip(salts[::2], salts[1::2]):
+            order = ((x ^ flip) * times) | np.uint64(1)
+            starts = range(len(x) - width + 1) if len(x) >= width else [0] if len(x) >= substrings.MIN_WORDS - 4 else []
+            want |= {at + j + int(order[j:j + width].argmin()) for j in starts}
+        at += len(x)
+    got = substrings.minima(np.concatenate(texts), np.array([len(x) for x in texts]))
+    assert got.tolist() == sorted(want)
+    found = 0
+    for _ in range(1500):  # paragraphs of Jaccard 0.8: the recall that the bands were chosen for
+        a = rng.integers(0, 1 << 63, width, dtype=np.uint64)
         b = a.copy()
-        b[rng.choice(n, 2, replace=False)] = rng.integers(0, 1 << 63, 2, dtype=np.uint64)
-        sig = substrings.minhash_bands(np.stack([a, b]))
-        all_pairs += 1
-        found += bool((sig[0] == sig[1]).any())
-    assert found / all_pairs >= substrings.RECALL - 0.01
+        b[rng.choice(width, 4, replace=False)] = rng.integers(0, 1 << 63, 4, dtype=np.uint64)
+        mine = [set(x[substrings.minima(x, np.array([width]))].tolist()) for x in (a, b)]
+        found += bool(mine[0] & mine[1])
+    assert found / 1500 >= substrings.RECALL - 0.01
+
+
+def test_passages_join_runs_while_they_are_alike():
+    assert substrings.passages(0, 60, []) == [(0, 60)]
+    assert substrings.passages(0, 55, [27]) == [(0, 55)]  # 46 of 56 shingles
+    assert substrings.passages(0, 40, [20]) == []  # two runs of 20 words, not alike enough
+    assert substrings.passages(10, 100, [10, 11, 40, 41, 42, 43, 44, 45, 46, 47, 48, 49, 98]) == [(12, 40), (50, 98)]
+    assert substrings.passages(0, 20, []) == []
+
+
+@pytest.mark.parametrize("n,changes", [(55, 1), (60, 1), (80, 1), (100, 2), (150, 3)])
+def test_edited_passages_in_other_words_are_found(spark, n, changes):
+    """Passages with changed words, evenly spaced, between random words (Jaccard 0.8
+    or more): at least nine of ten are linked, and what goes is the passage."""
+    rng = np.random.default_rng(n)
+
+    def words(k):
+        return [f"w{x}" for x in rng.integers(0, 1 << 40, k)]
+
+    rows, span = [], {}
+    for k in range(100):
+        passage = words(n)
+        for copy in range(2):
+            own = list(passage)
+            if copy:
+                for c in range(changes):
+                    own[(c + 1) * n // (changes + 1)] = words(1)[0]
+            lead = words(int(rng.integers(20, 70)))
+            rows.append((2 * k + copy, " ".join(lead + own + words(int(rng.integers(20, 70))))))
+            span[2 * k + copy] = (len(lead), len(lead) + n)
+    got = {r.doc_id: r for r in substrings.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    linked = [k for k, r in got.items() if r.copy_of == [k - 1]]
+    assert len(linked) >= 90 and all(k % 2 for k in linked)
+    whole = [k for k in linked if [(s.start, s.end) for s in got[k].removed_spans] == [span[k]]]
+    assert len(whole) >= 0.9 * len(linked)
+    assert not any(r.n_removed_words for k, r in got.items() if k % 2 == 0)
+
+
+def brute_repeats(texts):
+    """Places of every text that lie in 24 words or more equal to those of an
+    earlier place (earlier text, or the same one)."""
+    seen, out = {}, {}
+    for k, text in texts:
+        w = text.split()
+        out[k] = set()
+        for a in range(len(w) - 23):
+            key = tuple(w[a:a + 24])
+            if key in seen:
+                out[k] |= set(range(a, a + 24))
+            else:
+                seen[key] = (k, a)
+    return out
+
+
+@pytest.mark.parametrize("parts", [False, True])
+def test_exact_repeats_of_paragraphs_against_brute_force(spark, parts):
+    """Nothing goes that does not repeat 24 words; whole copies go to the last word,
+    copies of copies and several in one text too.  Where an earlier document holds
+    only a part of a passage, less than a paragraph may stay at its edge."""
+    rng = random.Random(21)
+    pool = [[f"p{j}x{i}" for i in range(rng.randint(48, 130))] for j in range(6)]
+    rows = []
+    for k in range(60):
+        body = []
+        for _ in range(rng.randint(1, 4)):
+            body += [f"u{rng.getrandbits(40)}" for _ in range(rng.randint(5, 40))]
+            if rng.random() < 0.7:
+                p = rng.choice(pool)
+                body += p[rng.randint(0, len(p) - 48):] if parts and rng.random() < 0.5 else p
+        rows.append((k, " ".join(body)))
+    rows += [(100, rows[3][1]), (101, rows[3][1]), (102, rows[5][1] + " " + rows[5][1])]
+    want = brute_repeats(rows)
+    for r in substrings.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got = {p for s in r.removed_spans for p in range(s.start, s.end)}
+        if not parts:
+            assert want[r.doc_id] == got, r.doc_id
+        assert got <= want[r.doc_id]
+        left = sorted(want[r.doc_id] - got)
+        run = 0
+        for k, p in enumerate(left):
+            run = run + 1 if k and left[k - 1] == p - 1 else 1
+            assert run < substrings.PARAGRAPH
 
 
 def test_substrings_of_odd_tables(spark):
