@@ -5,8 +5,9 @@ of the document id (law ``key``: id and shard count decide, one more shard takes
 rows only into itself), and inside a shard a bucket of bounded size.  Pass two
 gathers one bucket at a time, puts it into Fisher-Yates order (Spark's
 ``shuffle`` of an array) and writes it.  Memory is bounded by the bucket size,
-whatever the size of a shard; the slots of a shard follow from the buckets'
-counts.
+whatever the size of a shard: a task gathers at most 128 buckets at a time (Spark's
+object aggregate sorts beyond that) and permutes one.  The slots of a shard follow
+from a running sum of the buckets' counts.
 
 Defined results: a null text has size 1 and the checksum of no bytes; a null id
 is hashed like a value of its own; rows that repeat an id share its shard but
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tessera.llm.common import spare_name
 from tessera.session import scratch_path
@@ -67,11 +69,9 @@ def write_shards(docs: DataFrame, path: str, n_shards: int = N_SHARDS, id_col: s
 
     written = spark.read.schema(placed.schema).parquet(path)
     counts = written.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
-    # one row per bucket: a table of totals, whatever the number of records
-    before = counts.alias("a").join(counts.alias("b"), (F.col("a.shard") == F.col("b.shard"))
-                                    & (F.col("b.bucket") < F.col("a.bucket")), "left")
-    offsets = before.groupBy(F.col("a.shard").alias("shard"), F.col("a.bucket").alias("bucket")).agg(
-        F.coalesce(F.sum("b.n"), F.lit(0)).alias("offset"))
+    # one row per bucket: a running sum of totals, whatever the number of records
+    earlier = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
     info = spare_name(docs, "shard_info")
     return written.join(offsets, ["shard", "bucket"]).select("record.*", F.struct(
         "size", "text_crc32", "bucket", "place", "shard", (F.col("offset") + F.col("place")).alias("slot"),

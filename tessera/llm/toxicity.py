@@ -14,7 +14,7 @@ Every whole text is then scored, batch by batch.
 
 Defined results: null and empty texts score as a text without features (the
 intercept); null labels are ignored, of several labels of a document the highest
-counts; without any label to learn from every score is the prior 0; repeated
+counts, and of rows that repeat a labelled id one is learned from; without any label to learn from every score is the prior 0; repeated
 rows are each scored; only id and text are read, so other columns do not matter.
 """
 
@@ -148,6 +148,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_
         yield pa.RecordBatch.from_arrays([pa.array(at[w != 0]), pa.array(w[w != 0])], names=["at", "w"])
 
     got = (rows.mapInArrow(_feature_batches, "place long, label int, features binary")
+           .groupBy("place", "label").agg(F.min("features").alias("features"))  # one row per id
            .repartition(1).sortWithinPartitions("place", "features")
            .mapInArrow(train, "at long, w double").collect())
     return np.array([r.at for r in got], np.int64), np.array([r.w for r in got], np.float64)

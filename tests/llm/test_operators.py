@@ -1,6 +1,7 @@
 """Quality rules, line dedup, sharding, SentencePiece, toxicity, top-k and mixing
 against brute force, with odd rows."""
 
+import math
 import random
 import re
 import zlib
@@ -287,3 +288,63 @@ def test_mixing(spark):
     taken = mixing.sample(docs, targets)
     assert taken.columns == docs.columns and taken.count() == sum(r[name].sampled for r in got)
     assert mixing.mix(docs.limit(0), targets)[0].count() == 0
+
+
+def test_ftrl_equals_the_plain_update_rule():
+    """FTRL-proximal coordinate by coordinate, with plain floats."""
+    rng = np.random.default_rng(3)
+    s = toxicity.Settings(alpha=0.7, beta=1.0, l1=0.4, l2=0.1)
+    size = 1 << toxicity.HASH_BITS
+    model, z, n = toxicity.Ftrl(s), defaultdict(float), defaultdict(float)
+
+    def weight(i):
+        l1, l2 = (0.0, 0.0) if i == size else (s.l1, s.l2)
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((s.beta + math.sqrt(n[i])) / s.alpha + l2)
+
+    for _ in range(300):
+        at = np.append(np.unique(rng.integers(0, 40, 6)), size)
+        label = int(at[0] % 3 == 0)
+        model.learn(at, label)
+        old = {i: weight(i) for i in at.tolist()}
+        g = 1 / (1 + math.exp(-sum(old.values()))) - label
+        for i, w in old.items():
+            sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / s.alpha
+            z[i] += g - sigma * w
+            n[i] += g * g
+    at = np.array([*range(40), size])
+    assert model.weights(at) == pytest.approx([weight(i) for i in at.tolist()])
+    assert (model.weights(at) == 0).any() and (model.weights(at) != 0).any()
+
+
+def test_toxicity_learns_from_one_row_of_a_repeated_id(spark):
+    rows = [(k, long_words(12, k) + (" badword" if k % 2 else "")) for k in range(60)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, toxic int")
+    once = toxicity.fit(frame(spark, rows), labels)
+    often = toxicity.fit(frame(spark, rows + [rows[3]] * 40 + [rows[7]] * 9), labels)
+    assert (once[0] == often[0]).all() and (once[1] == often[1]).all() and len(once[0])
+
+
+def test_slots_of_shards_of_many_buckets(spark):
+    docs = frame(spark, [(k, long_words(3, k)) for k in range(400)])
+    got = sharding.write_shards(docs, sharding.scratch_path(spark, "shards"), n_shards=3, bucket_bytes=200)
+    info = got.select(f"{got.columns[-1]}.*").collect()
+    assert max(r.bucket for r in info) > 8
+    for s in range(3):
+        assert sorted(r.slot for r in info if r.shard == s) == list(range(sum(r.shard == s for r in info)))
+
+
+def test_very_long_texts(spark):
+    """Long lines, long texts and many lines take no other way."""
+    text = "\n".join(long_words(12, k % 50) for k in range(4000))
+    docs = frame(spark, [(1, text), (2, "x" * 200_000), (3, "a " * 60_000)])
+    vocabulary = sentencepieces.load()
+    out = sentencepieces.encode(docs, vocabulary)
+    assert all(r[-1]["round_trip"] for r in out.collect())
+    cut = {r.doc_id: r for r in linededup.line_dedup(docs, removed_col="gone").collect()}
+    assert cut[1].gone == 4000 - 50 - 2 and cut[2].gone == cut[3].gone == 0
+    f = quality.features(F.col("text"))
+    n = {r.doc_id: r.f["n_words"] for r in docs.select("doc_id", f.alias("f")).collect()}
+    assert n == {1: 48_000, 2: 1, 3: 60_000}
+    assert mixing.sample(docs.withColumns({"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.length("text")})).count() >= 0

@@ -57,7 +57,28 @@ def test_stages(spark, corpus):
     assert left and left <= {r.doc_id for r in three.collect()} and four.columns == docs.columns
 
     five = stages["SentencePiece encoding"](spark, four, folder)
-    assert {r.doc_id for r in five.collect()} == left and five.columns == [*docs.columns, "ids", "n_tokens"]
+    assert {r.doc_id for r in five.collect()} == left and five.columns == [*docs.columns, "ids", "n_tokens", "round_trip"]
+    assert all(r.round_trip and len(r.ids) == r.n_tokens > 0 for r in five.collect())
+
+
+def test_stages_take_odd_tables(spark, corpus):
+    """Nulls in every column, empty texts, repeated rows, names that clash with
+    new columns, and no rows at all."""
+    folder, _ = corpus
+    text = "\n".join(long_words(9, k) for k in range(6))
+    rows = [(1, text, "en", "src1", 7, 1, "a"), (1, text, "en", "src1", 7, 1, "a"), (None, text, None, None, None, None, None),
+            (2, None, "en", None, None, 2, None), (3, "", None, "src2", 0, 3, "b"), (4, " \n\t ", "xx", "src9", 4, 4, "c"),
+            (None, None, None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, ids int, Round_Trip string")
+    for name, stage in corpus_pipeline.STAGES:
+        for table in (docs, docs.limit(0)):
+            out = stage(spark, table, folder)
+            got = out.collect()
+            assert out.columns[:len(docs.columns)] == docs.columns and len({c.lower() for c in out.columns}) == len(out.columns), name
+            assert len(got) <= len(rows) and (table is docs or not got), name
+    assert len(out.columns) == len(docs.columns) + 3
+    full = corpus_pipeline.encode(spark, docs, folder).collect()
+    assert len(full) == len(rows) and all(r[-1] for r in full)
 
 
 def test_run_is_the_chain(spark, corpus):
