@@ -1,9 +1,10 @@
 """Training-data pipeline over `documents`: quality rules, line dedup, n-gram
-Jaccard join, mixing, SentencePiece encoding.
+Jaccard join, mixing, SentencePiece encoding and decoding.
 
 Every stage is a function (spark, docs, sf_dir) -> DataFrame whose result is
 written as Parquet and read again as the next stage's docs.  All but the last
-return the columns of documents; the last adds ids and n_tokens.
+return the columns of documents; the last adds ids, n_tokens and round_trip, the
+check that the ids decode to the text.
 """
 
 from __future__ import annotations
@@ -42,9 +43,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each text."""
-    out = sentencepieces.encode(docs, sentencepieces.load(), check=False)
-    return out.select(*docs.columns, f"{out.columns[-1]}.*")
+    """Token ids of each text, and whether they decode to it again.  A table with
+    columns of these names keeps them; the new ones get spare names then."""
+    out = sentencepieces.encode(docs, sentencepieces.load())
+    made, taken = F.col(f"`{out.columns[-1]}`"), {c.lower() for c in docs.columns}
+    new = [made[n].alias(spare_name(docs, n) if n in taken else n) for n in ("ids", "n_tokens", "round_trip")]
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns], *new)
 
 
 STAGES = [("quality rules", quality_rules), ("line dedup", line_dedup), ("n-gram Jaccard join", near_duplicates),
