@@ -507,7 +507,7 @@ def dedupe_by_text(scored: DataFrame, keys: DataFrame) -> DataFrame:
 
 # Default number of hash buckets that a persisted index's postings are
 # partitioned by; an index records its own number.
-TERM_BUCKETS = 32
+TERM_BUCKETS = 8
 
 
 def term_bucket(term, buckets: int) -> Column:
