@@ -21,6 +21,7 @@ first k positions without a match of every query, and only these are exchanged.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tessera.functions.text import VEC_TOKEN_RE, counted, has_word_char, word_tokens, ws_tokens
@@ -532,10 +534,11 @@ def save_lexical(index: LexicalIndex, path: str, partitions: int | None = None,
     index.doc_keys.write.mode("overwrite").parquet(f"{path}/doc_keys")
     if index.lemmas is not None:
         index.lemmas.write.mode("overwrite").parquet(f"{path}/lemmas")
-    (spark.createDataFrame([(index.model, index.tokenizer, buckets, index.lemma_name)],
-                           "model string, tokenizer string, buckets int, lemma_name string")
+    # the schema too: an index without postings has no files to tell it
+    (spark.createDataFrame([(index.model, index.tokenizer, buckets, index.lemma_name, post.schema.json())],
+                           "model string, tokenizer string, buckets int, lemma_name string, schema string")
      .write.mode("overwrite").parquet(f"{path}/layout"))
-    return spark.read.parquet(f"{path}/postings").count()  # from the files' footers
+    return spark.read.schema(post.schema).parquet(f"{path}/postings").count()  # from the files' footers
 
 
 def load_lexical(spark, path: str, model: str | None = None) -> LexicalIndex:
@@ -544,5 +547,6 @@ def load_lexical(spark, path: str, model: str | None = None) -> LexicalIndex:
         raise ValueError(f"{path} holds {layout['model']!r}, not {model!r}")
     read = spark.read.parquet
     lemmas = read(f"{path}/lemmas") if layout["lemma_name"] else None
-    return LexicalIndex(read(f"{path}/postings"), read(f"{path}/doc_keys"), layout["model"], layout["tokenizer"],
+    postings = spark.read.schema(T.StructType.fromJson(json.loads(layout["schema"]))).parquet(f"{path}/postings")
+    return LexicalIndex(postings, read(f"{path}/doc_keys"), layout["model"], layout["tokenizer"],
                         layout["buckets"], lemmas=lemmas, lemma_name=layout["lemma_name"])
