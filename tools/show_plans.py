@@ -44,18 +44,18 @@ def main():
     lexical.save_lexical(lexical.build_lexical(coll, "bm25"), f"{root}/bm25")
     bm = lexical.load_lexical(spark, f"{root}/bm25", "bm25")
     items = []
-    items.append(("BM25 batch search over the persisted index (200-query batch, no pruning, fill off)",
+    items.append(("BM25 batch search over the persisted index: postings and queries meet in cells (no pair of query and text is exchanged)",
                   lexical.search(bm, benchmark_queries(spark, sf), 10, fill_zero=False)))
-    items.append(("BM25 small-batch search: bucket folders and row groups pruned by literal filters",
+    items.append(("BM25 small-batch search: bucket folders pruned by the batch's terms",
                   lexical.search(bm, as_queries(spark, ["the worthless of"]), 10, fill_zero=False)))
-    items.append(("Term counts (E1): partial aggregation before the exchange",
+    items.append(("Term counts (E1): counted inside the row, no exchange",
                   coll.tokens.select("doc_id", "tokens").transform(
                       lambda t: __import__("tessera.operators.stats", fromlist=["x"]).term_counts(t))))
     items.append(("Level counts (E6): GROUPING SETS over pre-aggregated counts",
                   corpus.level_counts(corpus.group_counts(table(spark, sf, "documents"), "lang", "source",
                                                           word_tokens("text")))))
     emb = table(spark, sf, "embeddings").select("vec_id", "embedding")
-    items.append(("Cosine top-k (D4): mapInPandas per-batch top-k, group limit per query",
+    items.append(("Cosine top-k (D4): items and queries dealt into cells, group limit per query",
                   dense.cosine_topk(emb.withColumnRenamed("embedding", "vec"),
                                     catalog_dense.query_vectors(spark, sf), 10, "vec_id")))
     out = ["# Physical plans of headline queries", "",
