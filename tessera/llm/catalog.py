@@ -69,6 +69,9 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramjoin.link_components(table(spark, sf_dir, "documents"))
 
 
+SQL["op10_ngram_jaccard_join"] = ngramjoin.ORACLE
+
+
 @query
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.digest(table(spark, sf_dir, "documents"))

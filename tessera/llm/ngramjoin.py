@@ -508,3 +508,27 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     name = spare_name(docs, "gone")
     gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias(name)).distinct()
     return docs.join(gone, F.col(f"`{id_col}`") == F.col(name), "left_anti")
+
+
+#: The definition itself: all pairs with a common shingle, and the closure of links.
+ORACLE = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') as w from documents),
+shingles as (
+  select distinct doc_id, unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                      when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as g from words),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+common as (
+  select a.doc_id as x, b.doc_id as y, count(*) as n from shingles a join shingles b on a.g = b.g and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id),
+links as (
+  select x, y from common join sizes a on a.doc_id = x join sizes b on b.doc_id = y
+  where 100 * common.n >= 80 * (a.n + b.n - common.n)),
+reach as (
+  select doc_id, doc_id as other from documents
+  union
+  select reach.doc_id, links.y from reach join links on links.x = reach.other)
+select d.doc_id, coalesce(any_value(s.n), 0)::bigint as n_shingles, min(r.other)::bigint as component_id
+from documents d join reach r on r.doc_id = d.doc_id left join sizes s on s.doc_id = d.doc_id group by d.doc_id
+"""
