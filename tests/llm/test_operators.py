@@ -71,6 +71,73 @@ def test_quality_rules_are_learned(spark):
     assert quality.quality_filter(docs.limit(0), labels).count() == 0
 
 
+def brute_rules(cells, settings):
+    """Sequential covering over rows (part, {feature: bin}, pos, neg), each
+    condition tried by filtering the rows."""
+    def holds(bins, condition):
+        feature, above, at = condition
+        return bins[feature] > at if above else bins[feature] <= at
+
+    def counts(rows, conditions):
+        hit = [r for r in rows if all(holds(r[1], c) for c in conditions)]
+        return sum(r[2] for r in hit), sum(r[3] for r in hit)
+
+    rules, left = [], list(cells)
+    while len(rules) < settings.max_rules:
+        grow = [r for r in left if r[0] < settings.grow_parts]
+        prune = [r for r in left if r[0] >= settings.grow_parts]
+        rule = []
+        while len(rule) < settings.max_conditions:
+            p0, n0 = counts(grow, rule)
+            if not p0 or (rule and not n0):
+                break
+            found = []
+            for feature, grid in quality.GRID.items():
+                for at in range(len(grid)):
+                    for above in (True, False):
+                        p, n = counts(grow, [*rule, (feature, above, at)])
+                        if p >= settings.min_covered and (p, n) != (p0, n0):
+                            gain = p * (math.log2(p / (p + n)) - math.log2(p0 / (p0 + n0)))
+                            found.append((gain, (feature, above, at)))
+            top = max((g for g, _ in found), default=0)
+            if top <= 1e-9:
+                break
+            ties = [c for g, c in found if g >= top - 1e-9]
+            same = [c for c in ties if c[:2] == ties[0][:2]]
+            rule.append(same[-1] if ties[0][1] else ties[0])
+        if not rule:
+            break
+        scored = []
+        for k in range(1, len(rule) + 1):
+            p, n = counts(prune, rule[:k])
+            scored.append(((p - n) / (p + n) if p + n else -1.0, -k, p, n))
+        _, k, p, n = max(scored)
+        if not p or p / (p + n) < settings.min_precision:
+            break
+        rules.append(rule[:-k])
+        left = [r for r in left if not all(holds(r[1], c) for c in rules[-1])]
+    return rules
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_rules_equal_plain_sequential_covering(spark, seed):
+    rng = random.Random(seed)
+    first, second, third = rng.sample(list(quality.GRID), 3)
+    cells = []
+    for _ in range(400):
+        bins = {name: rng.randint(0, len(grid)) for name, grid in quality.GRID.items()}
+        bad = (bins[first] * 2 > len(quality.GRID[first]) and bins[second] * 2 > len(quality.GRID[second])) or bins[third] == 0
+        cells.append((rng.randrange(3), bins, *((rng.randint(1, 9), 0) if bad else (0, rng.randint(1, 9)))))
+    cells.append((0, bins, 0, 1))
+    schema = "part int, " + ", ".join(f"{name} int" for name in quality.GRID) + ", pos long, neg long"
+    table = spark.createDataFrame([(part, *bins.values(), p, n) for part, bins, p, n in cells], schema)
+    settings = quality.Settings()
+    got = [[(c.feature, c.above, quality.GRID[c.feature].index(c.threshold)) for c in r.conditions]
+           for r in quality.learn_rules(table, settings)]
+    want = brute_rules(cells, settings)
+    assert got == want and len(want) >= 2 and max(map(len, want)) >= 2
+
+
 # line dedup
 
 def brute_lines(rows):
@@ -326,6 +393,41 @@ def test_toxicity_learns_from_one_row_of_a_repeated_id(spark):
     assert (once[0] == often[0]).all() and (once[1] == often[1]).all() and len(once[0])
 
 
+def test_shard_is_that_of_the_highest_hash(spark):
+    import xxhash
+
+    def hashed(seed, shard, doc_id):
+        h = 42
+        for data in (seed.to_bytes(4, "little"), shard.to_bytes(4, "little"), doc_id.to_bytes(8, "little", signed=True)):
+            h = xxhash.xxh64_intdigest(data, seed=h)
+        return h - (1 << 64) if h >= 1 << 63 else h
+
+    ids = [0, 1, -5, 1 << 40, *range(1000, 1300)]
+    docs = frame(spark, [(k, "t") for k in ids])
+    for n in (1, 16, 17):
+        got = {r.doc_id: r.s for r in docs.select("doc_id", sharding.rendezvous(F.col("doc_id"), n).alias("s")).collect()}
+        assert got == {k: max(range(n), key=lambda s: hashed(sharding.SEED, s, k)) for k in ids}
+
+
+def test_drawn_documents_meet_the_targets(spark):
+    """Each row's draw is that of its id, and the tokens drawn lie near the shares."""
+    rows = [(k, long_words(30, k % 97), f"src{k % 2}" if k % 10 else "src2", "en" if k % 3 else "de") for k in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    targets = mixing.Targets(source={"src0": 1, "src1": 1, "src2": 0.5}, lang={"en": 1, "de": 1}, topic={str(k): 1 for k in range(8)}, keep=0.2)
+    out, name = mixing.mix(docs, targets)
+    draw = F.pmod(F.xxhash64(F.lit(mixing.SEED), "doc_id"), F.lit(1 << 53)) / float(1 << 53)
+    tokens = {"source": Counter(), "lang": Counter(), "topic": Counter()}
+    for r in out.select("source", "lang", f"{name}.*", draw.alias("draw")).collect():
+        assert 0 <= r.probability <= 1 and r.sampled == (r.draw < r.probability)
+        for key in tokens:
+            tokens[key][r[key]] += r.n_tokens * r.sampled
+    total = sum(tokens["lang"].values())
+    assert total == pytest.approx(0.2 * 30 * 6000, rel=0.1)
+    for key, shares in (("source", {"src0": 0.4, "src1": 0.4, "src2": 0.2}), ("lang", {"en": 0.5, "de": 0.5}), ("topic", {str(k): 0.125 for k in range(8)})):
+        for category, share in shares.items():
+            assert tokens[key][category] / total == pytest.approx(share, abs=0.04)
+
+
 def test_slots_of_shards_of_many_buckets(spark):
     docs = frame(spark, [(k, long_words(3, k)) for k in range(400)])
     got = sharding.write_shards(docs, sharding.scratch_path(spark, "shards"), n_shards=3, bucket_bytes=200)
