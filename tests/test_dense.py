@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.functions import text as tx
 from tessera.functions import vectors as vx
 from tessera.operators import dense, stats
 from tests.conftest import docs_df
@@ -102,3 +103,25 @@ def test_cosine_topk_over_blocks_ties_and_odd_rows(spark, monkeypatch):
 def test_softmax_of_large_weights(spark):
     w = spark.createDataFrame([(0, 800.0), (1, 800.0), (2, -5.0)], "layer int, w double")
     assert [round(r.sw, 6) for r in dense.layer_softmax(w).orderBy("layer").collect()] == [0.5, 0.5, 0.0]
+
+
+@pytest.mark.parametrize("bound", [1 << 28, 100, 0])
+def test_mean_vectors_with_words_beyond_the_broadcast(spark, monkeypatch, bound):
+    """Broadcast words, joined words and both; ids that come twice or are null."""
+    monkeypatch.setattr(dense, "HOT_WORD_BYTES", bound, raising=False)
+    rng = np.random.default_rng(2)
+    words = {f"w{i}": rng.normal(size=3) for i in range(30)}
+    wv = spark.createDataFrame([(w, v.tolist()) for w, v in words.items()], "word string, vec array<double>")
+    texts = [(i % 40, [f"w{j}" for j in rng.integers(0, 33, i % 9)]) for i in range(60)] + [(None, ["w1"])]
+    tok = spark.createDataFrame(texts, "doc_id long, tokens array<string>")
+    in_rows = tok.selectExpr("doc_id", "tokens", "size(tokens) AS dl").select("doc_id", "dl", tx.counted("tokens").alias("terms"))
+    for counts in (stats.term_counts(tok), in_rows):
+        got = sorted(((r.doc_id is None, r.doc_id or 0), [round(x, 9) + 0.0 for x in r.vec]) for r in dense.mean_word_vectors(
+            counts, stats.doc_lengths(tok), wv, 3).collect())
+        want = []
+        for i, own in texts:
+            total = sum((words.get(t, np.zeros(3)) for k, ts in texts if k == i and i is not None for t in ts), np.zeros(3))
+            want.append(((i is None, i or 0), [round(float(x), 9) + 0.0 for x in total / max(1, len(own)) * bool(own)]))
+        assert [g[0] for g in got] == [w[0] for w in sorted(want)]
+        for (_, a), (_, b) in zip(got, sorted(want)):
+            assert a == pytest.approx(b, abs=1e-8)
