@@ -64,3 +64,22 @@ def test_unknown_encoders_are_refused(spark):
         encoders.sentence_vectors(spark.createDataFrame([(0, "x")], "doc_id long, text string"), "nothing")
     with pytest.raises(ValueError):
         encoders.register_encoder("both", lambda x: x, factory=lambda: None)
+
+
+def test_pooled_vectors_equal_the_pool_of_layer_vectors(spark, monkeypatch):
+    from tessera.operators import dense
+
+    monkeypatch.setattr(encoders, "TOKENS_AT_ONCE", 4)
+    df = spark.createDataFrame([(0, ["a", "b", None, "c"]), (1, []), (2, ["a"]), (2, ["d", "e", "f"]), (3, None)],
+                               "sent_id long, tokens array<string>")
+    w = spark.createDataFrame([(0, 0.3), (1, -1.0), (2, 2.0)], "layer int, w double")
+    want = {r.sent_id: r.vec for r in dense.mixed_pool(encoders.token_layer_vectors(df), w, 0.7).collect()}
+    got = {r.sent_id: r.vec for r in encoders.pooled_layer_vectors(df, w, gamma=0.7).collect()}
+    assert got.keys() == want.keys() == {0, 2} and all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_an_encoder_is_given_bounded_slices(spark, monkeypatch):
+    monkeypatch.setattr(encoders, "CHARS_AT_ONCE", 10)
+    encoders.register_encoder("counted", lambda texts: np.full((len(texts), 1), len(texts), np.float32))
+    df = spark.createDataFrame([(i, "abcd") for i in range(9)], "doc_id long, text string").coalesce(1)
+    assert max(r.vec[0] for r in encoders.sentence_vectors(df, "counted").collect()) == 2.0

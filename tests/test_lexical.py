@@ -249,3 +249,15 @@ def test_no_pair_of_query_and_text_is_exchanged(spark):
     joins = [x for x in plan.splitlines() if "Join" in x]
     # the idf and the batch's terms are looked up per posting
     assert "MapInArrow" in plan and len(joins) == 2 and not any("query_id" in x for x in joins)
+
+
+def test_tfidf_norms_without_a_window_over_all_postings(spark):
+    from tessera.operators import lexical
+
+    docs = spark.createDataFrame([(0, "aa bb aa c"), (1, "aa"), (1, "bb cc"), (2, "c"), (3, None)], "doc_id long, text string")
+    post = lexical.tfidf_postings(lexical.Collection(docs))
+    assert "Window" not in post._jdf.queryExecution().executedPlan().toString()
+    squares = {}
+    for r in post.collect():
+        squares[r.doc_id] = squares.get(r.doc_id, 0) + r.weight ** 2
+    assert {k: round(v, 9) for k, v in squares.items()} == {0: 1.0, 1: 1.0}
