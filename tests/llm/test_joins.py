@@ -339,3 +339,14 @@ def test_repeated_passages_are_removed_whole(spark):
         for (start, end), (first, last) in zip(spans, want[k]):
             # whole; a paragraph that is alike enough may reach two words beyond
             assert first - 2 <= start <= first and last <= end <= last + 2
+
+
+def test_copies_are_found_by_their_paragraphs(spark):
+    """The paragraphs of a whole copy are joined and compared like any others; its
+    link as a whole comes on top."""
+    text = " ".join(f"word{i}" for i in range(130))
+    docs = spark.createDataFrame([(1, text), (2, text), (3, text), (4, "alone " * 3)], "doc_id long, text string")
+    found = Counter((r.id, r.first_id, r.start, r.end) for r in substrings.repeats(docs).collect())
+    assert found == {(2, 1, 0, 130): 2, (3, 1, 0, 130): 2}
+    rows = {r.doc_id: (r.has_repeat, r.n_removed_words, r.copy_of) for r in substrings.digest(docs).collect()}
+    assert rows == {1: (True, 0, []), 2: (True, 130, [1]), 3: (True, 130, [1]), 4: (False, 0, [])}
