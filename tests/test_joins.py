@@ -1,6 +1,7 @@
 """Join helpers: hot/cold split equals a plain join; dense index and prefix
 sums equal their single-partition definitions."""
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -49,3 +50,25 @@ def test_broadcast_checked_respects_bound(spark):
     big = joins.broadcast_checked(df, max_bytes=10)
     assert "broadcast" in small._jdf.queryExecution().analyzed().toString().lower()
     assert "broadcast" not in big._jdf.queryExecution().analyzed().toString().lower()
+
+
+@pytest.mark.parametrize("max_bytes", [1, 60, None])
+def test_lookup_lists_of_frequent_and_rare_keys(spark, max_bytes):
+    """Rows, orders, nulls and unlisted keys, wherever the frequent keys end; keys
+    of rows with frequent ones only are never exchanged."""
+    rows = [(1, ["a", "b", "a"]), (1, ["c", None, "x"]), (2, []), (None, None), (3, ["b"]), (4, ["c", "a", "c"])]
+    values = {"a": 10, "b": 20, "c": 30}
+    lookup = spark.createDataFrame([("a", 10, 30), ("b", 20, 20), ("c", 30, 1)], "k string, v int, n long")
+    df = spark.createDataFrame(rows, "id int, keys array<string>")
+    out = joins.lookup_lists(df, "keys", lookup, "k", "v", "n", null_key="b", max_bytes=max_bytes)
+    assert out.columns == ["id", "keys"]
+    want = [(i, [values.get("b" if k is None else k) for k in x or []]) for i, x in rows]
+    assert sorted(map(repr, ((r["id"], r["keys"]) for r in out.collect()))) == sorted(map(repr, want))
+
+
+def test_lookup_lists_gathers_batches(spark, monkeypatch):
+    monkeypatch.setattr(joins, "KEYS_AT_ONCE", 5)
+    lookup = spark.range(50).selectExpr("id AS k", "CAST(id * 2 AS STRING) AS v", "1L AS n")
+    df = spark.range(40).selectExpr("id", "slice(sequence(0L, id), 1, CAST(id % 4 AS INT)) AS keys")
+    out = {r["id"]: r["keys"] for r in joins.lookup_lists(df, "keys", lookup, "k", "v", "n").collect()}
+    assert out == {i: [str(2 * k) for k in range(min(i % 4, i + 1))] for i in range(40)}
