@@ -15,8 +15,9 @@ The forward state of a prefix is its best score and last piece.
   is left per prefix.  The ids equal those of the sentencepiece library.
 
 Characters that the vocabulary lacks become byte pieces.  Decoding is a table
-lookup over bytes.  Both are row-local: no shuffle, a bounded word cache per
-Python worker, and the broadcast vocabulary has the size of its file.
+lookup over bytes.  Both are row-local: no shuffle, a bounded cache of words and
+of adjacent pairs per Python worker, texts taken by a bounded number of bytes, and
+the broadcast vocabulary has the size of its file.
 
 Defined results: null and empty texts have no tokens; a text that holds the mark
 itself decodes to a space there, as in the library (round_trip is false); other
@@ -32,6 +33,7 @@ from dataclasses import fields as dataclass_fields
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,10 +42,12 @@ from tessera.llm.common import spare_name, worker_cache
 
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-#: Words whose pieces a Python worker remembers.
-CACHED_WORDS = 400_000
-#: Texts whose words are put into one trie.
-TEXTS_AT_ONCE = 1024
+#: Characters of words and pairs of pieces that a Python worker remembers.
+CACHED_CHARS = 1_000_000
+CACHED_PAIRS = 250_000
+#: Bytes of the texts whose words are put into one trie; a row counts for so many besides.
+BYTES_AT_ONCE = 1 << 20
+ROW_BYTES = 1 << 10
 
 
 @dataclass(frozen=True)
@@ -89,21 +93,28 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.v = vocabulary
-        # pieces spelled backwards; None marks the beginning of a piece
+        # pieces spelled backwards; None leads to the entry of a whole piece: the
+        # piece, its ids as bytes, its score, and which pieces may stand before it
         self.backwards: dict = {}
+        self.entries: list[tuple] = []
         for piece in vocabulary.pieces:
             node = self.backwards
             for c in reversed(piece):
                 node = node.setdefault(c, {})
-            node[None] = piece
+            node[None] = self.entry(piece, [vocabulary.pieces[piece]])
+            self.entries.append(node[None])
+        self.single: dict[str, tuple] = {}  # entries of characters that the vocabulary lacks
         self.known: dict[str, bytes] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.known_chars = self.known_pairs = 0
         long_chars = {c for p in vocabulary.pieces if len(p) > 1 for c in p}
         # a line feed that no longer piece holds is a word of its own: fewer distinct words
         shared = "\n" in long_chars
         self.cut = re.compile(rf"{MARK}*[^{MARK}]+|{MARK}+" if shared else rf"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
         self.lowest = min(vocabulary.scores.values(), default=0.0) - 10.0
 
+    def entry(self, piece: str, ids: list[int]) -> tuple[str, bytes, float | None, dict[str, bool]]:
+        return piece, np.array(ids, np.int32).tobytes(), self.v.scores.get(piece), {}
+
     def merged(self, text: str) -> list[str]:
         """The library's merge order on a short text: best score first, then
         leftmost."""
@@ -119,27 +130,31 @@ class Encoder:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def fits(self, left: str, right: str) -> bool:
-        key = (left, right)
-        out = self.pairs.get(key)
-        if out is None:
-            if len(self.pairs) > 1_000_000:
-                self.pairs.clear()
-            out = self.pairs[key] = self.merged(left + right) == ([left, right] if left else [right])
+    def count_pair(self) -> None:
+        if self.known_pairs >= CACHED_PAIRS:
+            for e in self.entries:
+                e[3].clear()
+            self.single.clear()
+            self.known_pairs = 0
+        self.known_pairs += 1
+
+    def fits(self, left: str, right: tuple) -> bool:
+        self.count_pair()
+        out = right[3][left] = self.merged(left + right[0]) == ([left, right[0]] if left else [right[0]])
         return out
 
-    def ids(self, piece: str) -> list[int]:
-        if piece in self.v.pieces:
-            return [self.v.pieces[piece]]
-        if self.v.byte_ids:
-            return [self.v.byte_ids[b] for b in piece.encode()]
-        return [self.v.unknown_id]
+    def character(self, c: str) -> tuple:
+        out = self.single.get(c)
+        if out is None:
+            self.count_pair()
+            out = self.single[c] = self.entry(c, [self.v.byte_ids[b] for b in c.encode()] if self.v.byte_ids else [self.v.unknown_id])
+        return out
 
     def learn(self, fresh: list[str]) -> None:
         """Pieces of sorted distinct words, depth-first over their trie.
-        states[j] is (score, last piece) of the current word's prefix of j."""
-        scores, bpe, root = self.v.scores, self.v.kind == "bpe", self.backwards
-        states: list[tuple[float, str]] = [(0.0, "")]
+        states[j] is (score, last piece's entry) of the current word's prefix of j."""
+        bpe, root, lowest = self.v.kind == "bpe", self.backwards, self.lowest
+        states: list[tuple[float, tuple]] = [(0.0, ("", b""))]
         before = ""
         for word in fresh:
             shared, most = 0, min(len(before), len(word))
@@ -153,34 +168,47 @@ class Encoder:
                     at -= 1
                     if None in node:
                         ending.append(node[None])
-                if not ending or len(ending[0]) > 1:
-                    ending.insert(0, word[end - 1])
+                if not ending or len(ending[0][0]) > 1:
+                    ending.insert(0, self.character(word[end - 1]))
                 best = None
-                for piece in reversed(ending):
-                    score, last = states[end - len(piece)]
+                while ending:
+                    piece = ending.pop()
+                    score, last = states[end - len(piece[0])]
                     if bpe:
-                        if self.fits(last, piece):
+                        fits = piece[3].get(last[0])
+                        if fits or fits is None and self.fits(last[0], piece):
                             best = (0.0, piece)
                             break
                     else:
-                        score += scores.get(piece, self.lowest)
+                        score += lowest if piece[2] is None else piece[2]
                         if best is None or score > best[0]:
                             best = (score, piece)
                 states.append(best)
             at, found = len(word), []
             while at:
-                found.append(states[at][1])
-                at -= len(found[-1])
-            self.known[word] = np.array([i for p in reversed(found) for i in self.ids(p)], np.int32).tobytes()
+                piece = states[at][1]
+                found.append(piece[1])
+                at -= len(piece[0])
+            found.reverse()
+            self.known[word] = b"".join(found)
+            self.known_chars += len(word)
             before = word
 
+    def forget(self, but: set[str]) -> None:
+        """Leaves the words of `but` when too many are known."""
+        if self.known_chars > CACHED_CHARS:
+            self.known = {w: self.known[w] for w in but}
+            self.known_chars = sum(map(len, self.known))
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         cut = [self.cut.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        self.learn(sorted(set().union(*cut) - self.known.keys()))
+        words = set().union(*cut)
+        again = words & self.known.keys()
+        self.learn(sorted(words - again))
         known = self.known
-        return [np.frombuffer(b"".join([known[w] for w in ws]), np.int32) for ws in cut]
+        out = [np.frombuffer(b"".join([known[w] for w in ws]), np.int32) for ws in cut]
+        self.forget(again)
+        return out
 
 
 def decode(ids: np.ndarray | list[int], decoded: tuple[bytes, ...]) -> str:
@@ -189,6 +217,16 @@ def decode(ids: np.ndarray | list[int], decoded: tuple[bytes, ...]) -> str:
     return text[1:] if text.startswith(" ") else text
 
 
+def _parts(batch: pa.RecordBatch, source: str) -> Iterator[pa.RecordBatch]:
+    """Slices of `batch` of some BYTES_AT_ONCE of its column `source`, each of at
+    least a row."""
+    column = batch.column(batch.schema.get_field_index(source))
+    sizes = pc.list_value_length(column) if pa.types.is_list(column.type) else pc.binary_length(column)
+    ends = np.cumsum(pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False).astype(np.int64) + ROW_BYTES)
+    borders = [0, *(np.flatnonzero(np.diff(ends // BYTES_AT_ONCE)) + 1).tolist(), batch.num_rows]
+    return (batch.slice(a, b - a) for a, b in zip(borders, borders[1:]) if b > a)
+
+
 def _with_column(docs: DataFrame, name: str, fn, source: str, out_type: T.DataType) -> DataFrame:
     """`docs` with a column that `fn` makes of the Arrow arrays of `source`."""
     out = spare_name(docs, name)
@@ -196,8 +234,7 @@ def _with_column(docs: DataFrame, name: str, fn, source: str, out_type: T.DataTy
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                part = batch.slice(at, TEXTS_AT_ONCE)
+            for part in _parts(batch, source):
                 yield pa.RecordBatch.from_arrays([*part.columns, fn(part.column(part.schema.get_field_index(source)))],
                                                  names=[*part.schema.names, out])
 

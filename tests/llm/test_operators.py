@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -224,6 +225,35 @@ def test_pieces_equal_the_library(spark):
     assert sentencepieces.encode(docs.limit(0), vocabulary).count() == 0
 
 
+def test_a_worker_remembers_little(monkeypatch):
+    """What an encoder keeps between texts is bounded, and forgetting changes no ids."""
+    monkeypatch.setattr(sentencepieces, "CACHED_CHARS", 3000, raising=False)
+    monkeypatch.setattr(sentencepieces, "CACHED_PAIRS", 500, raising=False)
+    vocabulary = sentencepieces.load()
+    e = sentencepieces.Encoder(vocabulary)
+    for k in range(20):
+        texts = [long_words(60, 1), None, long_words(100, 50 + k), "漢字 " + chr(0x4E00 + k), "x" * 5000 if k == 3 else ""]
+        got = e.encode(texts)
+        fresh = sentencepieces.Encoder(vocabulary)
+        assert [r.tolist() for r in got] == [fresh.encode([t])[0].tolist() for t in texts]
+        assert sum(map(len, e.known)) <= 3000
+    assert sum(len(x[3]) for x in [*e.entries, *e.single.values()]) <= 500 and len(e.single) <= 500
+
+
+def test_long_texts_are_taken_a_few_at_a_time(monkeypatch):
+    """Slices go by bytes: many long texts never share one trie."""
+    monkeypatch.setattr(sentencepieces, "BYTES_AT_ONCE", 10_000, raising=False)
+    texts = ["a" * 4000, None, "é" * 4000, "", "b" * 50_000, *["c" * 900] * 40, None]
+    for column in (pa.array(texts), pa.array([None if t is None else list(t.encode()) for t in texts], pa.list_(pa.int32()))):
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), column], names=["doc_id", "text"])
+        parts = list(sentencepieces._parts(batch, "text"))
+        assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch])) and len(parts) > 5
+        for p in parts:
+            sizes = [len(t or "") for t in texts[p[0][0].as_py():p[0][-1].as_py() + 1]]
+            assert sum(sizes) - max(sizes) <= 10_000 and p.num_rows
+        assert not list(sentencepieces._parts(batch.slice(0, 0), "text"))
+
+
 def test_unigram_takes_the_best_sum():
     scores = {"▁a": -1.0, "b": -2.0, "▁ab": -3.5, "▁": -4.0, "a": -2.5, "ba": -1.0, "▁aba": -2.5}
     v = sentencepieces.Vocabulary("unigram", {p: k for k, p in enumerate(scores)}, scores, (), 99, ())
